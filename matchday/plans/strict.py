@@ -18,7 +18,8 @@ from matchday.operators.totals import attach, totals, totals_before_day
 
 LAST = 5
 GROUP = ["season", "league", "team"]
-ORDER = ["match_ts", "match_id", SIDE]
+KEY = ["match_id"]
+TIME = ["match_ts"]
 DAY = "match_date"
 PER_SIDE = [
     "form5_any", "form5_venue", "goals5_venue", "discipline5_venue",
@@ -26,23 +27,28 @@ PER_SIDE = [
 ]
 
 
-def team_rows(matches: DataFrame, weights: dict[str, int] = scalars.CARD_WEIGHTS) -> DataFrame:
+def team_rows(
+    matches: DataFrame,
+    weights: dict[str, int] = scalars.CARD_WEIGHTS,
+    key: list[str] = KEY,
+    time: list[str] = TIME,
+) -> DataFrame:
     """Two rows per match: what each team got out of it."""
 
-    def side(code: str, team: str, goals: str, conceded: str, cards: str) -> dict[str, Column]:
+    def side(code: str, team: str, goals: str, conceded: str, letter: str) -> dict[str, Column]:
         return {
             "team": F.col(team),
             "points": scalars.points(F.col("ftr"), code),
             "goals": F.col(goals),
             "conceded": F.col(conceded),
             "discipline": scalars.discipline(
-                weights, F.col(f"{cards}y"), F.col(f"{cards}r"), F.col(f"{cards}f")
+                weights, F.col(f"{letter}y"), F.col(f"{letter}r"), F.col(f"{letter}f")
             ),
         }
 
     return by_side(
         matches,
-        ["match_id", "match_ts", DAY, "season", "league"],
+        list(dict.fromkeys([*key, *time, DAY, "season", "league"])),
         {
             "H": side("H", "home_team", "fthg", "ftag", "h"),
             "A": side("A", "away_team", "ftag", "fthg", "a"),
@@ -50,18 +56,6 @@ def team_rows(matches: DataFrame, weights: dict[str, int] = scalars.CARD_WEIGHTS
     )
 
 
-def last_five(df: DataFrame, group: list[str]) -> DataFrame:
-    anywhere, venue = before(group, ORDER, LAST), before([*group, SIDE], ORDER, LAST)
-    return df.withColumns(
-        {
-            "form5_any": F.sum("points").over(anywhere),
-            "form5_venue": F.sum("points").over(venue),
-            "goals5_venue": F.sum("goals").over(venue),
-            "discipline5_venue": F.sum("discipline").over(venue),
-        }
-    )
-
-
 def so_far(teams: DataFrame) -> DataFrame:
     """Per team and day: points and goals up to the day before, null on a team's first day."""
     sums = {"points_before": "points", "goals_before": "goals", "conceded_before": "conceded"}
@@ -77,23 +71,39 @@ def features(
     matches: DataFrame,
     rows_per_chunk: int = ROWS_PER_CHUNK,
     weights: dict[str, int] = scalars.CARD_WEIGHTS,
+    key: list[str] = KEY,
+    time: list[str] = TIME,
 ) -> DataFrame:
-    """One row per played match, with ``home_`` and ``away_`` columns for each name in PER_SIDE."""
+    """One row per played match, with ``home_`` and ``away_`` columns for each name in PER_SIDE.
+
+    ``key`` identifies a match, ``time`` orders matches and ``key`` decides between equal times.
+    """
     played = matches.where(F.col("ftr").isNotNull())
-    teams = team_rows(played, weights)
-    cuts = find_cuts(teams, GROUP, ORDER, rows_per_chunk)
-    rows = look_back(
-        teams, GROUP, ORDER, LAST, last_five, ["points", "goals", "discipline"], [SIDE], cuts
-    )
+    teams = team_rows(played, weights, key, time)
+    order = [name for name in dict.fromkeys([*time, *key, SIDE]) if name not in GROUP]
+
+    def last_five(df: DataFrame, group: list[str]) -> DataFrame:
+        anywhere, venue = before(group, order, LAST), before([*group, SIDE], order, LAST)
+        return df.withColumns(
+            {
+                "form5_any": F.sum("points").over(anywhere),
+                "form5_venue": F.sum("points").over(venue),
+                "goals5_venue": F.sum("goals").over(venue),
+                "discipline5_venue": F.sum("discipline").over(venue),
+            }
+        )
+
+    cuts = find_cuts(teams, GROUP, order, rows_per_chunk)
+    rows = look_back(teams, GROUP, order, LAST, last_five, ["points", "goals", "discipline"], [SIDE], cuts)
     rows = attach(rows, so_far(teams), [*GROUP, DAY], cuts.needed)
     rows = attach(rows, season_points(teams), GROUP, cuts.needed)
     sides = {"home": "H", "away": "A"}
     per_match = by_match(
         rows,
-        ["match_id"],
+        key,
         {f"{name}_{column}": (code, column) for name, code in sides.items() for column in PER_SIDE},
     )
-    return played.join(per_match, "match_id").withColumn(
+    return played.join(per_match, key).withColumn(
         "goal_diff_before",
         (F.col("home_goals_before") - F.col("home_conceded_before"))
         - (F.col("away_goals_before") - F.col("away_conceded_before")),
