@@ -23,8 +23,9 @@ def csv_scan(spark: SparkSession, paths: str | list[str], **options: str) -> Dat
 
 
 def list_files(spark: SparkSession, path: str) -> DataFrame:
-    """(path, length) of the files; their content is not read."""
-    return spark.read.format("binaryFile").load(path).select("path", "length")
+    """(path, length) of the files at any depth; their content is not read."""
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
+    return reader.load(path).select("path", "length")
 
 
 def accepted(files: DataFrame, min_bytes: int = MIN_BYTES) -> DataFrame:
