@@ -22,7 +22,7 @@ ROWS_PER_CHUNK = 2_000_000
 MAX_CHUNKS = 200_000
 SAMPLES_PER_CHUNK = 32
 # Cut points are looked up by digits of the chunk number, so a row meets short lists only.
-FANOUT = 64
+FANOUT = 1024
 
 
 @dataclass(frozen=True)
@@ -30,14 +30,14 @@ class Cuts:
     """Cut points of the large groups.
 
     ``groups`` has one row per large group with its number of cuts; ``digits`` one table per digit
-    of the chunk number, the leading digit first. Both are None where no group is large and plain
-    windows do.
+    of the chunk number, the leading digit first, with the length of its longest list. Where no
+    group is large there are none, and plain windows do.
     """
 
     entity: list[str]
     order: list[str]
     groups: DataFrame | None = None
-    digits: tuple[DataFrame, ...] = ()
+    digits: tuple[tuple[DataFrame, int], ...] = ()
 
     @property
     def needed(self) -> bool:
@@ -95,7 +95,8 @@ def _lookup_tables(df, entity, order, found, cuts_field) -> Cuts:
                 if tail:
                     rows.append((*group, head // (width * FANOUT), tail))
         fields = [*names, StructField("_head", IntegerType()), StructField("_cuts", cuts_field.dataType)]
-        digits.append(spark.createDataFrame(rows, StructType(fields)))
+        longest_list = max(len(row[-1]) for row in rows)
+        digits.append((spark.createDataFrame(rows, StructType(fields)), longest_list))
         width //= FANOUT
     sizes = StructType([*names, StructField(LAST_CHUNK, IntegerType())])
     return Cuts(entity, order, spark.createDataFrame(groups, sizes), tuple(digits))
@@ -109,10 +110,16 @@ def with_chunk(df: DataFrame, cuts: Cuts) -> DataFrame:
     same, names = _same_group(cuts)
     rows = df.withColumn(CHUNK, F.lit(0))
     key = F.struct(*cuts.order)
-    for digit in cuts.digits:
+    for digit, longest in cuts.digits:
         rows = rows.join(F.broadcast(digit), [*same, F.col(CHUNK) == F.col("_head")], "left")
-        below = F.coalesce(_count_up_to(F.col("_cuts"), key), F.lit(0))
-        rows = rows.withColumn(CHUNK, F.col(CHUNK) * FANOUT + below).drop("_head", "_cuts", *names)
+        rows = rows.withColumn("_below", F.lit(0))
+        # Binary search for the number of cuts <= key, one projection per halving: that stays in
+        # generated code. Past the end of a list, and without one, the comparison is null.
+        for bit in reversed(range(longest.bit_length())):
+            probe = F.get("_cuts", F.col("_below") + (2**bit - 1)) <= key
+            rows = rows.withColumn("_below", F.col("_below") + F.when(probe, 2**bit).otherwise(0))
+        rows = rows.withColumn(CHUNK, F.col(CHUNK) * FANOUT + F.col("_below"))
+        rows = rows.drop("_head", "_cuts", "_below", *names)
     return rows
 
 
@@ -126,23 +133,3 @@ def _same_group(cuts: Cuts) -> tuple[list[Column], list[str]]:
     # null-safe: rows without a team form a group like any other
     names = [f"_cut_{name}" for name in cuts.entity]
     return [F.col(name).eqNullSafe(F.col(cut)) for name, cut in zip(cuts.entity, names)], names
-
-
-def _count_up_to(sorted_list: Column, key: Column) -> Column:
-    """How many entries of a sorted list of fewer than ``FANOUT`` entries are <= ``key``."""
-
-    def halve(span, _):
-        middle = F.shiftright(span["low"] + span["high"], 1)
-        below = F.get(sorted_list, middle) <= key
-        return F.when(span["low"] >= span["high"], span).otherwise(
-            F.struct(
-                F.when(below, middle + 1).otherwise(span["low"]).alias("low"),
-                F.when(below, span["high"]).otherwise(middle).alias("high"),
-            )
-        )
-
-    whole = F.struct(F.lit(0).alias("low"), F.size(sorted_list).alias("high"))
-    rounds = F.sequence(F.lit(1), F.lit(FANOUT.bit_length() - 1))
-    return F.when(
-        sorted_list.isNotNull(), F.aggregate(rounds, whole, halve, lambda span: span["low"])
-    )

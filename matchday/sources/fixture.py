@@ -17,10 +17,8 @@ def matches(spark: SparkSession, folder: str) -> DataFrame:
     league = F.lit(None).cast("string")
     for event_type, code in LEAGUE_OF_EVENT.items():
         league = F.when(F.col("event_type") == event_type, code).otherwise(league)
-    half_month = F.ceil(F.dayofmonth("ts") / 2.0).cast("int")
-
-    def two_digits(number):
-        return F.lpad(number.cast("string"), 2, "0")
+    # two days make a season: days 1 and 2 are 0809, days 31 and 32 would be 2324
+    seasons = F.array(*[F.lit(f"{year:02}{year + 1:02}") for year in range(8, 24)])
 
     def team(number):
         return F.concat(F.col("league"), F.lit("_"), number.cast("string"))
@@ -29,9 +27,10 @@ def matches(spark: SparkSession, folder: str) -> DataFrame:
         event.alias("match_id"),
         F.col("ts").alias("match_ts"),
         F.to_date("ts").alias("match_date"),
-        F.concat(two_digits(half_month + 7), two_digits(half_month + 8)).alias("season"),
+        F.get(seasons, F.shiftright(F.dayofmonth("ts") - 1, 1)).alias("season"),
         league.alias("league"),
-        (F.round(F.col("value") * 100).cast("bigint") % 5).cast("int").alias("fthg"),
+        # value has two decimals; round() itself goes through BigDecimal
+        (F.floor(F.col("value") * 100 + 0.5) % 5).cast("int").alias("fthg"),
         (F.get_json_object("props", "$.k").cast("int") % 4).cast("int").alias("ftag"),
         user,
     )

@@ -28,7 +28,7 @@ def skewed(spark):
     return spark.createDataFrame(rows, "team string, side string, day int, id int, v int").cache()
 
 
-@pytest.mark.parametrize("fanout", [4, 64])
+@pytest.mark.parametrize("fanout", [4, 1024])
 @pytest.mark.parametrize("rows_per_chunk", [1, 3, 40, 500])
 def test_look_back(skewed, same, monkeypatch, rows_per_chunk, fanout):
     monkeypatch.setattr(split, "FANOUT", fanout)
