@@ -50,14 +50,15 @@ def find_cuts(
     order: list[str],
     rows_per_chunk: int = ROWS_PER_CHUNK,
     max_chunks: int = MAX_CHUNKS,
+    total: int | None = None,
 ) -> Cuts:
     """Sample the order keys of ``df`` and cut every group larger than ``rows_per_chunk``.
 
     ``df`` should be a stored table or a cheap projection of one: it is counted (no column is
-    read) and, if it is larger than one chunk, its key columns are scanned once. The rows of a
-    group must differ in ``order``; drop replayed rows first.
+    read) unless ``total`` gives its rows, and if it is larger than one chunk, its key columns are
+    scanned once. The rows of a group must differ in ``order``; drop replayed rows first.
     """
-    total = df.count()
+    total = df.count() if total is None else total
     if total <= rows_per_chunk:
         return Cuts(entity, order)
     rows_per_chunk = max(rows_per_chunk, -(-total // max_chunks))

@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from matchday.operators.preceding import before
-from matchday.operators.split import ROWS_PER_CHUNK
 from matchday.session import checkpoint_folder
 
 # About 100 bytes a row, so at most some 100 MB per executor.
@@ -28,16 +27,14 @@ def totals_before_day(df: DataFrame, entity: list[str], day: str, sums: dict[str
     return daily.select(*entity, day, *[F.sum(name).over(earlier).alias(name) for name in sums])
 
 
-def attach(df: DataFrame, summary: DataFrame, on: list[str], large: bool | None = None) -> DataFrame:
-    """Left join of a table with a summary of it.
+def attach(df: DataFrame, summary: DataFrame, on: list[str], large: bool) -> DataFrame:
+    """Left join of a table with a summary of it; a null key finds nothing.
 
     A large table is not shuffled for this if the summary is small: the summary is computed once,
     kept in the checkpoint folder, counted, and broadcast if it has at most ``BROADCAST_ROWS``.
     Beyond that, and for a table too small to matter, the join is left to adaptive execution, which
     sizes both sides at run time and splits skewed partitions.
     """
-    if large is None:
-        large = df.count() > ROWS_PER_CHUNK
     if large:
         checkpoint_folder(df.sparkSession)
         summary = summary.checkpoint()

@@ -71,13 +71,13 @@ def features(records: DataFrame, tie: list[str], rows_per_chunk: int = ROWS_PER_
         "AwayTeam", ["Season"], order,
         {"AGL5": "FTAG", "ATFL5": "_away_points", "ADIL5": "_away_index"}, empty=0,
     )
-    season = find_cuts(base, ["Season"], order, rows_per_chunk)
+    total = base.count()
+    season = find_cuts(base, ["Season"], order, rows_per_chunk, total=total)
     rows = running_total(
         base, ["Season"], order, {"_home_before": "_home_points", "_away_before": "_away_points"}, season
     )
     for side in (home, away):
-        # no large season, so no large (season, team) either
-        cuts = find_cuts(base, side["entity"], order, rows_per_chunk) if season.needed else season
+        cuts = find_cuts(base, side["entity"], order, rows_per_chunk, total=total)
         rows = look_back(rows, **side, cuts=cuts, source=base)
     league_points = or_zero(F.col("_home_before"), 0) + or_zero(F.col("_away_before"), 0)
     rows = rows.withColumns({"HTP": league_points, "ATP": league_points})

@@ -29,7 +29,9 @@ def typed(records: DataFrame) -> DataFrame:
     )
 
 
-def form(matches: DataFrame, key: list[str], rows_per_chunk: int = ROWS_PER_CHUNK) -> DataFrame:
+def form(
+    matches: DataFrame, key: list[str], rows_per_chunk: int = ROWS_PER_CHUNK, total: int | None = None
+) -> DataFrame:
     """The eight last-five columns per match, in one pass over narrow (match, side) rows.
 
     One shuffle by (season, team) serves the windows over any venue and over the same venue, a
@@ -61,10 +63,9 @@ def form(matches: DataFrame, key: list[str], rows_per_chunk: int = ROWS_PER_CHUN
             }
         )
 
-    rows = look_back(
-        long, entity, order, LAST, add, ["points", "goals", "discipline"], [SIDE],
-        find_cuts(long, entity, order, rows_per_chunk),
-    )
+    total = matches.count() if total is None else total
+    cuts = find_cuts(long, entity, order, rows_per_chunk, total=2 * total)
+    rows = look_back(long, entity, order, LAST, add, ["points", "goals", "discipline"], [SIDE], cuts)
     return by_match(
         rows,
         key,
@@ -77,7 +78,7 @@ def form(matches: DataFrame, key: list[str], rows_per_chunk: int = ROWS_PER_CHUN
     )
 
 
-def season_sums(matches: DataFrame, large: bool | None = None) -> DataFrame:
+def season_sums(matches: DataFrame, large: bool) -> DataFrame:
     """Season points and goals by home team and by away team, with their sums and difference.
 
     The names are kept: HT_PTS_AWAY holds the points of the visitors at that ground.
@@ -88,7 +89,7 @@ def season_sums(matches: DataFrame, large: bool | None = None) -> DataFrame:
     for team, sums in (("HomeTeam", home), ("AwayTeam", away)):
         keys = ["Season", team]
         summary = totals(matches, keys, {name: F.col(column) for name, column in sums.items()})
-        rows = attach(rows, summary.dropna(subset=keys), keys, large)
+        rows = attach(rows, summary, keys, large)
     return rows.withColumns(
         {
             "HTSP": F.col("HT_PTS_HOME") + F.col("HT_PTS_AWAY"),
@@ -106,6 +107,7 @@ def features(records: DataFrame, key: list[str], rows_per_chunk: int = ROWS_PER_
     and team, without the products such a join makes of repeated rows.
     """
     matches = typed(records)
-    large = matches.count() > rows_per_chunk
-    rows = season_sums(matches, large).join(form(matches, key, rows_per_chunk), key, "left")
+    total = matches.count()
+    rows = season_sums(matches, total > rows_per_chunk)
+    rows = rows.join(form(matches, key, rows_per_chunk, total), key, "left")
     return rows.select(*key, *schema.JOB_B_COLUMNS)

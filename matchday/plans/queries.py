@@ -11,7 +11,7 @@ from matchday import schema
 from matchday.functions import scalars
 from matchday.operators import records as whole
 from matchday.operators.preceding import before, look_back, running_total
-from matchday.operators.split import find_cuts
+from matchday.operators.split import ROWS_PER_CHUNK, find_cuts
 from matchday.operators.teams import SIDE, by_match, by_side
 from matchday.operators.totals import attach, totals, totals_before_day
 from matchday.plans import job_a, job_b, strict
@@ -207,7 +207,7 @@ def season_cum_strict(spark: SparkSession, folder: str) -> DataFrame:
         _team_points(spark, folder), [*group, "team"], "match_date", {"points_before": F.col("points")}
     )
     rows = matches(spark, folder).select("match_id", "match_date", *group, "home_team", "away_team")
-    large = find_cuts(rows, group, ["match_id"]).needed
+    large = rows.count() > ROWS_PER_CHUNK
     for team, name in (("home_team", "htp"), ("away_team", "atp")):
         side = so_far.withColumnsRenamed({"team": team, "points_before": name})
         rows = attach(rows, side, [*group, team, "match_date"], large)
@@ -223,7 +223,7 @@ def season_points_compat(spark: SparkSession, folder: str) -> DataFrame:
         scalars.points(F.col("ftr"), "A").alias("AwayResultScore"),
     )
     kept = ["HT_PTS_HOME", "HT_PTS_AWAY", "HTSP", "AT_PTS_AWAY", "AT_PTS_HOME", "ATSP"]
-    sums = job_b.season_sums(rows)
+    sums = job_b.season_sums(rows, rows.count() > ROWS_PER_CHUNK)
     return sums.select("match_id", *[F.col(name).alias(name.lower()) for name in kept])
 
 
@@ -233,7 +233,7 @@ def season_points_strict(spark: SparkSession, folder: str) -> DataFrame:
 
 def season_goal_diff(spark: SparkSession, folder: str) -> DataFrame:
     rows = matches(spark, folder).select("match_id", "season", "home_team", "away_team", "fthg", "ftag")
-    large = find_cuts(rows, ["season"], ["match_id"]).needed
+    large = rows.count() > ROWS_PER_CHUNK
     for team, goals, name in (("home_team", "fthg", "htasg"), ("away_team", "ftag", "atasg")):
         keys = ["season", team]
         rows = attach(rows, totals(rows, keys, {name: F.col(goals)}), keys, large)

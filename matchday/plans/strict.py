@@ -93,10 +93,11 @@ def features(
             }
         )
 
-    cuts = find_cuts(teams, GROUP, order, rows_per_chunk)
+    total = 2 * played.count()
+    cuts = find_cuts(teams, GROUP, order, rows_per_chunk, total=total)
     rows = look_back(teams, GROUP, order, LAST, last_five, ["points", "goals", "discipline"], [SIDE], cuts)
-    rows = attach(rows, so_far(teams), [*GROUP, DAY], cuts.needed)
-    rows = attach(rows, season_points(teams), GROUP, cuts.needed)
+    rows = attach(rows, so_far(teams), [*GROUP, DAY], total > rows_per_chunk)
+    rows = attach(rows, season_points(teams), GROUP, total > rows_per_chunk)
     sides = {"home": "H", "away": "A"}
     per_match = by_match(
         rows,
