@@ -13,12 +13,13 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StructField, StructType
+
+from matchday.session import checkpoint_folder
 
 CHUNK = "_chunk"
 LAST_CHUNK = "_last_chunk"
 ROWS_PER_CHUNK = 2_000_000
-# Bounds the cut points, which are collected and broadcast (about 100 bytes each).
+# Bounds the cut points, which are broadcast (about 100 bytes each).
 MAX_CHUNKS = 200_000
 SAMPLES_PER_CHUNK = 32
 # Cut points are looked up by digits of the chunk number, so a row meets short lists only.
@@ -64,43 +65,35 @@ def find_cuts(
     rows_per_chunk = max(rows_per_chunk, -(-total // max_chunks))
     step = max(1, rows_per_chunk // SAMPLES_PER_CHUNK)
     per_chunk = rows_per_chunk // step
-    # a hash of the keys decides, so a retried task samples the same rows
-    keys = df.select(*entity, *order).where(F.pmod(F.xxhash64(*entity, *order), F.lit(step)) == 0)
+    # a hash of the order keys decides, so a retried task samples the same rows
+    keys = df.select(*entity, *order).where(F.pmod(F.xxhash64(*order), F.lit(step)) == 0)
     rank = F.row_number().over(Window.partitionBy(*entity).orderBy(*order))
-    points = (
-        keys.withColumn("_rank", rank)
-        .where(F.col("_rank") % per_chunk == 0)
-        .groupBy(*entity)
-        .agg(F.sort_array(F.collect_list(F.struct(*order))).alias("_cuts"))
+    points = keys.withColumn("_rank", rank).where(F.col("_rank") % per_chunk == 0)
+    points = points.select(
+        *[F.col(name).alias(cut) for name, cut in zip(entity, _cut_names(entity))],
+        F.struct(*order).alias("_cut"),
+        (F.col("_rank") / per_chunk).cast("int").alias("_number"),
     )
-    # at most max_chunks cut points in all, whatever the size of the table
-    return _lookup_tables(df, entity, order, points.collect(), points.schema["_cuts"])
+    # all branches of a query must see the same cuts, also after a retry
+    checkpoint_folder(df.sparkSession)
+    points = points.checkpoint()
+    most = points.agg(F.max("_number")).first()[0]
+    return Cuts(entity, order) if most is None else _lookup_tables(entity, order, points, most)
 
 
-def _lookup_tables(df, entity, order, found, cuts_field) -> Cuts:
-    if not found:
-        return Cuts(entity, order)
-    spark = df.sparkSession
-    names = [StructField(f"_cut_{name}", df.schema[name].dataType) for name in entity]
-    groups = [(*row[:-1], len(row["_cuts"])) for row in found]
-    longest = max(row[-1] for row in groups)
+def _lookup_tables(entity: list[str], order: list[str], points: DataFrame, most: int) -> Cuts:
+    names, number = _cut_names(entity), F.col("_number")
     width = 1
-    while width * FANOUT <= longest:
+    while width * FANOUT <= most:
         width *= FANOUT
     digits = []
     while width:
-        rows = []
-        for *group, cuts in found:
-            for head in range(0, len(cuts) + 1, width * FANOUT):
-                tail = cuts[head + width - 1 : head + width * FANOUT - 1 : width]
-                if tail:
-                    rows.append((*group, head // (width * FANOUT), tail))
-        fields = [*names, StructField("_head", IntegerType()), StructField("_cuts", cuts_field.dataType)]
-        longest_list = max(len(row[-1]) for row in rows)
-        digits.append((spark.createDataFrame(rows, StructType(fields)), longest_list))
+        here = points.where((number % width == 0) & (number % (width * FANOUT) != 0))
+        lists = here.groupBy(*names, F.expr(f"_number div {width * FANOUT}").cast("int").alias("_head"))
+        lists = lists.agg(F.sort_array(F.collect_list("_cut")).alias("_cuts"))
+        digits.append((lists, min(FANOUT - 1, most // width)))
         width //= FANOUT
-    sizes = StructType([*names, StructField(LAST_CHUNK, IntegerType())])
-    return Cuts(entity, order, spark.createDataFrame(groups, sizes), tuple(digits))
+    return Cuts(entity, order, points.groupBy(*names).agg(F.max(number).alias(LAST_CHUNK)), tuple(digits))
 
 
 def with_chunk(df: DataFrame, cuts: Cuts) -> DataFrame:
@@ -130,7 +123,11 @@ def large_groups(df: DataFrame, cuts: Cuts) -> DataFrame:
     return df.join(F.broadcast(cuts.groups), same, "inner").drop(*names)
 
 
+def _cut_names(entity: list[str]) -> list[str]:
+    return [f"_cut_{name}" for name in entity]
+
+
 def _same_group(cuts: Cuts) -> tuple[list[Column], list[str]]:
     # null-safe: rows without a team form a group like any other
-    names = [f"_cut_{name}" for name in cuts.entity]
+    names = _cut_names(cuts.entity)
     return [F.col(name).eqNullSafe(F.col(cut)) for name, cut in zip(cuts.entity, names)], names

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from matchday.operators.preceding import before
@@ -17,18 +17,29 @@ def totals(df: DataFrame, keys: list[str], sums: dict[str, Column]) -> DataFrame
     return df.groupBy(*keys).agg(*[F.sum(value).alias(name) for name, value in sums.items()])
 
 
-def totals_before_day(df: DataFrame, entity: list[str], day: str, sums: dict[str, Column]) -> DataFrame:
+def totals_before_day(
+    df: DataFrame, entity: list[str], day: str, sums: dict[str, Column], whole: dict[str, str] | None = None
+) -> DataFrame:
     """Per (group, day), the sums over all earlier days; the day itself is left out.
 
-    Rows are added up per day first, so the running sum meets one row per day and group.
+    Rows are added up per day first, so the running sum meets one row per day and group. ``whole``
+    adds under a new name the sum over all days of the group. Rows without a day count there only.
     """
-    daily = totals(df.where(F.col(day).isNotNull()), [*entity, day], sums)
-    earlier = before(entity, [day])
-    return daily.select(*entity, day, *[F.sum(name).over(earlier).alias(name) for name in sums])
-
-
-def attach(df: DataFrame, summary: DataFrame, on: list[str], large: bool) -> DataFrame:
-    """Left join of a table with a summary of it; a null key finds nothing.
+    daily = totals(df, [*entity, day], sums)
+    earlier, group = before(entity, [day]), Window.partitionBy(*entity)
+    dated = {name: F.when(F.col(day).isNotNull(), F.col(name)) for name in sums}
+    return daily.select(
+        *entity,
+        day,
+        *[F.when(F.col(day).isNotNull(), F.sum(value).over(earlier)).alias(name) for name, value in dated.items()],
+        *[F.sum(name).over(group).alias(new) for new, name in (whole or {}).items()],
+    )
+
+
+def attach(
+    df: DataFrame, summary: DataFrame, on: list[str], large: bool, null_safe: list[str] | None = None
+) -> DataFrame:
+    """Left join of a table with a summary of it; a null key finds nothing unless ``null_safe``.
 
     A large table is not shuffled for this if the summary is small: the summary is computed once,
     kept in the checkpoint folder, counted, and broadcast if it has at most ``BROADCAST_ROWS``.
@@ -40,4 +51,11 @@ def attach(df: DataFrame, summary: DataFrame, on: list[str], large: bool) -> Dat
         summary = summary.checkpoint()
         if summary.count() <= BROADCAST_ROWS:
             summary = F.broadcast(summary)
-    return df.join(summary, on, "left")
+    right = summary.withColumnsRenamed({name: f"_of_{name}" for name in on})
+    equal = [
+        F.col(name).eqNullSafe(F.col(f"_of_{name}"))
+        if name in (null_safe or [])
+        else F.col(name) == F.col(f"_of_{name}")
+        for name in on
+    ]
+    return df.join(right, equal, "left").drop(*[f"_of_{name}" for name in on])

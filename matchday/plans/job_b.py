@@ -64,7 +64,9 @@ def form(
         )
 
     total = matches.count() if total is None else total
-    cuts = find_cuts(long, entity, order, rows_per_chunk, total=2 * total)
+    teams = {code: {"team": F.col(team)} for code, team in (("H", "HomeTeam"), ("A", "AwayTeam"))}
+    keys = by_side(matches, [*key, "Season", "MatchDate"], teams)
+    cuts = find_cuts(keys, entity, order, rows_per_chunk, total=2 * total)
     rows = look_back(long, entity, order, LAST, add, ["points", "goals", "discipline"], [SIDE], cuts)
     return by_match(
         rows,

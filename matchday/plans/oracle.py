@@ -146,6 +146,10 @@ SEASON_CUM = _query(
 OPTIONAL = ["fthg", "ftag", "ftr", "hf", "af", "hy", "ay", "hr", "ar", "league", "home_team", "away_team"]
 N_FIELDS = " + ".join(f"CAST({name} IS NOT NULL AS BIGINT)" for name in OPTIONAL)
 
+LANDED = _query(
+    "SELECT match_date, season, league, home_team, away_team, ftr, fthg, ftag FROM matches"
+)
+
 ORACLE: dict[str, str] = {
     "json_landing": _query("SELECT * EXCLUDE (match_ts) FROM matches"),
     "to_json_messages": _query(f"SELECT match_id, CAST(4 + {N_FIELDS} AS INT) AS n_fields FROM matches"),
@@ -211,4 +215,23 @@ ORACLE: dict[str, str] = {
     "features_b": FEATURES_B,
     "features_strict": FEATURES_STRICT,
     "features_strict_split": FEATURES_STRICT,
+    "csv_scan": _query("SELECT match_id, home_team, fthg, ftr FROM matches"),
+    "csv_union_by_name": _query(
+        "SELECT match_id, season, league, home_team, away_team, ftr, fthg, ftag,"
+        " CASE WHEN match_id % 2 = 0 THEN hy END AS hy, CASE WHEN match_id % 2 = 0 THEN ay END AS ay"
+        " FROM matches"
+    ),
+    "bronze_raw": _query("SELECT season, league, count(*) AS rows FROM matches GROUP BY season, league"),
+    "stream_parquet": LANDED,
+    "stream_docs": LANDED,
+    "fanout": _query(
+        "SELECT CASE WHEN match_id % 37 = 0 THEN 'bad' ELSE 'good' END AS sink, count(*) AS rows"
+        " FROM matches GROUP BY 1"
+    ),
+    "restart": _query("SELECT match_id, season, fthg FROM matches"),
+    "stream_dedup": _query("SELECT match_id, season FROM matches"),
+    "incremental_features": FEATURES_STRICT,
+    "stateful_last5": _query(
+        f"SELECT match_id, side, team, {_sum('points', TEAM, FIVE)} AS form5 FROM team_rows"
+    ),
 }

@@ -167,7 +167,10 @@ def _form(spark: SparkSession, folder: str, **split) -> DataFrame:
     def add(df: DataFrame, group: list[str]) -> DataFrame:
         return df.withColumn("any5", F.sum("points").over(before(group, order, 5)))
 
-    cuts = find_cuts(rows, entity, order, **split)
+    all_matches = matches(spark, folder)
+    teams = {side: {"team": F.col(team)} for side, team in (("H", "home_team"), ("A", "away_team"))}
+    keys = by_side(all_matches, [*ORDER, "season"], teams)
+    cuts = find_cuts(keys, entity, order, total=2 * all_matches.count(), **split)
     rows = look_back(rows, entity, order, 5, add, ["points"], cuts=cuts)
     return by_match(rows, ["match_id"], {"htfl5": ("H", "any5"), "atfl5": ("A", "any5")})
 

@@ -32,12 +32,15 @@ def team_rows(
     weights: dict[str, int] = scalars.CARD_WEIGHTS,
     key: list[str] = KEY,
     time: list[str] = TIME,
+    values: tuple[str, ...] = ("points", "goals", "conceded", "discipline"),
 ) -> DataFrame:
-    """Two rows per match: what each team got out of it."""
+    """Two rows per match: what each team got out of it.
+
+    Only the named ``values`` are made: Spark does not prune fields that are built in an explode.
+    """
 
     def side(code: str, team: str, goals: str, conceded: str, letter: str) -> dict[str, Column]:
-        return {
-            "team": F.col(team),
+        made = {
             "points": scalars.points(F.col("ftr"), code),
             "goals": F.col(goals),
             "conceded": F.col(conceded),
@@ -45,6 +48,7 @@ def team_rows(
                 weights, F.col(f"{letter}y"), F.col(f"{letter}r"), F.col(f"{letter}f")
             ),
         }
+        return {"team": F.col(team), **{name: made[name] for name in values}}
 
     return by_side(
         matches,
@@ -56,10 +60,17 @@ def team_rows(
     )
 
 
-def so_far(teams: DataFrame) -> DataFrame:
-    """Per team and day: points and goals up to the day before, null on a team's first day."""
+def by_day(teams: DataFrame) -> DataFrame:
+    """Per team and day: points and goals up to the day before (null on a team's first day), and
+    the points of the whole season."""
     sums = {"points_before": "points", "goals_before": "goals", "conceded_before": "conceded"}
-    return totals_before_day(teams, GROUP, DAY, {name: F.col(column) for name, column in sums.items()})
+    return totals_before_day(
+        teams,
+        GROUP,
+        DAY,
+        {name: F.col(column) for name, column in sums.items()},
+        whole={"season_points": "points_before"},
+    )
 
 
 def season_points(teams: DataFrame) -> DataFrame:
@@ -79,7 +90,7 @@ def features(
     ``key`` identifies a match, ``time`` orders matches and ``key`` decides between equal times.
     """
     played = matches.where(F.col("ftr").isNotNull())
-    teams = team_rows(played, weights, key, time)
+    teams = team_rows(played, weights, key, time, ("points", "goals", "discipline"))
     order = [name for name in dict.fromkeys([*time, *key, SIDE]) if name not in GROUP]
 
     def last_five(df: DataFrame, group: list[str]) -> DataFrame:
@@ -93,11 +104,12 @@ def features(
             }
         )
 
-    total = 2 * played.count()
-    cuts = find_cuts(teams, GROUP, order, rows_per_chunk, total=total)
+    # where groups are cut does not matter, so the keys of all matches do, and cost less to read
+    total = 2 * matches.count()
+    cuts = find_cuts(team_rows(matches, key=key, time=time, values=()), GROUP, order, rows_per_chunk, total=total)
     rows = look_back(teams, GROUP, order, LAST, last_five, ["points", "goals", "discipline"], [SIDE], cuts)
-    rows = attach(rows, so_far(teams), [*GROUP, DAY], total > rows_per_chunk)
-    rows = attach(rows, season_points(teams), GROUP, total > rows_per_chunk)
+    results = team_rows(played, key=[], time=[], values=("points", "goals", "conceded"))
+    rows = attach(rows, by_day(results), [*GROUP, DAY], total > rows_per_chunk, null_safe=[DAY])
     sides = {"home": "H", "away": "A"}
     per_match = by_match(
         rows,

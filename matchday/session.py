@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -51,3 +52,8 @@ def checkpoint_folder(spark: SparkSession) -> str:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(folder)
     return folder
+
+
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A new folder that all executors share, for files that one run writes and reads again."""
+    return f"{checkpoint_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"

@@ -9,10 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from matchday.schema import text_schema
+from matchday.streaming.sinks import replace_partitions
 
-# The smallest size of a real file, and the naming <league>_<season>.csv.
+# The smallest size of a real file, and the naming <league>_<season>.csv. Other
+# namings are patterns with one group for the league and then one for the season.
 MIN_BYTES = 500
 FILE_NAME = r"([^/_]+)_(\d{4})\.csv$"
+FOLDER_NAME = r"league=([^/]+)/season=(\d{4})/[^/]*\.csv$"
 # Layouts change a few times per decade. Many more mean that the folder holds other files.
 MAX_LAYOUTS = 1_000
 
@@ -67,7 +70,9 @@ def column_names(header: str) -> list[str]:
     return names
 
 
-def csv_union(spark: SparkSession, path: str, min_bytes: int = MIN_BYTES, **options: str) -> DataFrame:
+def csv_union(
+    spark: SparkSession, path: str, min_bytes: int = MIN_BYTES, pattern: str = FILE_NAME, **options: str
+) -> DataFrame:
     """All accepted files below ``path`` as one table by column name, with Season and League.
 
     Files with the same header are read together, so the plan has one scan per layout, not per
@@ -90,11 +95,14 @@ def csv_union(spark: SparkSession, path: str, min_bytes: int = MIN_BYTES, **opti
             .csv(layout["paths"])
         )
         named = [name for name in names if not name.startswith("_c")]
-        tables.append(provenance(table.select(*named, F.col("_metadata.file_path").alias("path"))).drop("path"))
+        rows = table.select(*named, F.col("_metadata.file_path").alias("path"))
+        tables.append(provenance(rows, "path", pattern).drop("path"))
     return reduce(lambda left, right: left.unionByName(right, allowMissingColumns=True), tables)
 
 
-def raw_lines(spark: SparkSession, path: str, min_bytes: int = MIN_BYTES) -> DataFrame:
+def raw_lines(
+    spark: SparkSession, path: str, min_bytes: int = MIN_BYTES, pattern: str = FILE_NAME
+) -> DataFrame:
     """The text of the accepted files line by line, in (file, block_start, position) order.
 
     Lines rather than whole files, so that a large file is split over many tasks.
@@ -106,15 +114,11 @@ def raw_lines(spark: SparkSession, path: str, min_bytes: int = MIN_BYTES) -> Dat
         F.monotonically_increasing_id().alias("position"),
         F.col("value").alias("line"),
     )
-    return provenance(lines, "file")
+    return provenance(lines, "file", pattern)
 
 
 def write_bronze(lines: DataFrame, path: str) -> None:
     """Keep the raw lines as Parquet by season and league; writing a season again replaces it."""
-    (
-        lines.withColumnsRenamed({"Season": "season", "League": "league"})
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("season", "league")
-        .parquet(path)
+    replace_partitions(
+        lines.withColumnsRenamed({"Season": "season", "League": "league"}), path, ["season", "league"]
     )

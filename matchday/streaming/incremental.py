@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from matchday.operators.records import latest
 from matchday.operators.split import ROWS_PER_CHUNK
 from matchday.plans import strict
-from matchday.streaming.sinks import Write
+from matchday.streaming.sinks import Write, replace_partitions
 
 # Seasons of one batch: two years of two digits each.
 MAX_SEASONS = 10_000
@@ -33,7 +33,7 @@ def upsert_and_recompute(
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        _replace(batch.withColumn("batch_id", F.lit(batch_id)), history, ["season", "batch_id"])
+        replace_partitions(batch.withColumn("batch_id", F.lit(batch_id)), history, ["season", "batch_id"])
         pairs = batch.select("season", "league").distinct().persist()
         try:
             found = pairs.select("season").dropna().distinct().limit(MAX_SEASONS + 1).collect()
@@ -49,17 +49,8 @@ def upsert_and_recompute(
             newest = [F.col("batch_id").cast("bigint").desc(), *[F.desc(name) for name in order]]
             matches = latest(touched, key, newest).drop("batch_id")
             result = strict.features(matches, rows_per_chunk, key=key, time=time)
-            _replace(result, features, ["season", "league"])
+            replace_partitions(result, features, ["season", "league"])
         finally:
             pairs.unpersist()
 
     return write
-
-
-def _replace(df: DataFrame, path: str, by: list[str]) -> None:
-    (
-        df.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*by)
-        .parquet(path)
-    )

@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 from typing import Any
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+# the processor travels with the query, so executors need no copy of this package
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 LAST = 5
 GROUP = ["season", "league", "team"]
 OUTPUT = "season string, league string, team string, match_id bigint, side string, at bigint, form5 bigint"

@@ -65,6 +65,21 @@ def replace_batch(path: str, max_records: int = 5_000_000) -> Write:
     return write
 
 
+def replace_partitions(df: DataFrame, path: str, by: list[str]) -> None:
+    """Write Parquet by ``by``, replacing those partitions that ``df`` has rows for.
+
+    Rows are rebalanced by partition, which adaptive execution evens out: a large partition is
+    written by many tasks, many small ones by one.
+    """
+    (
+        df.hint("rebalance", *by)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*by)
+        .parquet(path)
+    )
+
+
 def append_documents(fmt: str, options: dict[str, str]) -> Write:
     """Append each batch to a document store.
 
