@@ -21,6 +21,7 @@ from matchday.sources.fixture import matches, records
 from matchday.sources.messages import to_messages
 from matchday.sources.streams import stream
 from matchday.streaming import jobs, sinks
+from matchday.streaming.carried import form_with_carry
 from matchday.streaming.incremental import upsert_and_recompute
 from matchday.streaming.last_five import last_five, without_copies
 
@@ -77,7 +78,7 @@ def bronze_raw(spark: SparkSession, folder: str) -> DataFrame:
     """Lines kept per season and league, headers included once per file."""
     source, kept = _csv_folder(spark, folder), scratch_folder(spark, "bronze")
     files.write_bronze(files.raw_lines(spark, source, 0, files.FOLDER_NAME), kept)
-    lines = spark.read.option("basePath", kept).parquet(kept)
+    lines = sinks.read_partitions(spark, kept, PAIR)
     data = F.count(F.when(~F.col("line").contains("FTHG"), True))
     return lines.groupBy("season", "league").agg(data.alias("rows"))
 
@@ -192,7 +193,7 @@ def incremental_features(spark: SparkSession, folder: str) -> DataFrame:
         part = spark.readStream.schema(fields).parquet(f"{source}/batch={batch}")
         with_number = _numbered(write, batch)
         _finish(sinks.for_each_batch(part, with_number, scratch_folder(spark, "checkpoint"), once=True))
-    return spark.read.parquet(features).drop("match_ts")
+    return sinks.read_partitions(spark, features, PAIR).drop("match_ts")
 
 
 def _numbered(write: sinks.Write, number: int) -> sinks.Write:
@@ -220,10 +221,45 @@ def stateful_last5(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(out).select("match_id", "side", "team", "form5")
 
 
+def carried_last5(spark: SparkSession, folder: str) -> DataFrame:
+    """Form from batches in time order, with each team's last rows carried from batch to batch."""
+    out, tails = scratch_folder(spark, "form"), scratch_folder(spark, "tails")
+    step = form_with_carry(tails, sinks.replace_batch(out))
+    rows = matches(spark, folder)
+    for number, first in enumerate(range(1, 32, 8)):
+        day = F.dayofmonth("match_ts")
+        step(rows.where((day >= first) & (day < first + 8)), number)
+    return spark.read.parquet(out).select("match_id", "side", "team", *FORM)
+
+
+FORM = ["form5_any", "form5_venue", "goals5_venue", "discipline5_venue"]
+TIE = ["match_ts", "match_id"]
+
+
+def _feature_stream(spark: SparkSession, folder: str, start: Callable[..., StreamingQuery]) -> DataFrame:
+    """A feature job over the whole topic as one micro-batch, written to two sinks."""
+    topic, out, docs = (scratch_folder(spark, name) for name in ("topic", "parquet", "documents"))
+    to_messages(records(spark, folder), TIE).write.parquet(topic)
+    source = stream(spark, "parquet", {"path": topic}, "match_ts timestamp_ntz, match_id bigint, value string")
+    writes = [sinks.replace_batch(out), sinks.append_documents("json", {"path": docs})]
+    _finish(start(source, TIE, scratch_folder(spark, "checkpoint"), *writes, once=True))
+    rows = spark.read.parquet(out).drop("batch_id")
+    return rows.withColumnsRenamed({name: "away_shots" if name == "AS" else name.lower() for name in rows.columns})
+
+
+def stream_features_a(spark: SparkSession, folder: str) -> DataFrame:
+    return _feature_stream(spark, folder, jobs.feature_job_a)
+
+
+def stream_features_b(spark: SparkSession, folder: str) -> DataFrame:
+    return _feature_stream(spark, folder, jobs.feature_job_b)
+
+
 FILE_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in [
         csv_scan, csv_union_by_name, bronze_raw, stream_parquet, stream_docs, fanout, restart,
-        stream_dedup, incremental_features, stateful_last5,
+        stream_dedup, incremental_features, stateful_last5, carried_last5,
+        stream_features_a, stream_features_b,
     ]
 }

@@ -234,4 +234,13 @@ ORACLE: dict[str, str] = {
     "stateful_last5": _query(
         f"SELECT match_id, side, team, {_sum('points', TEAM, FIVE)} AS form5 FROM team_rows"
     ),
+    "carried_last5": _query(
+        "SELECT match_id, side, team,"
+        f" {_sum('points', TEAM, FIVE)} AS form5_any, {_sum('points', TEAM + ', side', FIVE)} AS form5_venue,"
+        f" {_sum('goals', TEAM + ', side', FIVE)} AS goals5_venue,"
+        f" {_sum('discipline', TEAM + ', side', FIVE)} AS discipline5_venue"
+        " FROM team_rows WHERE ftr IS NOT NULL"
+    ),
+    "stream_features_a": f"SELECT * EXCLUDE (match_id) FROM ({FEATURES_A})",
+    "stream_features_b": f"SELECT * EXCLUDE (match_id) FROM ({FEATURES_B})",
 }

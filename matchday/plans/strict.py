@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from matchday.functions import scalars
 from matchday.operators.preceding import before, look_back
-from matchday.operators.split import ROWS_PER_CHUNK, find_cuts
+from matchday.operators.split import ROWS_PER_CHUNK, Cuts, find_cuts
 from matchday.operators.teams import SIDE, by_match, by_side
 from matchday.operators.totals import attach, totals, totals_before_day
 
@@ -21,6 +21,7 @@ GROUP = ["season", "league", "team"]
 KEY = ["match_id"]
 TIME = ["match_ts"]
 DAY = "match_date"
+IN_FRAME = ("points", "goals", "discipline")
 PER_SIDE = [
     "form5_any", "form5_venue", "goals5_venue", "discipline5_venue",
     "points_before", "goals_before", "conceded_before", "season_points",
@@ -60,6 +61,28 @@ def team_rows(
     )
 
 
+def row_order(key: list[str], time: list[str]) -> list[str]:
+    """Order of a team's rows; the last columns only decide between equal times."""
+    return [name for name in dict.fromkeys([*time, *key, SIDE]) if name not in GROUP]
+
+
+def last_five(teams: DataFrame, order: list[str], cuts: Cuts) -> DataFrame:
+    """Add form, goals and discipline over the team's five rows before each one."""
+
+    def add(df: DataFrame, group: list[str]) -> DataFrame:
+        anywhere, venue = before(group, order, LAST), before([*group, SIDE], order, LAST)
+        return df.withColumns(
+            {
+                "form5_any": F.sum("points").over(anywhere),
+                "form5_venue": F.sum("points").over(venue),
+                "goals5_venue": F.sum("goals").over(venue),
+                "discipline5_venue": F.sum("discipline").over(venue),
+            }
+        )
+
+    return look_back(teams, GROUP, order, LAST, add, list(IN_FRAME), [SIDE], cuts)
+
+
 def by_day(teams: DataFrame) -> DataFrame:
     """Per team and day: points and goals up to the day before (null on a team's first day), and
     the points of the whole season."""
@@ -90,24 +113,12 @@ def features(
     ``key`` identifies a match, ``time`` orders matches and ``key`` decides between equal times.
     """
     played = matches.where(F.col("ftr").isNotNull())
-    teams = team_rows(played, weights, key, time, ("points", "goals", "discipline"))
-    order = [name for name in dict.fromkeys([*time, *key, SIDE]) if name not in GROUP]
-
-    def last_five(df: DataFrame, group: list[str]) -> DataFrame:
-        anywhere, venue = before(group, order, LAST), before([*group, SIDE], order, LAST)
-        return df.withColumns(
-            {
-                "form5_any": F.sum("points").over(anywhere),
-                "form5_venue": F.sum("points").over(venue),
-                "goals5_venue": F.sum("goals").over(venue),
-                "discipline5_venue": F.sum("discipline").over(venue),
-            }
-        )
-
+    teams = team_rows(played, weights, key, time, IN_FRAME)
+    order = row_order(key, time)
     # where groups are cut does not matter, so the keys of all matches do, and cost less to read
     total = 2 * matches.count()
     cuts = find_cuts(team_rows(matches, key=key, time=time, values=()), GROUP, order, rows_per_chunk, total=total)
-    rows = look_back(teams, GROUP, order, LAST, last_five, ["points", "goals", "discipline"], [SIDE], cuts)
+    rows = last_five(teams, order, cuts)
     results = team_rows(played, key=[], time=[], values=("points", "goals", "conceded"))
     rows = attach(rows, by_day(results), [*GROUP, DAY], total > rows_per_chunk, null_safe=[DAY])
     sides = {"home": "H", "away": "A"}

@@ -8,10 +8,11 @@ from pyspark.sql import functions as F
 from matchday.operators.records import latest
 from matchday.operators.split import ROWS_PER_CHUNK
 from matchday.plans import strict
-from matchday.streaming.sinks import Write, replace_partitions
+from matchday.streaming.sinks import Write, read_partitions, replace_partitions
 
 # Seasons of one batch: two years of two digits each.
 MAX_SEASONS = 10_000
+PAIR = ["season", "league"]
 
 
 def upsert_and_recompute(
@@ -42,14 +43,14 @@ def upsert_and_recompute(
             if not found:
                 return
             folders = [f"{history}/season={row['season']}" for row in found]
-            versions = spark.read.option("basePath", history).parquet(*folders)
+            versions = read_partitions(spark, history, PAIR, folders)
             # a batch that comes again must not see later ones
             known = versions.where(F.col("batch_id").cast("bigint") <= batch_id)
-            touched = known.join(pairs, ["season", "league"], "left_semi")
+            touched = known.join(pairs, PAIR, "left_semi")
             newest = [F.col("batch_id").cast("bigint").desc(), *[F.desc(name) for name in order]]
             matches = latest(touched, key, newest).drop("batch_id")
             result = strict.features(matches, rows_per_chunk, key=key, time=time)
-            replace_partitions(result, features, ["season", "league"])
+            replace_partitions(result, features, PAIR)
         finally:
             pairs.unpersist()
 

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.readwriter import DataStreamWriter
+from pyspark.sql.types import StringType, StructField, StructType
 
 Write = Callable[[DataFrame, int], None]
 
@@ -80,6 +81,17 @@ def replace_partitions(df: DataFrame, path: str, by: list[str]) -> None:
     )
 
 
+def read_partitions(spark: SparkSession, path: str, text: list[str], folders: list[str] | None = None) -> DataFrame:
+    """Read what ``replace_partitions`` wrote, or some ``folders`` of it.
+
+    The ``text`` columns stay text whatever the session infers from folder names: 0809 is no number.
+    """
+    paths, reader = folders or [path], spark.read.option("basePath", path)
+    found = reader.parquet(*paths).schema
+    fields = [StructField(f.name, StringType() if f.name in text else f.dataType) for f in found]
+    return reader.schema(StructType(fields)).parquet(*paths)
+
+
 def append_documents(fmt: str, options: dict[str, str]) -> Write:
     """Append each batch to a document store.
 
