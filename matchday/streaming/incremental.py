@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from matchday.operators.records import latest
 from matchday.operators.split import ROWS_PER_CHUNK
 from matchday.plans import strict
-from matchday.streaming.sinks import Write, read_partitions, replace_partitions
+from matchday.streaming.sinks import Write, replace_partitions
 
 # Seasons of one batch: two years of two digits each.
 MAX_SEASONS = 10_000
@@ -35,7 +36,7 @@ def upsert_and_recompute(
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         replace_partitions(batch.withColumn("batch_id", F.lit(batch_id)), history, ["season", "batch_id"])
-        pairs = batch.select("season", "league").distinct().persist()
+        pairs = batch.select(*PAIR).distinct().persist()
         try:
             found = pairs.select("season").dropna().distinct().limit(MAX_SEASONS + 1).collect()
             if len(found) > MAX_SEASONS:
@@ -43,14 +44,19 @@ def upsert_and_recompute(
             if not found:
                 return
             folders = [f"{history}/season={row['season']}" for row in found]
-            versions = read_partitions(spark, history, PAIR, folders)
+            fields = StructType([*batch.schema.fields, StructField("batch_id", LongType())])
+            versions = spark.read.schema(fields).option("basePath", history).parquet(*folders)
             # a batch that comes again must not see later ones
-            known = versions.where(F.col("batch_id").cast("bigint") <= batch_id)
+            known = versions.where(F.col("batch_id") <= batch_id)
             touched = known.join(pairs, PAIR, "left_semi")
-            newest = [F.col("batch_id").cast("bigint").desc(), *[F.desc(name) for name in order]]
-            matches = latest(touched, key, newest).drop("batch_id")
-            result = strict.features(matches, rows_per_chunk, key=key, time=time)
-            replace_partitions(result, features, PAIR)
+            newest = [F.desc(name) for name in ["batch_id", *order]]
+            # read several times below, so the search for the newest versions is done once
+            matches = latest(touched, key, newest).drop("batch_id").persist()
+            try:
+                result = strict.features(matches, rows_per_chunk, key=key, time=time)
+                replace_partitions(result, features, PAIR)
+            finally:
+                matches.unpersist()
         finally:
             pairs.unpersist()
 
