@@ -10,6 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 from matchday import schema
 from matchday.plans import job_a, job_b
 from matchday.sources.messages import land, land_flagged, split_quarantine
+from matchday.streaming import sinks
 from matchday.streaming.sinks import Write, fan_out, for_each_batch, skip_empty
 
 
@@ -18,6 +19,26 @@ def landed(messages: DataFrame) -> DataFrame:
     return land(messages, schema.MESSAGE)
 
 
+def landing_job(
+    messages: DataFrame,
+    path: str,
+    checkpoint: str,
+    documents_format: str | None = None,
+    documents: dict[str, str] | None = None,
+    console: bool = False,
+    once: bool = False,
+) -> list[StreamingQuery]:
+    """Start the landing: Parquet, and if asked for documents and console, each its own query."""
+    rows = landed(messages)
+    queries = [sinks.to_parquet(rows, path, f"{checkpoint}/parquet", once)]
+    if documents_format:
+        options = documents or {}
+        queries.append(sinks.to_documents(rows, documents_format, options, f"{checkpoint}/documents", once))
+    if console:
+        queries.append(sinks.to_console(rows, once))
+    return queries
+
+
 def landing_batches(good: Write, bad: Write) -> Write:
     """Per batch: parse once, write good records and quarantined texts apart."""
 

@@ -42,6 +42,19 @@ def for_each_batch(df: DataFrame, write: Write, checkpoint: str, once: bool = Fa
     return _started(writer.option("checkpointLocation", checkpoint), once)
 
 
+def wait(spark: SparkSession, queries: list[StreamingQuery]) -> None:
+    """Return when all of the queries have ended; stop the others and raise if one of them fails."""
+    try:
+        while any(query.isActive for query in queries):
+            spark.streams.awaitAnyTermination()
+            spark.streams.resetTerminated()
+        for query in queries:
+            query.awaitTermination()
+    finally:
+        for query in queries:
+            query.stop()
+
+
 def fan_out(*writes: Write) -> Write:
     """Several writes of one batch, which is computed once and kept for them."""
 
@@ -56,11 +69,16 @@ def fan_out(*writes: Write) -> Write:
     return write
 
 
-def replace_batch(path: str, max_records: int = 5_000_000) -> Write:
-    """Parquet below ``path/batch_id=N``: a batch that comes again replaces its first attempt."""
+def replace_batch(path: str, even_files: bool = False, max_records: int = 5_000_000) -> Write:
+    """Parquet below ``path/batch_id=N``: a batch that comes again replaces its first attempt.
+
+    ``even_files`` rebalances before the write: a small batch becomes one file, a large one files
+    of similar size. That is one more shuffle, so leave it out where tasks write enough each.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        writer = batch.write.mode("overwrite").option("maxRecordsPerFile", max_records)
+        rows = batch.hint("rebalance") if even_files else batch
+        writer = rows.write.mode("overwrite").option("maxRecordsPerFile", max_records)
         writer.parquet(f"{path}/batch_id={batch_id}")
 
     return write

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -95,3 +97,22 @@ def test_dirty_messages(spark):
     keyed = land_flagged(sent, schema.MESSAGE, schema.NATURAL_KEY, ["i"])
     assert keyed.where("i = 4 AND quarantined").count() == 1
     assert keyed.where("i = 2").first()["raw"] == "{bad"
+
+
+def test_publish_and_report(spark, folder, tmp_path):
+    from matchday.plans.publish import LONG_FIRST_YEAR, expected_files, publish
+
+    out = str(tmp_path / "sent")
+    report = publish(spark, folder, "json", {"path": out}).collect()
+    assert len(report) == 80
+    published = {(r["season"], r["league"]): r["rows"] for r in report if r["status"] == "published"}
+    assert published == {("0809", "E0"): 28, ("0910", "E0"): 28, ("2122", "SP1"): 29}
+    assert spark.read.json(out).count() == 85
+    assert expected_files(spark, LONG_FIRST_YEAR).count() == 120
+
+
+def test_even_files(spark, tmp_path):
+    from matchday.streaming.sinks import replace_batch
+
+    replace_batch(str(tmp_path / "out"), even_files=True)(spark.range(0, 1_000, 1, 8), 0)
+    assert len([n for n in os.listdir(tmp_path / "out" / "batch_id=0") if n.endswith(".parquet")]) == 1
