@@ -22,8 +22,9 @@ from matchday.sources.messages import to_messages
 from matchday.sources.streams import stream
 from matchday.streaming import jobs, sinks
 from matchday.streaming.carried import form_with_carry
+from matchday.streaming.copies import without_copies
 from matchday.streaming.incremental import upsert_and_recompute
-from matchday.streaming.last_five import last_five, without_copies
+from matchday.streaming.last_five import last_five
 
 BATCHES = 4
 PAIR = ["league", "season"]
@@ -173,10 +174,10 @@ def stream_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Every match is sent twice; copies within the delay are dropped."""
     topic, out = scratch_folder(spark, "topic"), scratch_folder(spark, "parquet")
     rows = matches(spark, folder).select("match_id", F.col("match_ts").cast("timestamp").alias("at"), "season")
-    for _ in range(2):
-        _write_topic(rows, topic)
-    source = _read_topic(spark, topic, "match_id bigint, at timestamp, season string")
-    once = without_copies(source, ["match_id"], "at", "60 days")
+    for sent in range(2):
+        _write_topic(rows.withColumn("sent", F.lit(sent)), topic)
+    source = _read_topic(spark, topic, "match_id bigint, at timestamp, season string, sent int")
+    once = without_copies(source, ["match_id"], "at", "60 days", "sent")
     _finish(sinks.to_parquet(once, out, scratch_folder(spark, "checkpoint"), once=True))
     return spark.read.parquet(out).select("match_id", "season")
 

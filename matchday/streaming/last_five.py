@@ -97,8 +97,3 @@ def last_five(teams: DataFrame, delay: str) -> DataFrame:
         .withColumn("match_time", F.timestamp_micros("at"))
         .drop("at")
     )
-
-
-def without_copies(matches: DataFrame, key: list[str], time: str, delay: str) -> DataFrame:
-    """Drop repeated matches of a stream that come within ``delay`` of each other."""
-    return matches.withWatermark(time, delay).dropDuplicatesWithinWatermark(key)

@@ -10,7 +10,7 @@ from conftest import SMALL
 from matchday.operators.preceding import before
 from matchday.plans.strict import GROUP, team_rows
 from matchday.sources.fixture import matches
-from matchday.streaming.last_five import last_five, without_copies
+from matchday.streaming.last_five import last_five
 
 
 def _teams(spark):

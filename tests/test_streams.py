@@ -11,7 +11,7 @@ from matchday.plans import job_a, job_b
 from matchday.sources.messages import land, to_messages
 from matchday.sources.streams import kafka_options, stream
 from matchday.streaming import jobs, sinks
-from matchday.streaming.last_five import without_copies
+from matchday.streaming.copies import without_copies
 from test_golden import records
 
 SCHEMA = "value string, id int"
@@ -139,16 +139,20 @@ def test_landing_batches_keep_bad_messages_apart(spark, topic, tmp_path):
     assert [len(row["raw"]) for row in spark.read.parquet(str(tmp_path / "bad")).collect()] == [9]
 
 
-def test_copies_in_a_stream(spark, tmp_path):
-    rows = spark.createDataFrame([(i, f"2024-01-0{i + 1}") for i in range(5)], "id int, day string")
+@pytest.mark.parametrize("differs", [None, "sent"])
+def test_copies_in_a_stream(spark, tmp_path, differs):
+    rows = spark.createDataFrame([(i % 5, f"2024-01-0{i % 5 + 1}", i) for i in range(400)], "id int, day string, sent int")
     for place in range(2):
-        rows.coalesce(1).write.json(str(tmp_path / "in" / f"{place}"))
-    source = stream(spark, "json", {"path": str(tmp_path / "in" / "*"), "maxFilesPerTrigger": "1"}, "id int, day string")
+        rows.withColumn("sent", F.col("sent") + 1_000 * place).coalesce(1).write.json(str(tmp_path / "in" / f"{place}"))
+    options = {"path": str(tmp_path / "in" / "*"), "maxFilesPerTrigger": "1"}
+    source = stream(spark, "json", options, "id int, day string, sent int")
     matches = source.withColumn("at", F.to_timestamp("day"))
-    out = without_copies(matches, ["id"], "at", "30 days")
+    out = without_copies(matches, ["id"], "at", "30 days", differs)
     query = sinks.to_parquet(out, str(tmp_path / "out"), str(tmp_path / "c"), once=True)
     assert query.awaitTermination(120)
-    assert spark.read.parquet(str(tmp_path / "out")).count() == 5
+    kept = spark.read.parquet(str(tmp_path / "out"))
+    assert kept.columns == ["id", "day", "sent", "at"]
+    assert sorted(row["id"] for row in kept.collect()) == list(range(5))
 
 
 def test_upsert_options():
