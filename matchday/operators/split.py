@@ -67,6 +67,7 @@ def find_cuts(
     per_chunk = rows_per_chunk // step
     # a hash of the order keys decides, so a retried task samples the same rows
     keys = df.select(*entity, *order).where(F.pmod(F.xxhash64(*order), F.lit(step)) == 0)
+    # at most SAMPLES_PER_CHUNK * max_chunks keys in all, so a task can hold those of any group
     rank = F.row_number().over(Window.partitionBy(*entity).orderBy(*order))
     points = keys.withColumn("_rank", rank).where(F.col("_rank") % per_chunk == 0)
     points = points.select(

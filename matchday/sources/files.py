@@ -47,7 +47,7 @@ def provenance(df: DataFrame, path: str = "path", pattern: str = FILE_NAME) -> D
 
 
 def headers(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """(path, header): the first line of each file, found by the tasks that read the first blocks."""
+    """(path, header): the first line of each file. One pass over the text, one row out per file."""
     lines = spark.read.text(paths).select(
         "value",
         F.col("_metadata.file_path").alias("path"),

@@ -34,30 +34,37 @@ def upsert_and_recompute(
     order = newest_first or []
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        replace_partitions(batch.withColumn("batch_id", F.lit(batch_id)), history, ["season", "batch_id"])
-        pairs = batch.select(*PAIR).distinct().persist()
+        batch.persist()
         try:
-            found = pairs.select("season").dropna().distinct().limit(MAX_SEASONS + 1).collect()
-            if len(found) > MAX_SEASONS:
-                raise ValueError("season holds something else than season codes")
-            if not found:
-                return
-            folders = [f"{history}/season={row['season']}" for row in found]
-            fields = StructType([*batch.schema.fields, StructField("batch_id", LongType())])
-            versions = spark.read.schema(fields).option("basePath", history).parquet(*folders)
-            # a batch that comes again must not see later ones
-            known = versions.where(F.col("batch_id") <= batch_id)
-            touched = known.join(pairs, PAIR, "left_semi")
-            newest = [F.desc(name) for name in ["batch_id", *order]]
-            # read several times below, so the search for the newest versions is done once
-            matches = latest(touched, key, newest).drop("batch_id").persist()
+            replace_partitions(batch.withColumn("batch_id", F.lit(batch_id)), history, ["season", "batch_id"])
+            pairs = batch.select(*PAIR).distinct().persist()
             try:
-                result = strict.features(matches, rows_per_chunk, key=key, time=time)
-                replace_partitions(result, features, PAIR)
+                recompute(batch, batch_id, pairs)
             finally:
-                matches.unpersist()
+                pairs.unpersist()
         finally:
-            pairs.unpersist()
+            batch.unpersist()
+
+    def recompute(batch: DataFrame, batch_id: int, pairs: DataFrame) -> None:
+        found = pairs.select("season").dropna().distinct().limit(MAX_SEASONS + 1).collect()
+        if len(found) > MAX_SEASONS:
+            raise ValueError("season holds something else than season codes")
+        if not found:
+            return
+        folders = [f"{history}/season={row['season']}" for row in found]
+        fields = StructType([*batch.schema.fields, StructField("batch_id", LongType())])
+        versions = batch.sparkSession.read.schema(fields).option("basePath", history).parquet(*folders)
+        # a batch that comes again must not see later ones
+        known = versions.where(F.col("batch_id") <= batch_id)
+        touched = known.join(pairs, PAIR, "left_semi")
+        # the hash makes the choice the same in every attempt, whatever a batch repeats
+        newest = [*[F.desc(name) for name in ["batch_id", *order]], F.xxhash64(*batch.columns)]
+        # read several times below, so the search for the newest versions is done once
+        matches = latest(touched, key, newest).drop("batch_id").persist()
+        try:
+            result = strict.features(matches, rows_per_chunk, key=key, time=time)
+            replace_partitions(result, features, PAIR)
+        finally:
+            matches.unpersist()
 
     return write
