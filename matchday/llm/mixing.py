@@ -112,13 +112,12 @@ def multipliers(histogram: DataFrame, goals: DataFrame, cap: float = CAP) -> Dat
 
 
 def drawn_copies(sizes: DataFrame, goals: DataFrame, cap: int = CAP) -> DataFrame:
-    """(doc_id, source, size, copies, part): whole copies that follow the rates.
+    """(doc_id, source, size, copies): whole copies that follow the rates.
 
     Within a source, documents in order of size take the whole part of their rate and one more
     each time the running sum of fractions passes a whole number, so both copies and words stay
     near what the rates ask. Running sums come from the histogram; documents of one source and
-    size differ by their place only, which a hash gives, in groups of DEALT_TOGETHER. ``part``
-    is the fraction that was rounded, in millionths.
+    size differ by their place only, which a hash gives, in groups of DEALT_TOGETHER.
     """
     histogram = stored(sizes.groupBy("source", "size").agg(F.count("*").alias("n")), "histogram")
     solved = multipliers(histogram, goals, cap)
@@ -151,30 +150,38 @@ def drawn_copies(sizes: DataFrame, goals: DataFrame, cap: int = CAP) -> DataFram
     # half a unit in front makes the first document of a source no worse off than the others
     at = F.col("before") + SCALE // 2 + F.col("part") * (F.col("ahead") + F.col("rank"))
     more = F.floor(at / SCALE) - F.floor((at - F.col("part")) / SCALE)
-    return ranked.select("doc_id", "source", "size", (F.col("whole") + more).cast("long").alias("copies"), "whole", "part")
+    return ranked.select("doc_id", "source", "size", (F.col("whole") + more).cast("long").alias("copies"))
 
 
-def repaired(drawn: DataFrame, goals: DataFrame) -> DataFrame:
-    """Change one document of each source by one copy, where that brings the source closer."""
+def repaired(drawn: DataFrame, goals: DataFrame, cap: int = CAP) -> DataFrame:
+    """Change one document of each source by one copy, where that brings the source closest."""
     taken = drawn.groupBy("source").agg(F.sum(F.col("copies") * F.col("size")).alias("taken"))
     off = goals.join(taken.withColumnRenamed("source", "of"), F.col("source").eqNullSafe(F.col("of"))).select(
         F.col("source").alias("of"), F.round(F.col("target") - F.col("taken"), 3).alias("off")
     )
-    # only documents that were rounded can be rounded the other way
-    free = drawn.where("part > 0").join(off, F.col("source").eqNullSafe(F.col("of"))).where(
-        F.when(F.col("off") > 0, F.col("copies") == F.col("whole")).otherwise(F.col("copies") > F.col("whole"))
+    free = drawn.join(off, F.col("source").eqNullSafe(F.col("of"))).where(
+        F.when(F.col("off") > 0, F.col("copies") < cap).otherwise(F.col("copies") > 0)
+        & (F.col("size") > 0)
         & (F.col("size") < 2 * F.abs("off"))
     )
     chosen = free.groupBy("of").agg(
-        F.min(F.struct(F.abs(F.col("size") - F.abs("off")).alias("far"), F.xxhash64("doc_id").alias("order"), "doc_id", "size", F.signum("off").alias("way"))).alias("change")
-    ).select(F.col("of"), F.col("change.doc_id").alias("at"), F.col("change.size").alias("at_size"), F.col("change.way").cast("long").alias("way"))
+        F.min(
+            F.struct(
+                F.abs(F.col("size") - F.abs("off")).alias("far"), F.xxhash64("doc_id").alias("order"), "doc_id", "size",
+                "copies", F.signum("off").cast("long").alias("way"),
+            )
+        ).alias("change")
+    ).select(
+        "of", F.col("change.doc_id").alias("at"), F.col("change.size").alias("at_size"),
+        F.col("change.copies").alias("at_copies"), F.col("change.way").alias("way"),
+    )
     hit = (
-        F.col("source").eqNullSafe(F.col("of")) & F.col("doc_id").eqNullSafe(F.col("at")) & (F.col("size") == F.col("at_size"))
-        & (F.col("part") > 0) & (F.col("copies") == F.col("whole") + F.when(F.col("way") > 0, 0).otherwise(1))
+        F.col("source").eqNullSafe(F.col("of")) & F.col("doc_id").eqNullSafe(F.col("at"))
+        & (F.col("size") == F.col("at_size")) & (F.col("copies") == F.col("at_copies"))
     )
-    # rows that repeat a document all change; a source has one change at most
+    # a source has one change at most; rows that repeat the document all change
     return drawn.join(chosen, hit, "left").select(
-        "doc_id", "source", "size", (F.col("copies") + F.coalesce("way", F.lit(0))).alias("copies"), "whole", "part"
+        "doc_id", "source", "size", (F.col("copies") + F.coalesce("way", F.lit(0))).alias("copies")
     )
 
 
@@ -192,7 +199,7 @@ def mixed(
     goals = stored(targets(sizes, weights, share, cap), "targets")
     drawn = stored(drawn_copies(sizes, goals, cap), "drawn")
     for _ in range(REPAIRS):
-        drawn = stored(repaired(drawn, goals), "drawn")
+        drawn = stored(repaired(drawn, goals, cap), "drawn")
     goals = goals.withColumnRenamed("source", "of")
     return drawn.join(goals, F.col("source").eqNullSafe(F.col("of"))).select(
         "doc_id", "source", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken")

@@ -38,7 +38,7 @@ def rows_of(seed=1, hot=True):
     return rows
 
 
-def check(rows, result):
+def check(rows, result, near=0.01):
     sizes, found = {}, {}
     for doc_id, text, _, source, _ in rows:
         sizes[source] = sizes.get(source, 0) + len(WORD.findall(text or ""))
@@ -50,7 +50,7 @@ def check(rows, result):
         found.setdefault(r.source, []).append(r)
     for source, own in found.items():
         off = abs(sum(r.taken for r in own) - goal[source])
-        assert off <= max(0.01 * goal[source], min((r.size for r in own if r.size), default=0)), (source, off, goal[source])
+        assert off <= max(near * goal[source], min((r.size for r in own if r.size), default=0)), (source, off, goal[source])
 
 
 def test_rules_and_reruns(spark):
@@ -65,7 +65,8 @@ def test_rules_and_reruns(spark):
 def test_given_documents(spark):
     table = spark.read.parquet(f"{SMALL}/documents.parquet")
     rows = [tuple(r) for r in table.select("doc_id", "text", "lang", "source", "n_chars").collect()]
-    check(rows, mixed(table).collect())
+    # ten documents a source
+    check(rows, mixed(table).collect(), near=0.1)
 
 
 def test_targets(spark):
@@ -83,13 +84,13 @@ def test_long_documents_follow_the_tilt(spark):
     """A source that is taken more than once takes long documents more often, and the other way round."""
     rng = random.Random(3)
     rows = [(i, "w " * rng.randint(1, 60), "en", "ab"[i % 2], 0) for i in range(2000)]
-    result = mixed(spark.createDataFrame(rows, SCHEMA)).collect()
+    result = mixed(spark.createDataFrame(rows, SCHEMA), weights=(2, 1), share=1.2).collect()
     mean = {}
     for source in "ab":
         own = [r for r in result if r.source == source]
         for name, part in (("short", [r for r in own if r.size < 20]), ("long", [r for r in own if r.size > 40])):
             mean[source, name] = sum(r.copies for r in part) / len(part)
-    assert mean["a", "long"] >= mean["a", "short"] > 1 and mean["b", "long"] < mean["b", "short"] < 1
+    assert 2 > mean["a", "long"] > mean["a", "short"] > 1 and mean["b", "long"] < mean["b", "short"] < 1
 
 
 def test_copies_are_taken(spark, documents):

@@ -57,7 +57,7 @@ def classes(text):
             found[3] += 1
         elif c > "\x7f":
             found[5] += 1
-        else:
+        elif "a" <= c <= "z":
             found[0] += 1
     return found
 
