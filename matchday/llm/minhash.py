@@ -24,11 +24,13 @@ from matchday.llm.words import WordHashes, as_batch, batches_of, mix, rows, shin
 # 32 bands of 4 places: a pair at similarity 0.8 shares no band with probability 5e-8.
 PLACES = 128
 BAND = 4
-# Places are compared by 16 bits of the winner. A pair at 0.8 is estimated below
-# 0.8 - MARGIN with probability under 1e-6.
-MARGIN = 0.18
+# What shares a bucket without being linked is compared by a longer sketch, one bit of the winner per place.
+# A pair at 0.8 is estimated below 0.8 - MARGIN with probability under 1e-6.
+SKETCH = 2048
+MARGIN = 0.065
 # Documents of one block when a bucket's remaining pairs are compared block by block.
 BLOCK = 64
+# Elements ranked at once, for 128 places.
 ELEMENTS_AT_ONCE = 100_000
 
 
@@ -40,11 +42,11 @@ def signatures(sets: list[np.ndarray], places: int = PLACES) -> np.ndarray:
     best = np.full((len(sets), places), np.uint64(2**64 - 1))
     active = [i for i, elements in enumerate(sets) if len(elements)]
     # first round: no document has state yet
-    for part in chunks(active, sets):
+    for part in chunks(active, sets, places):
         owner = np.repeat(part, [len(sets[i]) for i in part])
         rank(best, owner, np.concatenate([sets[i] for i in part]), 0, None, places)
     active = [i for i in active if int(best[i].max()) >> 48 > 0]
-    for part in chunks(active, sets):
+    for part in chunks(active, sets, places):
         owner = np.repeat(part, [len(sets[i]) for i in part])
         elements = np.concatenate([sets[i] for i in part])
         orders = np.tile(np.arange(places, dtype=np.uint16), (len(elements), 1))
@@ -61,14 +63,14 @@ def signatures(sets: list[np.ndarray], places: int = PLACES) -> np.ndarray:
     return best
 
 
-def chunks(active: list[int], sets: list[np.ndarray]) -> Iterator[list[int]]:
-    """Documents in groups of about ELEMENTS_AT_ONCE elements."""
+def chunks(active: list[int], sets: list[np.ndarray], places: int) -> Iterator[list[int]]:
+    """Documents in groups of few enough elements for their shuffles to fit in memory."""
     part: list[int] = []
     size = 0
     for i in active:
         part.append(i)
         size += len(sets[i])
-        if size >= ELEMENTS_AT_ONCE:
+        if size * places >= ELEMENTS_AT_ONCE * 128:
             yield part
             part, size = [], 0
     if part:
@@ -174,95 +176,140 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def candidate_sets(documents: DataFrame, nodes: DataFrame, candidates: DataFrame, shingle: int) -> DataFrame:
-    """(node, elements) for the nodes in ``candidates``, from the text of one of their documents."""
+    """(node, elements, sketch) for the nodes in ``candidates``, from the text of one of their documents."""
     wanted = nodes.join(candidates, "node", "left_semi").select("node", "doc_id", "text_key")
     # a document without an id is found by its text alone
     spot = [F.coalesce("doc_id", F.lit(0)).alias("spot"), F.col("text_key")]
     texts = keyed(documents).select(*spot, "body").join(wanted.select(*spot, "node"), ["spot", "text_key"])
-    schema = pa.schema([("node", pa.binary()), ("elements", pa.binary())])
+    schema = pa.schema([("node", pa.binary()), ("elements", pa.binary()), ("sketch", pa.binary())])
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = WordHashes()
+        for batch in batches:
+            for start in range(0, batch.num_rows, 256):
+                part = batch.slice(start, 256)
+                made = [distinct_shingles(text, shingle, known) for text in part["body"].to_pylist()]
+                same = [digest(elements) == node for elements, node in zip(made, part["node"].to_pylist())]
+                bits = np.packbits((mix(signatures(made, SKETCH)) & np.uint64(1)).astype(bool), axis=1)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        part["node"],
+                        pa.array([elements.tobytes() for elements in made], pa.binary()),
+                        pa.array([row.tobytes() for row in bits], pa.binary()),
+                    ],
+                    schema=schema,
+                ).filter(pa.array(same, pa.bool_()))
 
-        def found() -> Iterator[tuple]:
-            for row in rows(batches):
-                elements = distinct_shingles(row["body"], shingle, known)
-                if digest(elements) == row["node"]:
-                    yield row["node"], elements.tobytes()
-
-        yield from batches_of(found(), schema, 500)
-
-    made = texts.select("node", "body").mapInArrow(make, "node binary, elements binary")
+    made = texts.select("node", "body").mapInArrow(make, "node binary, elements binary, sketch binary")
     return stored(made.dropDuplicates(["node"]), "sets")
 
 
-def remaining_pairs(buckets: DataFrame, nodes: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
-    """Pairs of different components in one bucket whose signatures are alike.
+def remaining_pairs(
+    buckets: DataFrame, nodes: DataFrame, sets: DataFrame, roots: DataFrame, percent: int, best: bool
+) -> DataFrame:
+    """Pairs of different components in one bucket whose sketches are alike.
 
-    Only buckets of three or more nodes that still hold several components are looked at. Their nodes
-    are cut into blocks, and each pair of blocks is compared in one go, so no task holds a bucket
-    and pairs that are not alike are never written.
+    ``buckets`` is (number, band, node); buckets of three or more nodes that still hold several
+    components are looked at. Nodes of a bucket's largest component need no comparison with each
+    other; all others meet every node. Both are cut into blocks, and two blocks are compared in one
+    go, so no task holds a bucket and pairs that are not alike are never written. With ``best``, two
+    components give one pair per two blocks, the most alike. A pair that an earlier band has too is left to that.
     """
     labelled = (
         buckets.join(roots.withColumnRenamed("root", "label"), "node", "left")
-        .select("band", "node", F.coalesce("label", "node").alias("label"))
+        .select("number", "band", "node", F.coalesce("label", "node").alias("label"))
     )
+    shares = labelled.groupBy("band", "label").agg(F.count("*").alias("n"))
     mixed = (
-        labelled.groupBy("band")
-        .agg(F.count("*").alias("size"), F.min("label").alias("lowest"), F.max("label").alias("highest"))
-        .where("size > 2 and lowest <> highest")
-        .select("band", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
-    )
-    placed = (
-        labelled.join(mixed, "band")
-        .withColumn("block", F.pmod(F.xxhash64("node", "band"), F.col("blocks")).cast("int"))
-        .join(nodes.select("node", "n_shingles", "signature"), "node")
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        shares.groupBy("band")
+        .agg(F.max(F.struct("n", "label")).alias("top"), F.sum("n").alias("size"), F.count("*").alias("labels"))
+        .where("size > 2 and labels > 1")
         .select(
-            "band", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"),
-            "block", "node", "label", "n_shingles", "signature",
+            "band", F.col("top.label").alias("major"), F.ceil(F.col("top.n") / BLOCK).cast("int").alias("majors"),
+            F.ceil((F.col("size") - F.col("top.n")) / BLOCK).cast("int").alias("minors"),
         )
     )
+    placed = labelled.join(mixed, "band").withColumn("minor", F.col("label") != F.col("major")).withColumn(
+        "block", F.pmod(F.xxhash64("node", "band"), F.when(F.col("minor"), F.col("minors")).otherwise(F.col("majors"))).cast("int")
+    )
+
+    def meet(blocks: str, make) -> Column:
+        return F.transform(F.sequence(F.lit(0), F.col(blocks) - 1), make)
+
+    def group(kind: int, low: Column, high: Column) -> Column:
+        return F.struct(F.lit(kind).alias("kind"), low.alias("low"), high.alias("high"))
+
+    block = F.col("block")
+    groups = F.when(
+        F.col("minor"),
+        F.concat(
+            meet("minors", lambda other: group(0, F.least(block, other), F.greatest(block, other))),
+            meet("majors", lambda other: group(1, block, other)),
+        ),
+    ).otherwise(meet("minors", lambda other: group(1, other, block)))
+    placed = (
+        placed.withColumn("group", F.explode(groups))
+        .join(nodes.select("node", "n_shingles", "signature").join(sets.select("node", "sketch"), "node"), "node")
+        .select("band", "number", "group.*", "minor", "block", "node", "label", "n_shingles", "signature", "sketch")
+    )
     schema = pa.schema([("a", pa.binary()), ("b", pa.binary())])
     floor = percent / 100 - MARGIN
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def found() -> Iterator[tuple]:
-            key, group = None, []
+            key, held = None, []
             for row in rows(batches):
-                here = (row["band"], row["low"], row["high"])
+                here = (row["band"], row["kind"], row["low"], row["high"])
                 if here != key:
-                    yield from alike(key, group)
-                    key, group = here, []
-                group.append(row)
-            yield from alike(key, group)
+                    yield from alike(key, held)
+                    key, held = here, []
+                held.append(row)
+            yield from alike(key, held)
 
         yield from batches_of(found(), schema)
 
-    def alike(key, group: list[dict]) -> Iterator[tuple]:
-        if not group:
+    def alike(key, held: list[dict]) -> Iterator[tuple]:
+        if len(held) < 2:
             return
-        places = np.stack([np.frombuffer(row["signature"], "<u2") for row in group])
-        block = np.array([row["block"] for row in group])
-        size = np.array([row["n_shingles"] for row in group])
-        label = np.array([row["label"].hex() for row in group])
-        for i, row in enumerate(group):
-            later = np.arange(len(group)) > i
-            # a pair of two blocks is compared across them, a block with itself inside
-            later &= (block != block[i]) if key[1] != key[2] else True
-            later &= label != label[i]
-            later &= np.minimum(size, size[i]) * 100 >= np.maximum(size, size[i]) * percent
-            at = np.flatnonzero(later)
-            if len(at):
-                share = (places[at] == places[i]).mean(axis=1)
-                for j in at[share >= floor]:
-                    yield min(row["node"], group[j]["node"]), max(row["node"], group[j]["node"])
+        _, kind, low, high = key
+        places = np.stack([np.frombuffer(row["signature"], "<u2") for row in held])
+        sketch = np.stack([np.frombuffer(row["sketch"], np.uint64) for row in held])
+        # the two sides that meet; a block with itself has one
+        side = np.array([row["minor"] if kind else row["block"] == low for row in held])
+        size = np.array([row["n_shingles"] for row in held])
+        names = {name: i for i, name in enumerate({row["label"] for row in held})}
+        label = np.array([names[row["label"]] for row in held])
+        number = held[0]["number"]
+        tops: dict[tuple[int, int], tuple[float, int, int]] = {}
+        for i in np.flatnonzero(side).tolist():
+            other = (np.arange(len(held)) > i) if not kind and low == high else ~side
+            other &= label != label[i]
+            other &= np.minimum(size, size[i]) * 100 >= np.maximum(size, size[i]) * percent
+            at = np.flatnonzero(other)
+            if not len(at):
+                continue
+            # half of the bits agree by chance
+            share = 1 - 2 * np.bitwise_count(sketch[at] ^ sketch[i]).sum(axis=1, dtype=np.int64) / SKETCH
+            at, share = at[share >= floor], share[share >= floor]
+            bands = (places[at] == places[i]).reshape(len(at), places.shape[1] // BAND, BAND).all(axis=2)
+            good = bands.argmax(axis=1) == number
+            for j, likeness in zip(at[good].tolist(), share[good].tolist()):
+                if not best:
+                    yield pair(held[i], held[j])
+                    continue
+                labels = (min(label[i], label[j]), max(label[i], label[j]))
+                if likeness > tops.get(labels, (0.0,))[0]:
+                    tops[labels] = (likeness, i, j)
+        for _, i, j in tops.values():
+            yield pair(held[i], held[j])
+
+    def pair(one: dict, other: dict) -> tuple:
+        return min(one["node"], other["node"]), max(one["node"], other["node"])
 
     return (
-        placed.repartition("band", "low", "high")
-        .sortWithinPartitions("band", "low", "high")
+        placed.repartition("band", "kind", "low", "high")
+        .sortWithinPartitions("band", "kind", "low", "high")
         .mapInArrow(compare, "a binary, b binary")
-        .distinct()
     )
 
 
@@ -275,8 +322,9 @@ def near_duplicates(documents: DataFrame, shingle: int = 5, percent: int = 80) -
     it is the document's own.
 
     Equal sets are one node from the start, so thousands of copies cost one grouped minimum. In
-    each bucket of a band every node is checked against the bucket's first node; pairs that are
-    still in different components are then compared block by block (``remaining_pairs``).
+    each bucket of a band every node is checked against one node, drawn anew for each bucket, so a
+    large group hangs together after this. Pairs that are still in different components are
+    compared block by block (``remaining_pairs``), first the most alike, then all that are left.
 
     Null, empty and blank texts have no shingles and are linked with nothing. Rows that repeat a
     doc_id are the same document. A null doc_id takes part, but a component is named by its smallest
@@ -294,29 +342,31 @@ def near_duplicates(documents: DataFrame, shingle: int = 5, percent: int = 80) -
         ).select("node", "first.*", "lowest", "n_shingles", "signature"),
         "nodes",
     )
-    banded = nodes.select("node", "n_shingles", F.explode(band_keys("signature")).alias("band"))
+    banded = nodes.select("node", "n_shingles", F.posexplode(band_keys("signature")).alias("number", "band"))
     heads = (
         banded.groupBy("band")
-        .agg(F.min(F.struct("node", "n_shingles")).alias("head"), F.count("*").alias("size"))
+        .agg(F.min(F.struct(F.xxhash64("node", "band"), "node", "n_shingles")).alias("head"), F.count("*").alias("size"))
         .where("size > 1")
     )
     buckets = stored(banded.join(heads.select("band", "head"), "band"), "buckets")
+    least, most = F.least("node", "head.node"), F.greatest("node", "head.node")
     pairs = stored(
         buckets.where(F.col("node") != F.col("head.node"))
         .where(within_size("n_shingles", "head.n_shingles", percent))
-        .select(F.col("head.node").alias("a"), F.col("node").alias("b"))
+        .select(least.alias("a"), most.alias("b"))
         .distinct(),
         "pairs",
     )
-    crowded = buckets.select("band", "node")
-    candidates = buckets.select("node").distinct()
-    sets = candidate_sets(documents, nodes, candidates, shingle)
+    crowded = buckets.select("number", "band", "node")
+    sets = candidate_sets(documents, nodes, buckets.select("node").distinct(), shingle)
     links = stored(confirmed(pairs, sets, percent), "confirmed")
     roots = stored(components(links), "roots")
-    rest = remaining_pairs(crowded, nodes, roots, percent).join(pairs, ["a", "b"], "left_anti")
-    more = stored(confirmed(rest, sets, percent), "confirmed")
-    if not more.isEmpty():
-        roots = stored(components(links.union(more)), "roots")
+    for best in (True, False):
+        rest = remaining_pairs(crowded, nodes, sets, roots, percent, best).join(pairs, ["a", "b"], "left_anti")
+        more = stored(confirmed(rest, sets, percent), "confirmed")
+        if not more.isEmpty():
+            links = links.union(more)
+            roots = stored(components(links), "roots")
     # name each component by its smallest document
     named = nodes.join(roots, "node").groupBy("root").agg(F.min("lowest").alias("component_id"))
     labels = roots.join(named, "root").select("node", "component_id")
