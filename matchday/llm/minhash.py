@@ -26,8 +26,8 @@ PLACES = 128
 BAND = 4
 # What shares a bucket without being linked is compared by a longer sketch, one bit of the winner per place.
 # A pair at 0.8 is estimated below 0.8 - MARGIN with probability under 1e-6.
-SKETCH = 2048
-MARGIN = 0.065
+SKETCH = 4096
+MARGIN = 0.046
 # Documents of one block when a bucket's remaining pairs are compared block by block.
 BLOCK = 64
 # Elements ranked at once, for 128 places.
@@ -176,45 +176,31 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def candidate_sets(documents: DataFrame, nodes: DataFrame, candidates: DataFrame, shingle: int) -> DataFrame:
-    """(node, elements, sketch) for the nodes in ``candidates``, from the text of one of their documents."""
+    """(node, elements) for the nodes in ``candidates``, from the text of one of their documents."""
     wanted = nodes.join(candidates, "node", "left_semi").select("node", "doc_id", "text_key")
     # a document without an id is found by its text alone
     spot = [F.coalesce("doc_id", F.lit(0)).alias("spot"), F.col("text_key")]
     texts = keyed(documents).select(*spot, "body").join(wanted.select(*spot, "node"), ["spot", "text_key"])
-    schema = pa.schema([("node", pa.binary()), ("elements", pa.binary()), ("sketch", pa.binary())])
+    schema = pa.schema([("node", pa.binary()), ("elements", pa.binary())])
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = WordHashes()
-        for batch in batches:
-            for start in range(0, batch.num_rows, 256):
-                part = batch.slice(start, 256)
-                made = [distinct_shingles(text, shingle, known) for text in part["body"].to_pylist()]
-                same = [digest(elements) == node for elements, node in zip(made, part["node"].to_pylist())]
-                bits = np.packbits((mix(signatures(made, SKETCH)) & np.uint64(1)).astype(bool), axis=1)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        part["node"],
-                        pa.array([elements.tobytes() for elements in made], pa.binary()),
-                        pa.array([row.tobytes() for row in bits], pa.binary()),
-                    ],
-                    schema=schema,
-                ).filter(pa.array(same, pa.bool_()))
 
-    made = texts.select("node", "body").mapInArrow(make, "node binary, elements binary, sketch binary")
-    return stored(made.dropDuplicates(["node"]), "sets")
+        def found() -> Iterator[tuple]:
+            for row in rows(batches):
+                elements = distinct_shingles(row["body"], shingle, known)
+                if digest(elements) == row["node"]:
+                    yield row["node"], elements.tobytes()
 
+        yield from batches_of(found(), schema, 500)
 
-def remaining_pairs(
-    buckets: DataFrame, nodes: DataFrame, sets: DataFrame, roots: DataFrame, percent: int, best: bool
-) -> DataFrame:
-    """Pairs of different components in one bucket whose sketches are alike.
+    made = texts.select("node", "body").mapInArrow(make, "node binary, elements binary")
+    return stored(made.dropDuplicates(["node"]), "sets")
 
-    ``buckets`` is (number, band, node); buckets of three or more nodes that still hold several
-    components are looked at. Nodes of a bucket's largest component need no comparison with each
-    other; all others meet every node. Both are cut into blocks, and two blocks are compared in one
-    go, so no task holds a bucket and pairs that are not alike are never written. With ``best``, two
-    components give one pair per two blocks, the most alike. A pair that an earlier band has too is left to that.
-    """
+
+def mixed_buckets(buckets: DataFrame, roots: DataFrame) -> DataFrame:
+    """(number, band, node, label, major, majors, minors): buckets of three or more nodes that hold several
+    components, with their largest one and the number of blocks on both sides of it."""
     labelled = (
         buckets.join(roots.withColumnRenamed("root", "label"), "node", "left")
         .select("number", "band", "node", F.coalesce("label", "node").alias("label"))
@@ -229,7 +215,37 @@ def remaining_pairs(
             F.ceil((F.col("size") - F.col("top.n")) / BLOCK).cast("int").alias("minors"),
         )
     )
-    placed = labelled.join(mixed, "band").withColumn("minor", F.col("label") != F.col("major")).withColumn(
+    return labelled.join(mixed, "band")
+
+
+def sketched(nodes: DataFrame, sets: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(node, n_shingles, signature, sketch) of the ``wanted`` nodes."""
+    schema = pa.schema([("node", pa.binary()), ("sketch", pa.binary())])
+
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, 256):
+                part = batch.slice(start, 256)
+                made = [np.frombuffer(elements.as_buffer(), np.uint64) for elements in part["elements"]]
+                bits = np.packbits((mix(signatures(made, SKETCH)) & np.uint64(1)).astype(bool), axis=1)
+                yield pa.RecordBatch.from_arrays(
+                    [part["node"], pa.array([row.tobytes() for row in bits], pa.binary())], schema=schema
+                )
+
+    own = sets.join(wanted.select("node").distinct(), "node", "left_semi").select("node", "elements")
+    made = own.mapInArrow(make, "node binary, sketch binary")
+    return stored(nodes.select("node", "n_shingles", "signature").join(made, "node"), "sketches")
+
+
+def remaining_pairs(buckets: DataFrame, sketches: DataFrame, percent: int, best: bool) -> DataFrame:
+    """Pairs of different components in one bucket whose sketches are alike.
+
+    ``buckets`` is from ``mixed_buckets``. Nodes of a bucket's largest component need no comparison with each
+    other; all others meet every node. Both are cut into blocks, and two blocks are compared in one
+    go, so no task holds a bucket and pairs that are not alike are never written. With ``best``, two
+    components give one pair per two blocks, the most alike. A pair that an earlier band has too is left to that.
+    """
+    placed = buckets.withColumn("minor", F.col("label") != F.col("major")).withColumn(
         "block", F.pmod(F.xxhash64("node", "band"), F.when(F.col("minor"), F.col("minors")).otherwise(F.col("majors"))).cast("int")
     )
 
@@ -249,7 +265,7 @@ def remaining_pairs(
     ).otherwise(meet("minors", lambda other: group(1, other, block)))
     placed = (
         placed.withColumn("group", F.explode(groups))
-        .join(nodes.select("node", "n_shingles", "signature").join(sets.select("node", "sketch"), "node"), "node")
+        .join(sketches, "node")
         .select("band", "number", "group.*", "minor", "block", "node", "label", "n_shingles", "signature", "sketch")
     )
     schema = pa.schema([("a", pa.binary()), ("b", pa.binary())])
@@ -361,8 +377,13 @@ def near_duplicates(documents: DataFrame, shingle: int = 5, percent: int = 80) -
     sets = candidate_sets(documents, nodes, buckets.select("node").distinct(), shingle)
     links = stored(confirmed(pairs, sets, percent), "confirmed")
     roots = stored(components(links), "roots")
+    sketches = None
     for best in (True, False):
-        rest = remaining_pairs(crowded, nodes, sets, roots, percent, best).join(pairs, ["a", "b"], "left_anti")
+        mixed = stored(mixed_buckets(crowded, roots), "mixed")
+        # components only grow, so later buckets need no other nodes
+        if sketches is None:
+            sketches = sketched(nodes, sets, mixed)
+        rest = remaining_pairs(mixed, sketches, percent, best).join(pairs, ["a", "b"], "left_anti")
         more = stored(confirmed(rest, sets, percent), "confirmed")
         if not more.isEmpty():
             links = links.union(more)
