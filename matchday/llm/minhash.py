@@ -29,7 +29,7 @@ BAND = 4
 SKETCH = 4096
 MARGIN = 0.046
 # Documents of one block when a bucket's remaining pairs are compared block by block.
-BLOCK = 64
+BLOCK = 256
 # Elements ranked at once, for 128 places.
 ELEMENTS_AT_ONCE = 100_000
 
