@@ -7,6 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+PLAIN_DECIMAL = r"^\s*[+-]?(\d+\.?\d*|\.\d+)\s*$"
 COMPAT, STRICT = "compat", "strict"
 
 # Discipline weights of the two feature jobs.
@@ -15,8 +16,11 @@ CARD_WEIGHTS = {"yellow": 5, "red": 25}
 
 
 def to_int(text: Column) -> Column:
-    """Whole number from text. ``2.0`` gives 2 (a column with blanks is published as floats)."""
-    return text.try_cast("double").try_cast("int")
+    """Whole number from text. ``2.0`` gives 2 (a column with blanks is published as floats).
+
+    Only plain decimals are numbers: ``1e1``, ``2d`` or ``0x1p3`` give null.
+    """
+    return F.when(text.rlike(PLAIN_DECIMAL), text.try_cast("double").try_cast("int"))
 
 
 def cast_stats(df: DataFrame, names: Iterable[str]) -> DataFrame:

@@ -22,13 +22,11 @@ def missing(expected: DataFrame, accepted: DataFrame, on: list[str]) -> DataFram
 
 
 def publish_report(expected: DataFrame, rows: DataFrame, on: list[str]) -> DataFrame:
-    """Per expected pair its number of rows, and whether it was published or is missing."""
+    """Per pair its number of rows, and whether it was published, is missing, or was not expected."""
     counts = rows.groupBy(*on).agg(F.count(F.lit(1)).alias("rows"))
-    return expected.join(counts, on, "left").select(
-        *on,
-        F.coalesce("rows", F.lit(0)).alias("rows"),
-        F.when(F.col("rows").isNull(), "missing").otherwise("published").alias("status"),
-    )
+    both = expected.withColumn("_expected", F.lit(True)).join(counts, on, "full")
+    status = F.when(F.col("rows").isNull(), "missing").when(F.col("_expected"), "published").otherwise("unexpected")
+    return both.select(*on, F.coalesce("rows", F.lit(0)).alias("rows"), status.alias("status"))
 
 
 def drop_copies(df: DataFrame, key: list[str]) -> DataFrame:

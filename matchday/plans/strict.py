@@ -7,6 +7,8 @@ count towards points so far.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -127,7 +129,11 @@ def features(
         key,
         {f"{name}_{column}": (code, column) for name, code in sides.items() for column in PER_SIDE},
     )
-    return played.join(per_match, key).withColumn(
+    # null-safe and to the left: a match whose key has a null is a match, too
+    names = {name: f"_{name}" for name in key}
+    same = reduce(Column.__and__, [F.col(name).eqNullSafe(F.col(other)) for name, other in names.items()])
+    joined = played.join(per_match.withColumnsRenamed(names), same, "left").drop(*names.values())
+    return joined.withColumn(
         "goal_diff_before",
         (F.col("home_goals_before") - F.col("home_conceded_before"))
         - (F.col("away_goals_before") - F.col("away_conceded_before")),

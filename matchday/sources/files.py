@@ -16,8 +16,8 @@ from matchday.streaming.sinks import replace_partitions
 MIN_BYTES = 500
 FILE_NAME = r"([^/_]+)_(\d{4})\.csv$"
 FOLDER_NAME = r"league=([^/]+)/season=(\d{4})/[^/]*\.csv$"
-# Layouts change a few times per decade. Many more mean that the folder holds other files.
-MAX_LAYOUTS = 1_000
+# A header without these is that of another file, such as an error page.
+KEY_FIELDS = {"Date", "HomeTeam", "AwayTeam"}
 
 
 def csv_scan(spark: SparkSession, paths: str | list[str], **options: str) -> DataFrame:
@@ -62,11 +62,21 @@ def headers(spark: SparkSession, paths: list[str]) -> DataFrame:
 
 
 def column_names(header: str) -> list[str]:
-    """Names of a header line; unnamed and repeated columns get their position as a name."""
+    """Names of a header line; unnamed and repeated columns get their position as a name.
+
+    Names that differ in case only are repeated, as they are for Spark. No column is lost.
+    """
+    cells = [cell.strip() for cell in next(csv.reader([header.lstrip("\ufeff")]))]
+    given = {cell.lower() for cell in cells}
     names: list[str] = []
-    for place, cell in enumerate(next(csv.reader([header.lstrip("﻿")]))):
-        name = cell.strip()
-        names.append(name if name and name not in names else f"_c{place}")
+    used: set[str] = set()
+    for place, name in enumerate(cells):
+        if not name or name.lower() in used:
+            name = f"_c{place}"
+            while name.lower() in given | used:
+                name += "_"
+        names.append(name)
+        used.add(name.lower())
     return names
 
 
@@ -82,21 +92,21 @@ def csv_union(
     if not files:
         raise ValueError(f"no CSV file of more than {min_bytes} bytes below {path}")
     groups = headers(spark, files).groupBy("header").agg(F.collect_list("path").alias("paths"))
-    layouts = groups.limit(MAX_LAYOUTS + 1).collect()
-    if len(layouts) > MAX_LAYOUTS:
-        raise ValueError(f"more than {MAX_LAYOUTS} column layouts below {path}")
     tables = []
-    for layout in sorted(layouts, key=lambda row: row["header"]):
+    for layout in sorted(groups.collect(), key=lambda row: row["header"]):
         names = column_names(layout["header"])
+        if not KEY_FIELDS <= set(names):
+            continue
         # names and positions come from this group's own header, so no check per file is needed
         table = (
             spark.read.schema(text_schema(names))
             .options(header=True, enforceSchema=True, mode="PERMISSIVE", **options)
             .csv(layout["paths"])
         )
-        named = [name for name in names if not name.startswith("_c")]
-        rows = table.select(*named, F.col("_metadata.file_path").alias("path"))
-        tables.append(provenance(rows, "path", pattern).drop("path"))
+        found = provenance(table.select(F.col("_metadata.file_path").alias("path"), "*"), "path", pattern)
+        tables.append(found.drop("path"))
+    if not tables:
+        raise ValueError(f"no file below {path} has the columns {sorted(KEY_FIELDS)}")
     return reduce(lambda left, right: left.unionByName(right, allowMissingColumns=True), tables)
 
 

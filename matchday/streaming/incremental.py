@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
@@ -11,9 +13,8 @@ from matchday.operators.split import ROWS_PER_CHUNK
 from matchday.plans import strict
 from matchday.streaming.sinks import Write, replace_partitions
 
-# Seasons of one batch: two years of two digits each.
-MAX_SEASONS = 10_000
 PAIR = ["season", "league"]
+ESCAPED = "\"#%'*/:=?\\{[]^"
 
 
 def upsert_and_recompute(
@@ -29,7 +30,12 @@ def upsert_and_recompute(
     ``history`` holds every version of every match below ``season=S/batch_id=N``; a later batch
     wins, and inside a batch the order of ``newest_first``. ``features`` holds the result below
     ``season=S/league=L``. Both writes replace the partitions of the batch, so a batch that comes
-    again changes nothing. Other seasons are neither read nor written.
+    again changes nothing.
+
+    A batch touches the pairs of its matches and those where an earlier version of one of them
+    stands, so a match that moves leaves its old pair. Whether a version is the newest is asked
+    over all pairs. A pair that loses its last played match becomes empty. Null is a season or league
+    like any other. Of other pairs only keys are read, and nothing is written.
     """
     order = newest_first or []
 
@@ -37,34 +43,68 @@ def upsert_and_recompute(
         batch.persist()
         try:
             replace_partitions(batch.withColumn("batch_id", F.lit(batch_id)), history, ["season", "batch_id"])
-            pairs = batch.select(*PAIR).distinct().persist()
-            try:
-                recompute(batch, batch_id, pairs)
-            finally:
-                pairs.unpersist()
+            if not batch.isEmpty():
+                recompute(batch, batch_id)
         finally:
             batch.unpersist()
 
-    def recompute(batch: DataFrame, batch_id: int, pairs: DataFrame) -> None:
-        found = pairs.select("season").dropna().distinct().limit(MAX_SEASONS + 1).collect()
-        if len(found) > MAX_SEASONS:
-            raise ValueError("season holds something else than season codes")
-        if not found:
-            return
-        folders = [f"{history}/season={row['season']}" for row in found]
+    def recompute(batch: DataFrame, batch_id: int) -> None:
         fields = StructType([*batch.schema.fields, StructField("batch_id", LongType())])
-        versions = batch.sparkSession.read.schema(fields).option("basePath", history).parquet(*folders)
+        versions = batch.sparkSession.read.schema(fields).parquet(history)
         # a batch that comes again must not see later ones
         known = versions.where(F.col("batch_id") <= batch_id)
-        touched = known.join(pairs, PAIR, "left_semi")
+        moved = semi(known.select(*key, *PAIR), batch.select(*key).distinct(), key).select(*PAIR)
+        pairs = batch.select(*PAIR).union(moved).distinct().persist()
+        touched = among(known, pairs)
+        # the newest batch of each match that stands, or stood, in one of the pairs
+        keys = touched.select(*key).distinct()
+        newest_batch = semi(known.select(*key, "batch_id"), keys, key).groupBy(*key).agg(F.max("batch_id").alias("batch_id"))
+        current = semi(touched, newest_batch, [*key, "batch_id"])
         # the hash makes the choice the same in every attempt, whatever a batch repeats
-        newest = [*[F.desc(name) for name in ["batch_id", *order]], F.xxhash64(*batch.columns)]
+        newest = [*[F.desc(name) for name in order], F.xxhash64(*batch.columns)]
         # read several times below, so the search for the newest versions is done once
-        matches = latest(touched, key, newest).drop("batch_id").persist()
+        matches = latest(current, key, newest).drop("batch_id").persist()
         try:
             result = strict.features(matches, rows_per_chunk, key=key, time=time)
             replace_partitions(result, features, PAIR)
+            # a replacement by partition leaves alone those without rows
+            played = matches.where(F.col("ftr").isNotNull()).select(*PAIR).distinct()
+            for pair in anti(pairs, played, PAIR).toLocalIterator():
+                place = "/".join(f"{name}={folder_name(pair[name])}" for name in PAIR)
+                result.drop(*PAIR).limit(0).write.mode("overwrite").parquet(f"{features}/{place}")
         finally:
             matches.unpersist()
+            pairs.unpersist()
 
     return write
+
+
+def same(left: DataFrame, right: DataFrame, on: list[str]) -> Column:
+    return reduce(Column.__and__, [left[name].eqNullSafe(right[f"_{name}"]) for name in on])
+
+
+def semi(left: DataFrame, right: DataFrame, on: list[str], how: str = "left_semi") -> DataFrame:
+    """Rows of ``left`` that have their like in ``right``; null equals null."""
+    right = right.select(*[F.col(name).alias(f"_{name}") for name in on])
+    return left.join(right, same(left, right, on), how)
+
+
+def anti(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
+    return semi(left, right, on, "left_anti")
+
+
+def among(known: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Rows of the pairs. Seasons that are not null join by equality, which lets Spark skip folders."""
+    named = known.where(F.col("season").isNotNull()).join(
+        pairs.where(F.col("season").isNotNull()).select(F.col("season"), F.col("league").alias("_league")), "season"
+    )
+    named = named.where(F.col("league").eqNullSafe(F.col("_league"))).select(*known.columns)
+    return named.union(semi(known.where(F.col("season").isNull()), pairs, PAIR))
+
+
+def folder_name(value: str | None) -> str:
+    """The folder that Spark writes a partition value to."""
+    if value is None or value == "":
+        return "__HIVE_DEFAULT_PARTITION__"
+    # The characters that are escaped in names of partitions.
+    return "".join(f"%{ord(c):02X}" if c in ESCAPED or ord(c) < 32 or ord(c) == 127 else c for c in value)

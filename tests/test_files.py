@@ -46,7 +46,18 @@ def test_no_file_is_an_error(spark, tmp_path):
 
 
 def test_column_names():
-    assert files.column_names("﻿Div,Date,,FTR,FTR, HS ") == ["Div", "Date", "_c2", "FTR", "_c4", "HS"]
+    assert files.column_names("\ufeffDiv,Date,,FTR,FTR, HS ") == ["Div", "Date", "_c2", "FTR", "_c4", "HS"]
+    assert files.column_names("_c1,,_corner,a,A") == ["_c1", "_c1_", "_corner", "a", "_c4"]
+
+
+def test_odd_columns_are_kept(spark, tmp_path):
+    lines = "Date,HomeTeam,AwayTeam,HY,HY,,_corner\n" + "".join(f"{i},a,b,1,2,3,4\n" for i in range(99))
+    (tmp_path / "E0_0809.csv").write_text(lines)
+    (tmp_path / "E0_0910.csv").write_text("<html>,x\n" * 99)
+    rows = files.csv_union(spark, str(tmp_path))
+    assert rows.count() == 99
+    first = rows.first()
+    assert [first[name] for name in ("HY", "_c4", "_c5", "_corner", "Season")] == ["1", "2", "3", "4", "0809"]
 
 
 def test_csv_union_by_name(spark, folder):

@@ -70,3 +70,36 @@ def test_as_a_stream(spark, rows, tmp_path, same):
     )
     assert query.awaitTermination(300)
     same(spark.read.parquet(str(tmp_path / "features")), strict.features(rows))
+
+
+def test_moved_match_leaves_its_pair(spark, rows, tmp_path, same):
+    first = rows.withColumn("league", F.col("league"))
+    move = rows.where("season = '0809' AND league = 'E0'").orderBy("match_id").limit(3).withColumn("league", F.lit("SP1"))
+    other = rows.where("season = '0809' AND league = 'E0'").orderBy(F.desc("match_id")).limit(1)
+    got = run(spark, tmp_path, [(0, first), (1, move), (2, other)])
+    ids = [r.match_id for r in move.collect()]
+    same(got, strict.features(first.where(~F.col("match_id").isin(ids)).union(move)))
+
+
+def test_withdrawn_result_empties_its_pair(spark, rows, tmp_path, same):
+    one = rows.where("season = '0809' AND league = 'D1' AND ftr IS NOT NULL").orderBy("match_id").limit(1)
+    one = one.withColumn("league", F.lit("a/b=c"))
+    rest = rows.where("season = '0910'")
+    withdrawn = one.withColumn("ftr", F.lit(None).cast("string"))
+    got = run(spark, tmp_path, [(0, one.union(rest)), (1, withdrawn)])
+    same(got, strict.features(rest))
+
+
+def test_null_season_and_league(spark, rows, tmp_path, same):
+    few = rows.where("season = '0809' AND league = 'E0'").orderBy("match_id").limit(30)
+    odd = few.withColumn("season", F.when(F.col("match_id") % 3 > 0, F.col("season"))).withColumn(
+        "league", F.when(F.col("match_id") % 2 > 0, F.col("league"))
+    ).cache()
+    got = run(spark, tmp_path, [(0, part(odd, 0, 2)), (1, part(odd, 1, 2))])
+    same(got, strict.features(odd))
+
+
+def test_null_key(spark, rows):
+    few = rows.where("season = '0809' AND league = 'E0' AND ftr IS NOT NULL").orderBy("match_ts").limit(5)
+    keyed = few.withColumn("match_id", F.when(F.col("match_id") != few.first().match_id, F.col("match_id")))
+    assert strict.features(keyed).count() == 5

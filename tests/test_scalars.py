@@ -63,3 +63,10 @@ def test_discipline_is_null_if_a_weighted_term_is(spark):
     cards = scalars.discipline(scalars.CARD_WEIGHTS, F.col("y"), F.col("r"), F.col("f"))
     got = rows.select(fouls.alias("a"), cards.alias("b")).collect()
     assert [tuple(row) for row in got] == [(None, 30), (39, 30)]
+
+
+def test_only_plain_decimals_are_numbers(spark):
+    texts = ["1e1", "2d", "2f", "0x1p3", "2.0", " 7 ", "-3", "+4", ".5", "5.", "NaN", "", None, "x"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = [r.n for r in df.select(scalars.to_int(F.col("t")).alias("n")).collect()]
+    assert got == [None, None, None, None, 2, 7, -3, 4, 0, 5, None, None, None, None]
