@@ -8,6 +8,8 @@ from __future__ import annotations
 
 import argparse
 
+from pyspark.sql import functions as F
+
 from matchday.plans.publish import FIRST_YEAR, LAST_YEAR, publish
 from matchday.session import build_session
 from matchday.sources.streams import stream
@@ -28,6 +30,7 @@ def _arguments() -> argparse.Namespace:
     send.add_argument("--files", required=True, help="folder of <league>_<season>.csv files")
     send.add_argument("--format", default="kafka")
     send.add_argument("--sink", action="append", metavar="NAME=VALUE")
+    send.add_argument("--report", help="folder for the report as CSV, a row per season and league")
     send.add_argument("--first-year", type=int, default=FIRST_YEAR)
     send.add_argument("--last-year", type=int, default=LAST_YEAR)
 
@@ -40,6 +43,7 @@ def _arguments() -> argparse.Namespace:
         job.add_argument("--format", default="kafka")
         job.add_argument("--source", action="append", metavar="NAME=VALUE")
         job.add_argument("--schema", help="columns of a file source, with value")
+        job.add_argument("--max-per-trigger", type=int, help="offsets, or files, of one micro-batch")
         job.add_argument("--checkpoint", required=True)
         job.add_argument("--out", required=True, help="Parquet folder of this job alone")
         job.add_argument("--documents-format")
@@ -47,6 +51,7 @@ def _arguments() -> argparse.Namespace:
         job.add_argument("--once", action="store_true", help="stop when all is read")
         if name == "land":
             job.add_argument("--console", action="store_true")
+            job.add_argument("--quarantine", help="Parquet folder for texts that are no record")
         else:
             job.add_argument("--tie", default="partition,offset", help="columns that order matches of a day")
     return parser.parse_args()
@@ -57,13 +62,18 @@ def main() -> None:
     spark = build_session(f"matchday {args.job}", args.master, **_pairs(args.conf))
     if args.job == "publish":
         options = _pairs(args.sink)
-        publish(spark, args.files, args.format, options, args.first_year, args.last_year).show(1_000, False)
+        report = publish(spark, args.files, args.format, options, args.first_year, args.last_year)
+        if args.report:
+            report.write.mode("overwrite").option("header", True).csv(args.report)
+        # one line per outcome; the pairs are in the report
+        report.groupBy("status").agg(F.count("*").alias("pairs"), F.sum("rows").alias("rows")).orderBy("status").show()
         return
-    messages = stream(spark, args.format, _pairs(args.source), args.schema)
+    messages = stream(spark, args.format, _pairs(args.source), args.schema, args.max_per_trigger)
     documents = _pairs(args.documents)
     if args.job == "land":
         started = jobs.landing_job(
-            messages, args.out, args.checkpoint, args.documents_format, documents, args.console, args.once
+            messages, args.out, args.checkpoint, args.documents_format, documents, args.console, args.once,
+            args.quarantine,
         )
     else:
         writes = [sinks.replace_batch(args.out)]

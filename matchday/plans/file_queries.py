@@ -197,6 +197,37 @@ def incremental_features(spark: SparkSession, folder: str) -> DataFrame:
     return sinks.read_partitions(spark, features, PAIR).drop("match_ts")
 
 
+def _after_correction(spark: SparkSession, folder: str, first: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """All matches as ``first`` has them, then those that it changed as they are: two batches."""
+    history, features = scratch_folder(spark, "history"), scratch_folder(spark, "features")
+    write = upsert_and_recompute(history, features)
+    rows = matches(spark, folder)
+    wrong = first(rows)
+    write(wrong, 0)
+    write(rows.exceptAll(wrong), 1)
+    return sinks.read_partitions(spark, features, PAIR).drop("match_ts")
+
+
+def incremental_moved(spark: SparkSession, folder: str) -> DataFrame:
+    """Matches that first came under another league, some of them without season or league."""
+    league = F.when(F.col("match_id") % 5 == 0, F.lit("SP1")).when(F.col("match_id") % 7 != 0, F.col("league"))
+    season = F.when(F.col("match_id") % 11 != 0, F.col("season"))
+    return _after_correction(spark, folder, lambda rows: rows.withColumns({"league": league, "season": season}))
+
+
+def incremental_withdrawn(spark: SparkSession, folder: str) -> DataFrame:
+    """Results that are taken back, those of a league of their own among them."""
+    gone = F.col("ftr").isNull()
+    changes = {"ftr": F.coalesce("ftr", F.lit("H")), "league": F.when(gone, F.lit("X=1/2")).otherwise(F.col("league"))}
+    return _after_correction(spark, folder, lambda rows: rows.withColumns(changes))
+
+
+def features_strict_null_key(spark: SparkSession, folder: str) -> DataFrame:
+    """The flagship with a key of which one column is always null."""
+    rows = matches(spark, folder).withColumn("leg", F.lit(None).cast("string"))
+    return strict.features(rows, key=["match_id", "leg"]).drop("match_ts", "leg")
+
+
 def _numbered(write: sinks.Write, number: int) -> sinks.Write:
     return lambda batch, _: write(batch, number)
 
@@ -260,7 +291,7 @@ FILE_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in [
         csv_scan, csv_union_by_name, bronze_raw, stream_parquet, stream_docs, fanout, restart,
-        stream_dedup, incremental_features, stateful_last5, carried_last5,
+        stream_dedup, incremental_features, incremental_moved, incremental_withdrawn, features_strict_null_key, stateful_last5, carried_last5,
         stream_features_a, stream_features_b,
     ]
 }

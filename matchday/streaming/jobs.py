@@ -27,10 +27,18 @@ def landing_job(
     documents: dict[str, str] | None = None,
     console: bool = False,
     once: bool = False,
+    quarantine: str | None = None,
 ) -> list[StreamingQuery]:
-    """Start the landing: Parquet, and if asked for documents and console, each its own query."""
-    rows = landed(messages)
+    """Start the landing: Parquet, and if asked for documents and console, each its own query.
+
+    With ``quarantine``, texts that are no record go to that folder and not to the others.
+    """
+    rows, rejected = landed(messages), None
+    if quarantine:
+        rows, rejected = split_quarantine(land_flagged(messages, schema.MESSAGE, schema.NATURAL_KEY))
     queries = [sinks.to_parquet(rows, path, f"{checkpoint}/parquet", once)]
+    if rejected is not None:
+        queries.append(sinks.to_parquet(rejected, quarantine, f"{checkpoint}/quarantine", once))
     if documents_format:
         options = documents or {}
         queries.append(sinks.to_documents(rows, documents_format, options, f"{checkpoint}/documents", once))

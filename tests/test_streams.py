@@ -157,3 +157,26 @@ def test_copies_in_a_stream(spark, tmp_path, differs):
 
 def test_upsert_options():
     assert sinks.upsert_options("d", "c", ["Season", "Date"])["idFieldList"] == "Season,Date"
+
+
+def test_source_options():
+    from matchday.sources.streams import source_options
+
+    given = {"kafka.bootstrap.servers": "h:9092", "subscribe": "t", "startingOffsets": "latest"}
+    assert source_options("kafka", given, 50) == {**given, "failOnDataLoss": "false", "maxOffsetsPerTrigger": "50"}
+    assert source_options("kafka", {})["startingOffsets"] == "earliest"
+    assert source_options("parquet", {"a": "b"}, 2) == {"a": "b", "maxFilesPerTrigger": "2"}
+
+
+def test_landing_with_quarantine(spark, tmp_path):
+    from matchday.streaming.jobs import landing_job
+
+    good = '{"Season":"0809","League":"E0","Date":"01/02/2009","HomeTeam":"A","AwayTeam":"B","FTHG":2}'
+    texts = [good, "{bad", None, '{"Season":"0809","League":"E0"}']
+    spark.createDataFrame([(t,) for t in texts], "value string").write.parquet(str(tmp_path / "in"))
+    source = spark.readStream.schema("value string").parquet(str(tmp_path / "in"))
+    out, bad = str(tmp_path / "out"), str(tmp_path / "bad")
+    for query in landing_job(source, out, str(tmp_path / "c"), once=True, quarantine=bad):
+        assert query.awaitTermination(120)
+    assert [r.HomeTeam for r in spark.read.parquet(out).collect()] == ["A"]
+    assert spark.read.parquet(bad).count() == 3
