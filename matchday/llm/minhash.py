@@ -29,7 +29,7 @@ BAND = 4
 SKETCH = 4096
 MARGIN = 0.046
 # Documents of one block when a bucket's remaining pairs are compared block by block.
-BLOCK = 256
+BLOCK = 512
 # Elements ranked at once, for 128 places.
 ELEMENTS_AT_ONCE = 100_000
 
@@ -259,7 +259,10 @@ def remaining_pairs(buckets: DataFrame, sketches: DataFrame, percent: int, best:
     groups = F.when(
         F.col("minor"),
         F.concat(
-            meet("minors", lambda other: group(0, F.least(block, other), F.greatest(block, other))),
+            F.filter(
+                meet("minors", lambda other: group(0, F.least(block, other), F.greatest(block, other))),
+                lambda two: two["low"] < two["high"],
+            ),
             meet("majors", lambda other: group(1, block, other)),
         ),
     ).otherwise(meet("minors", lambda other: group(1, other, block)))
@@ -290,7 +293,7 @@ def remaining_pairs(buckets: DataFrame, sketches: DataFrame, percent: int, best:
         _, kind, low, high = key
         places = np.stack([np.frombuffer(row["signature"], "<u2") for row in held])
         sketch = np.stack([np.frombuffer(row["sketch"], np.uint64) for row in held])
-        # the two sides that meet; a block with itself has one
+        # the two sides that meet; a block meets itself beside the first block of the largest component
         side = np.array([row["minor"] if kind else row["block"] == low for row in held])
         size = np.array([row["n_shingles"] for row in held])
         names = {name: i for i, name in enumerate({row["label"] for row in held})}
@@ -298,7 +301,9 @@ def remaining_pairs(buckets: DataFrame, sketches: DataFrame, percent: int, best:
         number = held[0]["number"]
         tops: dict[tuple[int, int], tuple[float, int, int]] = {}
         for i in np.flatnonzero(side).tolist():
-            other = (np.arange(len(held)) > i) if not kind and low == high else ~side
+            other = ~side
+            if kind and high == 0:
+                other |= np.arange(len(held)) > i
             other &= label != label[i]
             other &= np.minimum(size, size[i]) * 100 >= np.maximum(size, size[i]) * percent
             at = np.flatnonzero(other)
