@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from matchday.operators.preceding import before
 from matchday.session import checkpoint_folder
 
-# About 100 bytes a row, so at most some 100 MB per executor.
-BROADCAST_ROWS = 1_000_000
+# What every executor may have to hold of a summary, counted as text with 16 bytes more for a value.
+BROADCAST_BYTES = 100_000_000
 
 
 def totals(df: DataFrame, keys: list[str], sums: dict[str, Column]) -> DataFrame:
@@ -36,20 +36,26 @@ def totals_before_day(
     )
 
 
+def size_of(df: DataFrame) -> int:
+    """Bytes of all values as text, and 16 for each."""
+    width = sum((F.coalesce(F.octet_length(F.col(name).cast("string")), F.lit(0)) + 16 for name in df.columns), F.lit(0))
+    return df.agg(F.sum(width)).first()[0] or 0
+
+
 def attach(
     df: DataFrame, summary: DataFrame, on: list[str], large: bool, null_safe: list[str] | None = None
 ) -> DataFrame:
     """Left join of a table with a summary of it; a null key finds nothing unless ``null_safe``.
 
     A large table is not shuffled for this if the summary is small: the summary is computed once,
-    kept in the checkpoint folder, counted, and broadcast if it has at most ``BROADCAST_ROWS``.
+    kept in the checkpoint folder, measured, and broadcast if it has at most ``BROADCAST_BYTES``.
     Beyond that, and for a table too small to matter, the join is left to adaptive execution, which
     sizes both sides at run time and splits skewed partitions.
     """
     if large:
         checkpoint_folder(df.sparkSession)
         summary = summary.checkpoint()
-        if summary.count() <= BROADCAST_ROWS:
+        if size_of(summary) <= BROADCAST_BYTES:
             summary = F.broadcast(summary)
     right = summary.withColumnsRenamed({name: f"_of_{name}" for name in on})
     equal = [

@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 import csv
-from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from matchday.schema import text_schema
+from matchday.session import scratch_folder
 from matchday.streaming.sinks import replace_partitions
 
 # The smallest size of a real file, and the naming <league>_<season>.csv. Other
@@ -31,9 +31,19 @@ def list_files(spark: SparkSession, path: str) -> DataFrame:
     return reader.load(path).select("path", "length")
 
 
+def gate(length: Column, path: Column, min_bytes: int = MIN_BYTES) -> Column:
+    """CSV by name and larger than an error page."""
+    return (length > min_bytes) & path.endswith(".csv")
+
+
 def accepted(files: DataFrame, min_bytes: int = MIN_BYTES) -> DataFrame:
-    """Files that are CSV by name and larger than an error page."""
-    return files.where((F.col("length") > min_bytes) & F.col("path").endswith(".csv"))
+    """Those of ``list_files`` that pass the gate."""
+    return files.where(gate(F.col("length"), F.col("path"), min_bytes))
+
+
+def passed(rows: DataFrame, min_bytes: int = MIN_BYTES) -> DataFrame:
+    """Rows of a file source whose file passes the gate; Spark skips the other files."""
+    return rows.where(gate(F.col("_metadata.file_size"), F.col("_metadata.file_path"), min_bytes))
 
 
 def provenance(df: DataFrame, path: str = "path", pattern: str = FILE_NAME) -> DataFrame:
@@ -46,9 +56,9 @@ def provenance(df: DataFrame, path: str = "path", pattern: str = FILE_NAME) -> D
     )
 
 
-def headers(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """(path, header): the first line of each file. One pass over the text, one row out per file."""
-    lines = spark.read.text(paths).select(
+def headers(spark: SparkSession, path: str, min_bytes: int = MIN_BYTES) -> DataFrame:
+    """(path, header): the first line of each accepted file. One pass over the text, one row out per file."""
+    lines = passed(spark.read.option("recursiveFileLookup", True).text(path), min_bytes).select(
         "value",
         F.col("_metadata.file_path").alias("path"),
         F.col("_metadata.file_block_start").alias("start"),
@@ -85,29 +95,47 @@ def csv_union(
 ) -> DataFrame:
     """All accepted files below ``path`` as one table by column name, with Season and League.
 
-    Files with the same header are read together, so the plan has one scan per layout, not per
-    file. The driver holds the file list, as it does for any Spark read, and the distinct headers.
+    One scan reads the files of all layouts by position. Each file's header says at which position a
+    column stands; it meets the rows by the file's path, by a broadcast if the headers, kept in the
+    scratch folder, are small by Spark's own threshold. The driver holds the distinct headers, which
+    make up the result's columns, and no file names. Names that differ in case only are one column.
     """
-    files = [row["path"] for row in accepted(list_files(spark, path), min_bytes).collect()]
-    if not files:
+    kept = f"{scratch_folder(spark, 'headers')}.parquet"
+    headers(spark, path, min_bytes).write.parquet(kept)
+    found = spark.read.parquet(kept)
+    layouts = sorted(row["header"] for row in found.select("header").distinct().collect())
+    if not layouts:
         raise ValueError(f"no CSV file of more than {min_bytes} bytes below {path}")
-    groups = headers(spark, files).groupBy("header").agg(F.collect_list("path").alias("paths"))
-    tables = []
-    for layout in sorted(groups.collect(), key=lambda row: row["header"]):
-        names = column_names(layout["header"])
-        if not KEY_FIELDS <= set(names):
-            continue
-        # names and positions come from this group's own header, so no check per file is needed
-        table = (
-            spark.read.schema(text_schema(names))
-            .options(header=True, enforceSchema=True, mode="PERMISSIVE", **options)
-            .csv(layout["paths"])
-        )
-        found = provenance(table.select(F.col("_metadata.file_path").alias("path"), "*"), "path", pattern)
-        tables.append(found.drop("path"))
-    if not tables:
+    named = {header: column_names(header) for header in layouts}
+    named = {header: names for header, names in named.items() if KEY_FIELDS <= set(names)}
+    if not named:
         raise ValueError(f"no file below {path} has the columns {sorted(KEY_FIELDS)}")
-    return reduce(lambda left, right: left.unionByName(right, allowMissingColumns=True), tables)
+    union: dict[str, str] = {}
+    for names in named.values():
+        for name in names:
+            union.setdefault(name.lower(), name)
+    places = []
+    for header, names in named.items():
+        at = {name.lower(): place for place, name in enumerate(names)}
+        places.append((header, [at.get(name) for name in union]))
+    positions = [f"_{place}" for place in range(max(map(len, named.values())))]
+    cells = passed(
+        spark.read.schema(text_schema(positions))
+        .options(header=True, enforceSchema=True, mode="PERMISSIVE", recursiveFileLookup=True, **options)
+        .csv(path),
+        min_bytes,
+    ).select(F.col("_metadata.file_path").alias("path"), F.array(*positions).alias("cells"))
+    where = found.join(spark.createDataFrame(places, "header string, places array<int>"), "header").drop("header")
+    rows = provenance(cells.join(where, "path"), "path", pattern)
+    return rows.select(
+        *[
+            F.get("cells", F.get("places", F.lit(place))).alias(name)
+            for place, (lower, name) in enumerate(union.items())
+            if lower not in ("season", "league")
+        ],
+        "Season",
+        "League",
+    )
 
 
 def raw_lines(
@@ -117,8 +145,7 @@ def raw_lines(
 
     Lines rather than whole files, so that a large file is split over many tasks.
     """
-    files = [row["path"] for row in accepted(list_files(spark, path), min_bytes).collect()]
-    lines = spark.read.text(files).select(
+    lines = passed(spark.read.option("recursiveFileLookup", True).text(path), min_bytes).select(
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block_start"),
         F.monotonically_increasing_id().alias("position"),

@@ -34,3 +34,20 @@ def test_batches_in_time_order(spark, tmp_path, same, rows_per_chunk):
     same(spark.read.parquet(out).drop("batch_id"), expected)
     sides = strict.LAST * spark.read.parquet(f"{tails}/batch_id=3").select("team", "side").distinct().count()
     assert spark.read.parquet(f"{tails}/batch_id=3").count() <= sides
+
+
+def test_late_batches_and_other_runs_are_refused(spark, tmp_path):
+    rows = matches(spark, SMALL).where("ftr IS NOT NULL")
+    rows = rows.withColumns({"home_team": F.lit("F1_hot"), "league": F.lit("F1"), "season": F.lit("0809")}).cache()
+    day = F.dayofmonth("match_ts")
+    step = form_with_carry(str(tmp_path / "tails"), replace_batch(str(tmp_path / "out")))
+    step(rows.where(day <= 5), 0)
+    step(rows.where(day == 10), 1)
+    with pytest.raises(ValueError, match="late"):
+        step(rows.where(day == 7), 2)
+    with pytest.raises(ValueError, match="late"):
+        step(rows.where(day == 10), 2)
+    assert not (tmp_path / "out" / "batch_id=2").exists()
+    step(rows.where(day == 11), 2)
+    with pytest.raises(ValueError, match="another run"):
+        step(rows.where(day <= 5), 0)

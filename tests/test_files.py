@@ -71,9 +71,17 @@ def test_csv_union_by_name(spark, folder):
     assert (new["FTR"], new["FTHG"], new["FTAG"], new["AS"], new["B365H"]) == ("A", "0", "2", "4", "1.3")
 
 
-def test_one_scan_per_layout(spark, folder):
-    plan = files.csv_union(spark, folder)._jdf.queryExecution().optimizedPlan().toString()
-    assert plan.count("Relation [") == 2
+def test_one_scan_for_all_layouts(spark, tmp_path):
+    head = "Date,HomeTeam,AwayTeam,"
+    for year in range(10, 40):
+        lines = f"x{year},{head}a,A\n" + "".join(f"{year},d{i},h,w,{i},{i + 1}\n" for i in range(60))
+        (tmp_path / f"E0_{year}{year + 1}.csv").write_text(lines)
+    rows = files.csv_union(spark, str(tmp_path))
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count(" csv") == 1
+    assert rows.count() == 30 * 60
+    row = rows.where("Season = '2021' AND Date = 'd7'").first()
+    assert [row[name] for name in ("x20", "x21", "a", "_c5")] == ["20", None, "7", "8"]
 
 
 def test_csv_to_messages_and_back(spark, folder, same):

@@ -13,9 +13,9 @@ def rows(spark):
     return spark.createDataFrame(data, "team string, day string, v int")
 
 
-@pytest.mark.parametrize("large, broadcast_rows", [(False, 0), (True, 1_000), (True, 0)])
-def test_attach(rows, monkeypatch, same, large, broadcast_rows):
-    monkeypatch.setattr(totals, "BROADCAST_ROWS", broadcast_rows)
+@pytest.mark.parametrize("large, broadcast_bytes", [(False, 0), (True, 1_000), (True, 0)])
+def test_attach(rows, monkeypatch, same, large, broadcast_bytes):
+    monkeypatch.setattr(totals, "BROADCAST_BYTES", broadcast_bytes)
     sums = totals.totals(rows, ["team"], {"total": F.col("v")})
     got = totals.attach(rows, sums, ["team"], large)
     assert got.columns == ["team", "day", "v", "total"]
@@ -24,7 +24,7 @@ def test_attach(rows, monkeypatch, same, large, broadcast_rows):
     kept = totals.attach(rows, sums, ["team"], large, null_safe=["team"]).where("team IS NULL").first()
     assert kept["total"] == 16
     hinted = "BroadcastHashJoin" in got._jdf.queryExecution().sparkPlan().toString()
-    assert hinted or not (large and broadcast_rows)
+    assert hinted or not (large and broadcast_bytes)
 
 
 def test_totals_before_day(rows):
