@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from matchday.llm.components import components
 from matchday.llm.shared import free_name, stored
-from matchday.llm.words import WordHashes, as_batch, batches_of, mix, rows, shingle_hashes, word_hashes
+from matchday.llm.words import as_batch, batches_of, mix, rows, shingle_hashes, word_hashes
 
 # 32 bands of 4 places: a pair at similarity 0.8 shares no band with probability 5e-8.
 PLACES = 128
@@ -92,8 +92,8 @@ def rank(best, owner, elements, step: int, orders, places: int) -> None:
         np.minimum.at(best.reshape(-1), np.asarray(owner, dtype=np.int64) * places + place, value)
 
 
-def distinct_shingles(text: bytes | None, size: int, known: WordHashes) -> np.ndarray:
-    return np.unique(shingle_hashes(word_hashes(text, known), size))
+def distinct_shingles(text: bytes | None, size: int) -> np.ndarray:
+    return np.unique(shingle_hashes(word_hashes(text), size))
 
 
 def digest(elements: np.ndarray) -> bytes:
@@ -110,11 +110,10 @@ def signed(documents: DataFrame, shingle: int) -> DataFrame:
     """(doc_id, text_key, n_shingles, node, signature); node stands for the set of shingles."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = WordHashes()
         for batch in batches:
             for start in range(0, batch.num_rows, 512):
                 part = batch.slice(start, 512)
-                sets = [distinct_shingles(text, shingle, known) for text in part["body"].to_pylist()]
+                sets = [distinct_shingles(text, shingle) for text in part["body"].to_pylist()]
                 low = (mix(signatures(sets)) & np.uint64(0xFFFF)).astype("<u2")
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -184,11 +183,9 @@ def candidate_sets(documents: DataFrame, nodes: DataFrame, candidates: DataFrame
     schema = pa.schema([("node", pa.binary()), ("elements", pa.binary())])
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = WordHashes()
-
         def found() -> Iterator[tuple]:
             for row in rows(batches):
-                elements = distinct_shingles(row["body"], shingle, known)
+                elements = distinct_shingles(row["body"], shingle)
                 if digest(elements) == row["node"]:
                     yield row["node"], elements.tobytes()
 

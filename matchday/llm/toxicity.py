@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from matchday.llm.shared import free_name, stored
-from matchday.llm.words import WordHashes, batches_of, rows, shingle_hashes, word_hashes
+from matchday.llm.words import batches_of, rows, shingle_hashes, word_hashes
 
 # Words of the classes that are not learned.
 INSULTS = "idiot moron loser scum stupid worthless pathetic disgusting trash imbecile dumb idiota imbécil imbécile dummkopf".split()
@@ -93,11 +93,9 @@ def families(examples: DataFrame) -> DataFrame:
     schema = pa.schema([("family", pa.int64()), ("text", pa.string()), ("toxic", pa.bool_())])
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = WordHashes()
-
         def marked() -> Iterator[tuple]:
             for row in rows(batches):
-                shingles = shingle_hashes(word_hashes((row["text"] or "").encode(), known), 5)
+                shingles = shingle_hashes(word_hashes((row["text"] or "").encode()), 5)
                 smallest = int(shingles.min()) if len(shingles) else 0
                 yield smallest - 2**63, row["text"], row["toxic"]
 

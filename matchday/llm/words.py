@@ -8,30 +8,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-# Words a worker remembers the hash of; beyond it, hashes are computed each time.
-REMEMBERED = 300_000
-
-
-class WordHashes(dict):
-    """Hash of a word, computed once per worker while there is room."""
-
-    def __missing__(self, word: bytes) -> int:
-        value = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
-        if len(self) < REMEMBERED:
-            self[word] = value
-        return value
-
-
-def split_words(text: bytes) -> list[bytes]:
-    """Words of UTF-8 text: runs without space, tab, line feed, VT, FF, CR; A-Z in lower case."""
-    # bytes.lower and bytes.split know ASCII only, which is what is wanted
-    return text.lower().split()
-
-
-def word_hashes(text: bytes | None, known: WordHashes) -> np.ndarray:
-    """One uint64 per word of the text."""
-    words = split_words(text or b"")
-    return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
+# Words of more bytes are hashed one by one.
+LONG = 64
+# Masks that keep the first 0 to 8 bytes of eight.
+FIRST = np.array([(1 << 8 * size) - 1 for size in range(9)], np.uint64)
 
 
 def mix(values: np.ndarray) -> np.ndarray:
@@ -41,6 +21,36 @@ def mix(values: np.ndarray) -> np.ndarray:
     return values ^ (values >> np.uint64(31))
 
 
+def word_hashes(text: bytes | None) -> np.ndarray:
+    """One uint64 per word: runs without space, tab, line feed, VT, FF, CR; A-Z in lower case.
+
+    All words of a text are hashed at once, eight bytes a round.
+    """
+    # bytes.lower knows ASCII only, which is what is wanted; the end holds a space and room for eight bytes
+    padded = (text or b"").lower() + b" " * 9
+    content = np.frombuffer(padded, np.uint8)
+    inside = (content != 32) & (content - np.uint8(9) > 4)
+    edge = np.flatnonzero(inside[1:] != inside[:-1]) + 1
+    start, end = (edge[1::2], edge[::2]) if len(edge) % 2 else (edge[::2], edge[1::2])
+    if len(edge) % 2:
+        start = np.append(0, start)
+    size = end - start
+    eight = np.ndarray(len(padded) - 7, "<u8", padded, strides=(1,))
+    hashes = mix(size.astype(np.uint64))
+    long = np.flatnonzero(size > LONG)
+    open_words = np.flatnonzero(size <= LONG) if len(long) else slice(None)
+    at, left = start[open_words], size[open_words]
+    while len(at):
+        hashes[open_words] = mix(hashes[open_words] ^ (eight[at] & FIRST[np.minimum(left, 8)]))
+        more = np.flatnonzero(left > 8)
+        open_words = more if isinstance(open_words, slice) else open_words[more]
+        at, left = at[more] + 8, left[more] - 8
+    for i in long.tolist():
+        digest = hashlib.blake2b(padded[start[i] : end[i]], digest_size=8).digest()
+        hashes[i] = int.from_bytes(digest, "little")
+    return hashes
+
+
 def shingle_hashes(hashes: np.ndarray, size: int) -> np.ndarray:
     """One uint64 per run of ``size`` words; fewer words give one shingle of all, none give none."""
     if len(hashes) == 0:

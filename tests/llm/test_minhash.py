@@ -10,7 +10,7 @@ from conftest import SMALL
 from llm.conftest import corpus, prose
 from matchday.llm.components import components
 from matchday.llm.minhash import distinct_shingles, near_duplicates, signatures, without_copies
-from matchday.llm.words import WordHashes
+from matchday.llm.words import word_hashes
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -113,7 +113,7 @@ def test_signatures_estimate_similarity():
 
 def test_signature_by_definition():
     """Each element gives every place its rank and a fraction; places take the least."""
-    elements = distinct_shingles(b"a b c d e f g", 2, WordHashes())
+    elements = distinct_shingles(b"a b c d e f g", 2)
     alone = np.stack([signatures([elements[i : i + 1]], 16)[0] for i in range(len(elements))])
     assert all(sorted((row >> np.uint64(48)).tolist()) == list(range(16)) for row in alone)
     assert (signatures([elements], 16)[0] == alone.min(axis=0)).all()
@@ -131,3 +131,14 @@ def test_components(spark):
     assert all(found[b] == 7 for a, b in links if a == 7)
     assert found[301] == found[300] == 300
     assert components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def test_word_hashes():
+    texts = [b"", None, b" \n ", b"a", b"A a A \x00b", b"x" * 100 + b" y\x0b" + b"x" * 99, b"x" * 64 + b" " + b"x" * 65]
+    texts += ["wörter ÄÖ, über\u00a0alles 漢字 ".encode() * 3, b"abcdefgh abcdefghi abcdefg\x00 abcdefg"]
+    known: dict[bytes, int] = {}
+    for text in texts:
+        words, hashes = (text or b"").lower().split(), word_hashes(text).tolist()
+        assert len(words) == len(hashes)
+        assert all(known.setdefault(word, value) == value for word, value in zip(words, hashes))
+    assert len(set(known.values())) == len(known)
