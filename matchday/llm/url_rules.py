@@ -28,8 +28,8 @@ BLOCK = "label=block"
 CONFIDENCE = 0.7
 SUPPORT = 0.002
 LEAST_URLS = 20
-# Most tokens of one URL that take part; a bound on what one row can cost in mining.
-MAX_TOKENS = 24
+# Longer tokens stand as their hash.
+LONGEST_TOKEN = 100
 
 
 def host_of(url: Column) -> Column:
@@ -53,9 +53,14 @@ def parsed(urls: DataFrame, key: str = "page_id") -> DataFrame:
         F.split("path", r"[/.]"), lambda step: F.concat(F.lit("p="), F.regexp_replace(F.lower(step), "[0-9]+", "#"))
     )
     names = F.transform(F.split("query", "&"), lambda pair: F.concat(F.lit("q="), F.split(pair, "=")[0]))
-    tokens = F.array_sort(
-        F.array_distinct(F.filter(F.concat(hosts, steps, names), lambda token: F.length(token).between(3, 100)))
+    full = F.filter(F.concat(hosts, steps, names), lambda token: F.length(token) >= 3)
+    short = F.transform(
+        full,
+        lambda token: F.when(F.length(token) <= LONGEST_TOKEN, token).otherwise(
+            F.concat(F.substring(token, 1, 2), F.sha2(token, 256))
+        ),
     )
+    tokens = F.array_sort(F.array_distinct(short))
     return urls.select(
         F.col(key).cast("long").alias(key), host_of(url).alias("host"), path_of(url).alias("path"), query.alias("query")
     ).select(key, "host", "path", tokens.alias("tokens"))
@@ -74,13 +79,13 @@ def listed(host: Column, path: Column, rules: tuple[tuple[str, str, str], ...] =
 def mined(tokens: DataFrame, labels: DataFrame, key: str = "page_id") -> DataFrame:
     """(rarest, antecedent, confidence): token combinations that mean ``block``.
 
-    ``labels`` is (key, block boolean). All labelled URLs are mined.
+    ``labels`` is (key, block boolean). All labelled URLs are mined with all of their tokens; FP-growth leaves out
+    tokens below the support first, which loses no rule.
     """
     spark = tokens.sparkSession
     known = stored(
         tokens.select(key, "tokens")
         .join(labels.where("block is not null").select(F.col(key).alias("_key"), "block").dropDuplicates(["_key"]), F.col(key) == F.col("_key"))
-        .select(F.slice("tokens", 1, MAX_TOKENS).alias("tokens"), "block")
         .select("tokens", F.when(F.col("block"), F.concat("tokens", F.array(F.lit(BLOCK)))).otherwise(F.col("tokens")).alias("items"))
         .where(F.size("tokens") > 0),
         "labelled",

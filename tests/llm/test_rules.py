@@ -155,6 +155,22 @@ def test_listed_urls(spark):
     assert url_rules.judge_urls(table.limit(0), labels.limit(0)).collect() == []
 
 
+def test_late_and_long_tokens_are_mined(spark):
+    long = "z" * 150
+    rows = []
+    for i in range(120):
+        fill = "/".join(f"a{chr(97 + i // 26)}{chr(97 + i % 26)}{chr(97 + k)}x" for k in range(26))
+        # beyond 24 tokens in order, and beyond 100 characters
+        tail = ("/zbad", f"/{long}", "/zgood")[i % 3]
+        rows.append((i, f"http://h{i}.org/{fill}{tail}?late={i}"))
+    pages = spark.createDataFrame(rows, "page_id long, url string")
+    labels = spark.createDataFrame([(i, i % 3 < 2) for i, _ in rows], "page_id long, block boolean")
+    mined = {tuple(r.antecedent): r.confidence for r in url_rules.mined(url_rules.parsed(pages), labels).collect()}
+    assert mined[("p=zbad",)] == 1.0
+    judged = {r.page_id: r.verdict for r in url_rules.judge_urls(pages, labels).collect()}
+    assert judged == {i: "block" if i % 3 < 2 else "allow" for i, _ in rows}
+
+
 def test_mined_rules_against_all_combinations(spark):
     rng = random.Random(4)
     rows, labels = [], []
