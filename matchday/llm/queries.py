@@ -8,8 +8,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from matchday.llm import (
-    fingerprints, minhash, mixing, packing, quality, records, shared, substrings, toxicity, url_rules, warc,
+    fingerprints, minhash, mixing, packing, phrases, quality, records, search, shared, simhash, substrings, toxicity,
+    url_rules, warc,
 )
+from matchday.llm.sql import PHRASES, SEARCH
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -65,13 +67,25 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op11_phrases(spark: SparkSession, folder: str) -> DataFrame:
+    return phrases.collocations(table(spark, folder, "documents"))
+
+
+def op12_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, folder, "documents"))
+
+
+def op13_search(spark: SparkSession, folder: str) -> DataFrame:
+    return search.search(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
         op1_minhash, op2_substrings, op3_url_rules, op4_toxicity, op5_mixing, op6_records, op7_fingerprints,
-        op8_quality, op9_warc, op10_packing,
+        op8_quality, op9_warc, op10_packing, op11_phrases, op12_simhash, op13_search,
     )
 }
-# The models, similarities and files behind these cannot be written as SQL; tests/llm compares each
+# The models, similarities and files behind the others cannot be written as SQL; tests/llm compares each
 # with a brute-force version.
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op11_phrases": PHRASES, "op13_search": SEARCH}
