@@ -20,11 +20,11 @@ from matchday.sources import files
 from matchday.sources.fixture import matches, records
 from matchday.sources.messages import to_messages
 from matchday.sources.streams import stream
-from matchday.streaming import jobs, sinks
+from matchday.streaming import incremental, jobs, sinks
 from matchday.streaming.carried import form_with_carry
 from matchday.streaming.copies import without_copies
-from matchday.streaming.incremental import upsert_and_recompute
 from matchday.streaming.last_five import last_five
+from matchday.streaming.snapshots import begin, read_log, vacuum
 
 BATCHES = 4
 PAIR = ["league", "season"]
@@ -182,30 +182,64 @@ def stream_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(out).select("match_id", "season")
 
 
-def incremental_features(spark: SparkSession, folder: str) -> DataFrame:
-    """Matches arrive in batches that cut through all seasons; the last features are right."""
-    source, history, features = (scratch_folder(spark, name) for name in ("matches", "history", "features"))
+def _batches(spark: SparkSession, folder: str) -> tuple[str, DataFrame]:
+    """Matches in folders that cut through all seasons, and the rows themselves."""
+    source = scratch_folder(spark, "matches")
     rows = matches(spark, folder).withColumn("batch", F.pmod(F.xxhash64("match_id"), F.lit(BATCHES)))
     rows.write.partitionBy("batch").parquet(source)
-    write = upsert_and_recompute(history, features)
-    fields = rows.drop("batch").schema
-    for batch in range(BATCHES):
-        # one folder after the other: each is a micro-batch of its own
-        part = spark.readStream.schema(fields).parquet(f"{source}/batch={batch}")
-        with_number = _numbered(write, batch)
-        _finish(sinks.for_each_batch(part, with_number, scratch_folder(spark, "checkpoint"), once=True))
-    return sinks.read_partitions(spark, features, PAIR).drop("match_ts")
+    return source, rows.drop("batch")
+
+
+def incremental_features(spark: SparkSession, folder: str) -> DataFrame:
+    """Matches arrive in batches that cut through all seasons; the last features are right."""
+    table, checkpoint = scratch_folder(spark, "table"), scratch_folder(spark, "checkpoint")
+    source, rows = _batches(spark, folder)
+    # one stream over all folders, one file a batch
+    count = files.list_files(spark, source).where(F.col("path").endswith(".parquet")).count()
+    part = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", max(1, -(-count // BATCHES)))
+    _finish(sinks.for_each_batch(part.parquet(f"{source}/*"), incremental.upsert_and_recompute(table), checkpoint, once=True))
+    return incremental.read(spark, table).drop("match_ts")
+
+
+def incremental_new_run(spark: SparkSession, folder: str) -> DataFrame:
+    """Each part comes by a stream with a new checkpoint, whose batches start at number 0 over the same table."""
+    table = scratch_folder(spark, "table")
+    source, rows = _batches(spark, folder)
+    for number in range(BATCHES):
+        part = spark.readStream.schema(rows.schema).parquet(f"{source}/batch={number}")
+        write = incremental.upsert_and_recompute(table)
+        _finish(sinks.for_each_batch(part, write, scratch_folder(spark, "checkpoint"), once=True))
+    return incremental.read(spark, table).drop("match_ts")
+
+
+def incremental_replayed(spark: SparkSession, folder: str) -> DataFrame:
+    """Every batch fails once between its data and its commit, comes again, and again when all is done; the
+    table is compacted on the way."""
+    table = scratch_folder(spark, "table")
+    write = incremental.upsert_and_recompute(table, run="replayed")
+    source, rows = _batches(spark, folder)
+    parts = [spark.read.schema(rows.schema).parquet(f"{source}/batch={number}") for number in range(BATCHES)]
+    for number, part in enumerate(parts):
+        log = read_log(spark, table)
+        incremental.stage(part, table)(log, begin(log, "replayed", number))
+        write(part, number)
+        if number == 1:
+            incremental.compact(spark, table)
+            vacuum(spark, table, incremental.PARTS)
+    for number, part in enumerate(parts):
+        write(part, number)
+    return incremental.read(spark, table).drop("match_ts")
 
 
 def _after_correction(spark: SparkSession, folder: str, first: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """All matches as ``first`` has them, then those that it changed as they are: two batches."""
-    history, features = scratch_folder(spark, "history"), scratch_folder(spark, "features")
-    write = upsert_and_recompute(history, features)
+    table = scratch_folder(spark, "table")
+    write = incremental.upsert_and_recompute(table)
     rows = matches(spark, folder)
     wrong = first(rows)
     write(wrong, 0)
     write(rows.exceptAll(wrong), 1)
-    return sinks.read_partitions(spark, features, PAIR).drop("match_ts")
+    return incremental.read(spark, table).drop("match_ts")
 
 
 def incremental_moved(spark: SparkSession, folder: str) -> DataFrame:
@@ -228,10 +262,6 @@ def features_strict_null_key(spark: SparkSession, folder: str) -> DataFrame:
     return strict.features(rows, key=["match_id", "leg"]).drop("match_ts", "leg")
 
 
-def _numbered(write: sinks.Write, number: int) -> sinks.Write:
-    return lambda batch, _: write(batch, number)
-
-
 def stateful_last5(spark: SparkSession, folder: str) -> DataFrame:
     """Form from streaming state. Five days at a time are sent, unordered among themselves."""
     name = "spark.sql.streaming.stateStore.providerClass"
@@ -291,7 +321,8 @@ FILE_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in [
         csv_scan, csv_union_by_name, bronze_raw, stream_parquet, stream_docs, fanout, restart,
-        stream_dedup, incremental_features, incremental_moved, incremental_withdrawn, features_strict_null_key, stateful_last5, carried_last5,
+        stream_dedup, incremental_features, incremental_new_run, incremental_replayed, incremental_moved,
+        incremental_withdrawn, features_strict_null_key, stateful_last5, carried_last5,
         stream_features_a, stream_features_b,
     ]
 }

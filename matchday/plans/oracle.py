@@ -231,6 +231,8 @@ ORACLE: dict[str, str] = {
     "restart": _query("SELECT match_id, season, fthg FROM matches"),
     "stream_dedup": _query("SELECT match_id, season FROM matches"),
     "incremental_features": FEATURES_STRICT,
+    "incremental_new_run": FEATURES_STRICT,
+    "incremental_replayed": FEATURES_STRICT,
     "incremental_moved": FEATURES_STRICT,
     "incremental_withdrawn": FEATURES_STRICT,
     "features_strict_null_key": FEATURES_STRICT,

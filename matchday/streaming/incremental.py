@@ -2,83 +2,159 @@
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable
+from dataclasses import replace
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
 
 from matchday.operators.records import latest
 from matchday.operators.split import ROWS_PER_CHUNK
 from matchday.plans import strict
-from matchday.streaming.sinks import Write, replace_partitions
+from matchday.streaming import key_index, snapshots
+from matchday.streaming.sinks import Write
+from matchday.streaming.snapshots import Commit
 
 PAIR = ["season", "league"]
-ESCAPED = "\"#%'*/:=?\\{[]^"
+PARTS = ["matches", "features", "touched", "index"]
 
 
 def upsert_and_recompute(
-    history: str,
-    features: str,
+    table: str,
     key: list[str] = strict.KEY,
     time: list[str] = strict.TIME,
     newest_first: list[str] | None = None,
     rows_per_chunk: int = ROWS_PER_CHUNK,
+    run: str | None = None,
 ) -> Write:
-    """Per batch: keep the matches, then recompute the (season, league) pairs they touch.
+    """Per batch: take in the matches, then recompute the (season, league) pairs they touch.
 
-    ``history`` holds every version of every match below ``season=S/batch_id=N``; a later batch
-    wins, and inside a batch the order of ``newest_first``. ``features`` holds the result below
-    ``season=S/league=L``. Both writes replace the partitions of the batch, so a batch that comes
-    again changes nothing.
+    ``table`` is a folder of commits (``snapshots``). Each commit holds, of the pairs it touches, all
+    matches as they now stand and their features; of other pairs nothing is read or written. A
+    later batch wins, and inside a batch the order of ``newest_first``. A pair's rows are those of the newest
+    commit that touches it, so a pair that loses its last match is empty. Null is a season or league like any other.
 
-    A batch touches the pairs of its matches and those where an earlier version of one of them
-    stands, so a match that moves leaves its old pair. Whether a version is the newest is asked
-    over all pairs. A pair that loses its last played match becomes empty. Null is a season or league
-    like any other. Of other pairs only keys are read, and nothing is written.
+    A batch touches the pairs of its matches and those where one of them stands by now, so a match that
+    moves leaves its old pair. An index of keys beside each commit names the commits where a match
+    may stand; only those are searched.
+
+    A batch that comes again changes nothing. ``run`` tells the batches of one stream from those of another; by
+    default it is the identity of the streaming query, and outside of a query each call is a run of its own.
     """
-    order = newest_first or []
+    own = uuid.uuid4().hex
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
         batch.persist()
         try:
-            replace_partitions(batch.withColumn("batch_id", F.lit(batch_id)), history, ["season", "batch_id"])
             if not batch.isEmpty():
-                recompute(batch, batch_id)
+                name = run or snapshots.run_of(spark) or own
+                snapshots.committing(spark, table, name, batch_id, stage(batch, table, key, time, newest_first, rows_per_chunk))
         finally:
             batch.unpersist()
 
-    def recompute(batch: DataFrame, batch_id: int) -> None:
-        fields = StructType([*batch.schema.fields, StructField("batch_id", LongType())])
-        versions = batch.sparkSession.read.schema(fields).parquet(history)
-        # a batch that comes again must not see later ones
-        known = versions.where(F.col("batch_id") <= batch_id)
-        moved = semi(known.select(*key, *PAIR), batch.select(*key).distinct(), key).select(*PAIR)
-        pairs = batch.select(*PAIR).union(moved).distinct().persist()
-        touched = among(known, pairs)
-        # the newest batch of each match that stands, or stood, in one of the pairs
-        keys = touched.select(*key).distinct()
-        newest_batch = semi(known.select(*key, "batch_id"), keys, key).groupBy(*key).agg(F.max("batch_id").alias("batch_id"))
-        current = semi(touched, newest_batch, [*key, "batch_id"])
+    return write
+
+
+def stage(
+    batch: DataFrame,
+    table: str,
+    key: list[str] = strict.KEY,
+    time: list[str] = strict.TIME,
+    newest_first: list[str] | None = None,
+    rows_per_chunk: int = ROWS_PER_CHUNK,
+) -> Callable[[list[Commit], Commit], Commit]:
+    """Writes all data of a commit. Nobody reads it before the commit itself."""
+    spark = batch.sparkSession
+
+    def write(log: list[Commit], made: Commit) -> Commit:
+        commits = snapshots.live(log)
         # the hash makes the choice the same in every attempt, whatever a batch repeats
-        newest = [*[F.desc(name) for name in order], F.xxhash64(*batch.columns)]
-        # read several times below, so the search for the newest versions is done once
-        matches = latest(current, key, newest).drop("batch_id").persist()
-        try:
-            result = strict.features(matches, rows_per_chunk, key=key, time=time)
-            replace_partitions(result, features, PAIR)
-            # a replacement by partition leaves alone those without rows
-            played = matches.where(F.col("ftr").isNotNull()).select(*PAIR).distinct()
-            for pair in anti(pairs, played, PAIR).toLocalIterator():
-                place = "/".join(f"{name}={folder_name(pair[name])}" for name in PAIR)
-                result.drop(*PAIR).limit(0).write.mode("overwrite").parquet(f"{features}/{place}")
-        finally:
-            matches.unpersist()
+        newest = [*[F.desc(name) for name in newest_first or []], F.xxhash64(*batch.columns)]
+        arrived = latest(batch, key, newest)
+        pairs, rows = arrived.select(*PAIR), arrived
+        if commits:
+            heads = newest_versions(spark, table, commits).persist()
+            keys = arrived.select(*key)
+            pairs = pairs.union(standing_in(spark, table, commits, heads, keys, key))
+            pairs = pairs.distinct().persist()
+            standing = current(spark, table, "matches", commits, semi(heads, pairs, PAIR))
+            rows = arrived.unionByName(anti(standing, keys, key)) if standing else arrived
+        place = snapshots.folder(table, "matches", made)
+        # sorted, so that readers of one pair skip the other row groups
+        rows.hint("rebalance", *PAIR).sortWithinPartitions(*PAIR, *time).write.parquet(place)
+        matches = spark.read.schema(batch.schema).parquet(place)
+        pairs.distinct().write.parquet(snapshots.folder(table, "touched", made))
+        features = strict.features(matches, rows_per_chunk, key=key, time=time)
+        features.hint("rebalance", *PAIR).sortWithinPartitions(*PAIR, *time).write.parquet(
+            snapshots.folder(table, "features", made)
+        )
+        made = replace(made, bits=key_index.bits_for(matches.count()))
+        key_index.write_index(matches, key, table, made)
+        if commits:
+            heads.unpersist()
             pairs.unpersist()
+        return made
 
     return write
 
 
+def newest_versions(spark: SparkSession, table: str, commits: list[Commit]) -> DataFrame:
+    """(season, league, version): the commit that holds each pair."""
+    return snapshots.read(spark, table, "touched", commits).groupBy(*PAIR).agg(F.max("version").alias("version"))
+
+
+def current(spark: SparkSession, table: str, part: str, commits: list[Commit], heads: DataFrame) -> DataFrame | None:
+    """Rows of the pairs in ``heads`` as their newest commits have them; only those commits are read."""
+    versions = {row["version"] for row in heads.select("version").distinct().collect()}
+    if not versions:
+        return None
+    rows = snapshots.read(spark, table, part, [made for made in commits if made.version in versions])
+    return semi(rows, heads, [*PAIR, "version"]).drop("version")
+
+
+def standing_in(
+    spark: SparkSession, table: str, commits: list[Commit], heads: DataFrame, keys: DataFrame, key: list[str]
+) -> DataFrame:
+    """Pairs in which matches of these keys stand."""
+    possible = key_index.holding(spark, table, commits, keys, key)
+    if not possible:
+        return heads.select(*PAIR).limit(0)
+    rows = snapshots.read(spark, table, "matches", possible).select(*key, *PAIR, "version")
+    return semi(semi(rows, keys, key), heads, [*PAIR, "version"]).select(*PAIR)
+
+
+def read(spark: SparkSession, table: str, part: str = "features", version: int | None = None) -> DataFrame:
+    """``features`` or ``matches`` of all pairs as of the last commit, or of an earlier version."""
+    commits = snapshots.live(snapshots.read_log(spark, table), version)
+    if not commits:
+        raise ValueError(f"{table} has no commit" + (f" up to version {version}" if version else ""))
+    return current(spark, table, part, commits, newest_versions(spark, table, commits))
+
+
+def compact(spark: SparkSession, table: str, key: list[str] = strict.KEY) -> Commit | None:
+    """Commit the table as it stands as one version, which readers then need alone. ``snapshots.vacuum``
+    deletes what lies before it."""
+
+    def write(log: list[Commit], made: Commit) -> Commit:
+        commits = snapshots.live(log)
+        heads = newest_versions(spark, table, commits)
+        for part in ("matches", "features"):
+            rows = current(spark, table, part, commits, heads)
+            rows.hint("rebalance", *PAIR).sortWithinPartitions(*PAIR).write.parquet(snapshots.folder(table, part, made))
+        heads.select(*PAIR).write.parquet(snapshots.folder(table, "touched", made))
+        matches = spark.read.parquet(snapshots.folder(table, "matches", made))
+        made = replace(made, base=made.version, bits=key_index.bits_for(matches.count()))
+        key_index.write_index(matches, key, table, made)
+        return made
+
+    if not snapshots.read_log(spark, table):
+        return None
+    return snapshots.committing(spark, table, f"compact-{uuid.uuid4().hex}", 0, write)
+
+
 def same(left: DataFrame, right: DataFrame, on: list[str]) -> Column:
     return reduce(Column.__and__, [left[name].eqNullSafe(right[f"_{name}"]) for name in on])
 
@@ -91,20 +167,3 @@ def semi(left: DataFrame, right: DataFrame, on: list[str], how: str = "left_semi
 
 def anti(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
     return semi(left, right, on, "left_anti")
-
-
-def among(known: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Rows of the pairs. Seasons that are not null join by equality, which lets Spark skip folders."""
-    named = known.where(F.col("season").isNotNull()).join(
-        pairs.where(F.col("season").isNotNull()).select(F.col("season"), F.col("league").alias("_league")), "season"
-    )
-    named = named.where(F.col("league").eqNullSafe(F.col("_league"))).select(*known.columns)
-    return named.union(semi(known.where(F.col("season").isNull()), pairs, PAIR))
-
-
-def folder_name(value: str | None) -> str:
-    """The folder that Spark writes a partition value to."""
-    if value is None or value == "":
-        return "__HIVE_DEFAULT_PARTITION__"
-    # The characters that are escaped in names of partitions.
-    return "".join(f"%{ord(c):02X}" if c in ESCAPED or ord(c) < 32 or ord(c) == 127 else c for c in value)
