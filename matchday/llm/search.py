@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from matchday.llm.pieces import Words, byte_table, gathered
-from matchday.llm.shared import stored
+from matchday.llm.shared import new_folder, stored
 from matchday.llm.words import mix, word_hashes
 
 TOP = 10
@@ -30,12 +30,13 @@ TOP = 10
 CELL = 2048
 CELL_TABLE = 24_000_000
 # Blocks a list is cut into, and documents a block has at least. Smaller blocks have no summary: it would be as long as they are.
-BLOCKS, LEAST = 8, 8
+BLOCKS, LEAST = 4, 32
 # Impacts are below a million; summaries hold them in steps of this size, rounded up.
 STEP = 4096
 # Bytes of items that are searched in one go: their terms and weights are broadcast.
 ITEM_BYTES = 16_000_000
 CHUNK = 12_000_000
+ROW_GROUP = 16_000_000
 PLANES = 32
 TABLE = byte_table(bytes({*range(128)} - {*b"0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"} - {10}), b"")
 
@@ -184,13 +185,27 @@ class Cell:
 
     PARTS = {
         "ids": "<i8", "unnamed": "?", "terms": "<i4", "starts": "<i8", "places": "<i4", "values": "<i4", "most": "<i4",
-        "list_starts": "<i8", "block_starts": "<i8", "members": "<i4", "sum_starts": "<i8", "sum_places": "<i4",
+        "list_starts": "<i8", "block_starts": "<i8", "members": "<i4", "sum_starts": "<i8", "sum_places": None,
         "sum_values": "u1",
     }
 
     def __init__(self, **parts: np.ndarray) -> None:
         self.__dict__.update(parts)
 
+    @classmethod
+    def kind(cls, name: str, terms: int) -> str:
+        """Type of a part. The places in summaries, by far the most, are as short as the number of terms allows."""
+        return cls.PARTS[name] or ("<u2" if terms <= 1 << 16 else "<i4")
+
+    @classmethod
+    def opened(cls, batch: pa.RecordBatch, row: int) -> Cell:
+        """The cell of a row of the index."""
+        terms = len(batch["terms"][row].as_buffer()) // 4
+        return cls(**{name: np.frombuffer(batch[name][row].as_buffer(), cls.kind(name, terms)) for name in cls.PARTS})
+
+    def closed(self) -> list[bytes]:
+        return [np.asarray(getattr(self, name), self.kind(name, len(self.terms))).tobytes() for name in self.PARTS]
+
     @classmethod
     def built(cls, ids: np.ndarray, unnamed: np.ndarray, keys: np.ndarray, terms, values, starts) -> Iterator[Cell]:
         """Cells of documents in the order of their keys."""
@@ -334,8 +349,7 @@ def cells(found: DataFrame, facts: Broadcast) -> DataFrame:
         ids = batch["doc_id"].fill_null(0).to_numpy()
         unnamed = batch["doc_id"].is_null().to_numpy(zero_copy_only=False)
         for cell in Cell.built(ids, unnamed, batch["side"].to_numpy(), terms, values, starts):
-            parts = [np.asarray(getattr(cell, name), kind).tobytes() for name, kind in Cell.PARTS.items()]
-            yield pa.RecordBatch.from_arrays([pa.array([part], pa.binary()) for part in parts], schema=schema)
+            yield pa.RecordBatch.from_arrays([pa.array([part], pa.binary()) for part in cell.closed()], schema=schema)
 
     return (
         placed(found, facts)
@@ -354,9 +368,7 @@ def best_of_cells(index: DataFrame, queries: Broadcast, top: int) -> DataFrame:
         bars = {item: least for item, _, _, least in queries.value}
         for batch in batches:
             for row in range(batch.num_rows):
-                cell = Cell(**{
-                    name: np.frombuffer(batch[name][row].as_buffer(), kind) for name, kind in Cell.PARTS.items()
-                })
+                cell = Cell.opened(batch, row)
                 for item, terms, weights, _ in queries.value:
                     places, scores = cell.search(terms, weights, bars[item], top)
                     if not len(places):
@@ -423,7 +435,11 @@ def searched(documents: DataFrame, items: list[tuple[int | None, bytes]], top: i
     # random planes by the terms' own hashes, so that an order does not depend on their numbers
     hashes = word_hashes(b" ".join(dictionary))
     bits = mix(hashes) >> np.arange(PLANES, dtype=np.uint64)[:, None] & np.uint64(1)
-    index = stored(cells(found, send((weights, (2 * bits.T.astype(np.int8) - 1)))), "cells")
+    place = f"{new_folder(spark, 'cells')}.parquet"
+    # a cell is some MB, so a reader holds few at a time
+    made = cells(found, send((weights, 2 * bits.T.astype(np.int8) - 1)))
+    made.write.option("parquet.block.size", ROW_GROUP).option("compression", "zstd").parquet(place)
+    index = spark.read.parquet(place)
     asked = []
     for number, (item, _) in enumerate(items):
         terms, times = np.unique(words.ids[words.text == number], return_counts=True)
