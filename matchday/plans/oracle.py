@@ -231,6 +231,11 @@ ORACLE: dict[str, str] = {
     "restart": _query("SELECT match_id, season, fthg FROM matches"),
     "stream_dedup": _query("SELECT match_id, season FROM matches"),
     "incremental_features": FEATURES_STRICT,
+    "carried_totals": _query(f"""
+SELECT match_id, side, team,
+  {_sum('points', TEAM, DAY_BEFORE)} AS points_before, {_sum('goals', TEAM, DAY_BEFORE)} AS goals_before,
+  {_sum('conceded', TEAM, DAY_BEFORE)} AS conceded_before, {_sum('points', TEAM)} AS season_points
+FROM team_rows WHERE ftr IS NOT NULL"""),
     "incremental_new_run": FEATURES_STRICT,
     "incremental_replayed": FEATURES_STRICT,
     "incremental_moved": FEATURES_STRICT,
