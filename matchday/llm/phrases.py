@@ -38,7 +38,7 @@ ROW = 1 << 16
 # Groups of first words, and of first two, by hash; one with more than this share of all windows is parted.
 GROUPS, SHARE = 1 << 14, 1 / 1024
 # Bytes of text cut into words at once.
-CHUNK = 12_000_000
+CHUNK = 6_000_000
 TABLE = byte_table(b"\t", b".,;:!?\n\x0b\x0c\r")
 COLUMNS = [f"w{place}" for place in range(1, LONGEST + 1)]
 SPREAD = 64

@@ -35,7 +35,7 @@ BLOCKS, LEAST = 4, 32
 STEP = 4096
 # Bytes of items that are searched in one go: their terms and weights are broadcast.
 ITEM_BYTES = 16_000_000
-CHUNK = 12_000_000
+CHUNK = 4_000_000
 ROW_GROUP = 16_000_000
 PLANES = 32
 TABLE = byte_table(bytes({*range(128)} - {*b"0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"} - {10}), b"")
