@@ -14,6 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from matchday import schema
 from matchday.functions import scalars
+from matchday.operators.preceding import before
 from matchday.plans import strict
 from matchday.session import SETTINGS, scratch_folder
 from matchday.sources import files
@@ -23,7 +24,7 @@ from matchday.sources.streams import stream
 from matchday.streaming import incremental, jobs, sinks
 from matchday.streaming.carried import form_with_carry
 from matchday.streaming.copies import without_copies
-from matchday.streaming.last_five import last_five
+from matchday.streaming.last_five import form_and_late, last_five, split_late, tails
 from matchday.streaming.running_totals import add_up, totals_before
 from matchday.streaming.snapshots import begin, read_log, vacuum
 
@@ -263,27 +264,81 @@ def features_strict_null_key(spark: SparkSession, folder: str) -> DataFrame:
     return strict.features(rows, key=["match_id", "leg"]).drop("match_ts", "leg")
 
 
-def stateful_last5(spark: SparkSession, folder: str) -> DataFrame:
-    """Form from streaming state. Five days at a time are sent, unordered among themselves."""
+def _state_store(spark: SparkSession) -> None:
     name = "spark.sql.streaming.stateStore.providerClass"
     spark.conf.set(name, SETTINGS[name])
-    topic, out = scratch_folder(spark, "topic"), scratch_folder(spark, "parquet")
+
+
+def _far(rows: DataFrame, number: int) -> DataFrame:
+    """A row nine years after all others, which moves the watermark past them; it stays in the state itself."""
+    far = {**{name: F.lit("end") for name in [*strict.GROUP, "side"]}, "match_id": F.lit(number), "points": F.lit(0)}
+    end = rows.agg(F.expr("max(match_time) + INTERVAL 9 YEARS").alias("match_time"))
+    return end.withColumns(far).select(*_FORM_COLUMNS)
+
+
+def _form_topic(spark: SparkSession, rows: DataFrame, parts: list[DataFrame]) -> DataFrame:
+    """A stream of team rows, the parts one after the other."""
+    _state_store(spark)
+    topic = scratch_folder(spark, "topic")
+    for part in [*parts, _far(rows, -1)]:
+        _write_topic(part.select(*_FORM_COLUMNS), topic)
+    return _read_topic(spark, topic, _FORM_FIELDS)
+
+
+_FORM_FIELDS = "season string, league string, team string, match_id bigint, side string, points int, match_time timestamp"
+_FORM_COLUMNS = [*strict.GROUP, "match_id", "side", "points", "match_time"]
+
+
+def _form_rows(spark: SparkSession, folder: str) -> DataFrame:
     teams = strict.team_rows(matches(spark, folder), values=("points",))
-    rows = teams.withColumn("match_time", F.col("match_ts").cast("timestamp")).select(
-        *strict.GROUP, "match_id", "side", "points", "match_time"
-    )
-    for first in range(1, 32, 5):
-        day = F.dayofmonth("match_time")
-        _write_topic(rows.where((day >= first) & (day < first + 5)), topic)
-    # a far later row moves the watermark past all others; it stays in the state
-    end = rows.limit(1).withColumns({"team": F.lit("end"), "match_time": F.expr("match_time + INTERVAL 9 YEARS")})
-    _write_topic(end, topic)
-    fields = "season string, league string, team string, match_id bigint, side string, points int, match_time timestamp"
-    form = last_five(_read_topic(spark, topic, fields), "6 days")
+    return teams.withColumn("match_time", F.col("match_ts").cast("timestamp")).select(*_FORM_COLUMNS)
+
+
+def stateful_last5(spark: SparkSession, folder: str) -> DataFrame:
+    """Form from streaming state. Five days at a time are sent, unordered among themselves."""
+    out, rows, day = scratch_folder(spark, "parquet"), _form_rows(spark, folder), F.dayofmonth("match_time")
+    parts = [rows.where((day >= first) & (day < first + 5)) for first in range(1, 32, 5)]
+    form = last_five(_form_topic(spark, rows, parts), "6 days")
     _finish(sinks.to_parquet(form, out, scratch_folder(spark, "checkpoint"), once=True))
     return spark.read.parquet(out).select("match_id", "side", "team", "form5")
 
 
+def stateful_from_history(spark: SparkSession, folder: str) -> DataFrame:
+    """The first day of each season comes from a batch job, which hands its teams over to a stream of the second."""
+    out, rows = scratch_folder(spark, "parquet"), _form_rows(spark, folder)
+    first, second = (rows.where(F.dayofmonth("match_time") % 2 == odd) for odd in (1, 0))
+    stream = last_five(_form_topic(spark, rows, [second]), "40 days", tails(first))
+    _finish(sinks.to_parquet(stream, out, scratch_folder(spark, "checkpoint"), once=True))
+    form = F.sum("points").over(before(strict.GROUP, ["match_time", "match_id", "side"], 5))
+    columns = ["match_id", "side", "team", "form5"]
+    return first.withColumn("form5", form).select(*columns).union(spark.read.parquet(out).select(*columns))
+
+
+def late_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """The first day of each season comes when the form of the second is out: late for the teams that played on it.
+    Both sinks together have every row; the matches of the late ones go to the incremental job, whose form is right."""
+    _state_store(spark)
+    form, late, table, topic, checkpoint = (
+        scratch_folder(spark, name) for name in ("form", "late", "table", "topic", "checkpoint")
+    )
+    rows, day = _form_rows(spark, folder), F.dayofmonth("match_time")
+    write = split_late(sinks.replace_batch(form), sinks.replace_batch(late))
+    # the query ends after each part and goes on with the next
+    for part in (rows.where(day % 2 == 0), _far(rows, -1), rows.where(day % 2 == 1), _far(rows, -2)):
+        _write_topic(part, topic)
+        source = form_and_late(stream(spark, "json", {"path": topic}, _FORM_FIELDS), "40 days")
+        _finish(sinks.for_each_batch(source, write, checkpoint, once=True))
+    behind = spark.read.parquet(late).where("match_id >= 0")
+    sent = matches(spark, folder)
+    upsert = incremental.upsert_and_recompute(table)
+    for number, how in enumerate(("left_anti", "left_semi")):
+        upsert(sent.join(behind.select("match_id"), "match_id", how), number)
+    right = incremental.read(spark, table).select("match_id", F.col("home_form5_any").alias("home_form"))
+    columns = ["match_id", "side", "team"]
+    emitted = spark.read.parquet(form).where("match_id >= 0").select(*columns, F.lit(False).alias("late"))
+    return emitted.union(behind.select(*columns, F.lit(True))).join(right, "match_id", "left")
+
+
 def carried_last5(spark: SparkSession, folder: str) -> DataFrame:
     """Form from batches in time order, with each team's last rows carried from batch to batch."""
     out, tails = scratch_folder(spark, "form"), scratch_folder(spark, "tails")
@@ -353,7 +408,8 @@ FILE_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for query in [
         csv_scan, csv_union_by_name, bronze_raw, stream_parquet, stream_docs, fanout, restart,
         stream_dedup, incremental_features, incremental_new_run, incremental_replayed, incremental_moved,
-        incremental_withdrawn, features_strict_null_key, stateful_last5, carried_last5, carried_totals,
+        incremental_withdrawn, features_strict_null_key, stateful_last5, stateful_from_history, late_rows, carried_last5,
+        carried_totals,
         stream_features_a, stream_features_b,
     ]
 }

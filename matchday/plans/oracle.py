@@ -112,6 +112,9 @@ SELECT s.match_id, season, away_team AS awayteam, home_team AS hometeam, match_d
 FROM scored s JOIN (SELECT match_id AS h, any5 AS htfl5 FROM form WHERE side = 'H') ON h = s.match_id
   JOIN (SELECT match_id AS a, any5 AS atfl5 FROM form WHERE side = 'A') ON a = s.match_id""", FORM)
 
+STATE_FORM = _query(f"""
+SELECT match_id, side, team, {_sum('points', 'season, league, team', FIVE)} AS form5 FROM team_rows""")
+
 PER_SIDE = [
     "form5_any", "form5_venue", "goals5_venue", "discipline5_venue",
     "points_before", "goals_before", "conceded_before", "season_points",
@@ -241,9 +244,14 @@ FROM team_rows WHERE ftr IS NOT NULL"""),
     "incremental_moved": FEATURES_STRICT,
     "incremental_withdrawn": FEATURES_STRICT,
     "features_strict_null_key": FEATURES_STRICT,
-    "stateful_last5": _query(
-        f"SELECT match_id, side, team, {_sum('points', TEAM, FIVE)} AS form5 FROM team_rows"
-    ),
+    "stateful_last5": STATE_FORM,
+    "stateful_from_history": STATE_FORM,
+    "late_rows": _query(f"""
+SELECT t.match_id, t.side, t.team, home_form,
+  day(match_date) % 2 = 1 AND max(day(match_date) % 2 = 0) OVER (PARTITION BY {TEAM}) AS late
+FROM team_rows t LEFT JOIN (
+  SELECT match_id, side, {_sum('points', TEAM, FIVE)} AS home_form FROM team_rows WHERE ftr IS NOT NULL
+) h ON h.match_id = t.match_id AND h.side = 'H'"""),
     "carried_last5": _query(
         "SELECT match_id, side, team,"
         f" {_sum('points', TEAM, FIVE)} AS form5_any, {_sum('points', TEAM + ', side', FIVE)} AS form5_venue,"

@@ -3,74 +3,125 @@
 from __future__ import annotations
 
 import sys
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from typing import Any
 
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import DataFrame, Row, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+Write = Callable[[DataFrame, int], None]
+
 # the processor travels with the query, so executors need no copy of this package
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 LAST = 5
 GROUP = ["season", "league", "team"]
-OUTPUT = "season string, league string, team string, match_id bigint, side string, at bigint, form5 bigint"
+ROW = "match_id bigint, side string, at bigint"
+OUTPUT = f"season string, league string, team string, {ROW}, points int, form5 bigint, late boolean"
+# Waiting rows are kept by hour, in microseconds.
+HOUR = 3_600_000_000
+# The watermarked column lies this far (1000 years) ahead of the rows' times, so that Spark drops none as late.
+AHEAD = "INTERVAL 8760000 HOURS"
 
 
 class LastFive(StatefulProcessor):
     """Holds rows back until the watermark has passed them, then emits them in time order.
 
-    State per team: the waiting rows by (time, match, side), the points of the last five emitted
-    rows, and the time of the one timer that is set. Times are whole microseconds, so they do not
-    depend on the time zone of a Python worker.
+    State per team: the waiting rows by hour, the hours that have any, the points of the last five emitted
+    rows, the place of the last of them, and the time of the one timer that is set. A batch writes the hours
+    of its rows; a timer reads the hours that are due and no others. A row that belongs before an emitted
+    one is late: it is passed on as such and changes nothing. Times are whole microseconds, so they do
+    not depend on the time zone of a Python worker.
     """
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.waiting = handle.getMapState(
-            "waiting", "at bigint, match_id bigint, side string", "points int"
+            "waiting", "hour bigint", "at array<bigint>, match_id array<bigint>, side array<string>, points array<int>"
         )
+        self.hours = handle.getValueState("hours", "hours array<bigint>")
         self.recent = handle.getValueState("recent", "points array<int>")
+        self.last = handle.getValueState("last", "at bigint, match_id bigint, side string")
         self.timer = handle.getValueState("timer", "at bigint")
 
+    def handleInitialState(self, key: Any, initialState: Row, timerValues: Any) -> None:
+        """What a batch job knows of a team when the stream starts."""
+        self.recent.update((list(initialState.recent),))
+        self.last.update((initialState.at, initialState.match_id, initialState.side))
+
     def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
-        first = None
+        last = tuple(self.last.get()) if self.last.exists() else None
+        arrived: dict[int, dict[tuple, int]] = {}
         for row in rows:
-            self.waiting.updateValue((row.at, row.match_id, row.side), (row.points,))
-            first = row.at if first is None else min(first, row.at)
-        self._set_timer(first)
-        return iter(())
+            place = (row.at, row.match_id, row.side)
+            if last and place <= last:
+                yield self._row(key, place, row.points, None, True)
+            else:
+                arrived.setdefault(row.at // HOUR, {})[place] = row.points
+        if not arrived:
+            return
+        for hour, own in arrived.items():
+            self._keep(hour, {**self._of(hour), **own})
+        known = set(self.hours.get()[0]) if self.hours.exists() else set()
+        if not known >= arrived.keys():
+            self.hours.update((sorted(known | arrived.keys()),))
+        self._set_timer(min(min(arrived[min(arrived)])[0], self._due()))
 
     def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[Row]:
         watermark = timerValues.getCurrentWatermarkInMs() * 1000
         self.timer.clear()
-        ready, rest = [], None
-        for waiting, value in self.waiting.iterator():
-            if waiting[0] <= watermark:
-                ready.append((tuple(waiting), value[0]))
-            else:
-                rest = waiting[0] if rest is None else min(rest, waiting[0])
+        hours = list(self.hours.get()[0]) if self.hours.exists() else []
         recent = list(self.recent.get()[0]) if self.recent.exists() else []
-        season, league, team = key
-        for waiting, points in sorted(ready):
-            at, match_id, side = waiting
-            form = sum(recent) if recent else None
-            yield Row(
-                season=season, league=league, team=team, match_id=match_id, side=side, at=at, form5=form
-            )
-            recent = [*recent, points][-LAST:]
-            self.waiting.removeKey(waiting)
-        if recent:
+        last = None
+        while hours and hours[0] * HOUR <= watermark:
+            waiting = self._of(hours[0])
+            ready = sorted(place for place in waiting if place[0] <= watermark)
+            for last in ready:
+                points = waiting.pop(last)
+                yield self._row(key, last, points, sum(point or 0 for point in recent) if recent else None, False)
+                recent = [*recent, points][-LAST:]
+            self._keep(hours[0], waiting)
+            if waiting:
+                break
+            hours.pop(0)
+        if last:
             self.recent.update((recent,))
-        self._set_timer(rest)
+            self.last.update(last)
+        self.hours.update((hours,)) if hours else self.hours.clear()
+        if hours:
+            self._set_timer(min(self._of(hours[0]))[0])
+
+    @staticmethod
+    def _row(key: Any, place: tuple, points: int | None, form: int | None, late: bool) -> Row:
+        season, league, team = key
+        at, match_id, side = place
+        return Row(
+            season=season, league=league, team=team, match_id=match_id, side=side, at=at, points=points, form5=form,
+            late=late,
+        )
+
+    def _of(self, hour: int) -> dict[tuple, int]:
+        """Waiting rows of an hour: points by (time, match, side)."""
+        if not self.waiting.containsKey((hour,)):
+            return {}
+        at, match_id, side, points = self.waiting.getValue((hour,))
+        return dict(zip(zip(at, match_id, side), points))
+
+    def _keep(self, hour: int, rows: dict[tuple, int]) -> None:
+        if rows:
+            at, match_id, side = (list(values) for values in zip(*rows))
+            self.waiting.updateValue((hour,), (at, match_id, side, list(rows.values())))
+        else:
+            self.waiting.removeKey((hour,))
+
+    def _due(self) -> float:
+        return self.timer.get()[0] * 1000 if self.timer.exists() else float("inf")
 
-    def _set_timer(self, at: int | None) -> None:
+    def _set_timer(self, at: int) -> None:
         """One timer per team, at the earliest waiting row, rounded up to whole milliseconds."""
-        if at is None:
-            return
-        due = -(-at // 1000)
+        due = int(-(-at // 1000))
         if self.timer.exists():
             if self.timer.get()[0] <= due:
                 return
@@ -79,21 +130,58 @@ class LastFive(StatefulProcessor):
         self.timer.update((due,))
 
 
-def last_five(teams: DataFrame, delay: str) -> DataFrame:
+def tails(teams: DataFrame) -> DataFrame:
+    """State of each team after ``teams`` (a batch, columns as for ``form_and_late``): one row with the points of its
+    last five rows and the place of the last one. Spark keeps five rows of a team and task before the shuffle."""
+    rows = teams.withColumn("at", F.unix_micros("match_time"))
+    order = ["at", "match_id", "side"]
+    newest = Window.partitionBy(*GROUP).orderBy(*[F.desc(name) for name in order])
+    kept = rows.withColumn("_place", F.row_number().over(newest)).where(F.col("_place") <= LAST)
+    listed = F.sort_array(F.collect_list(F.struct(*order, F.col("points").cast("int").alias("points")))).alias("rows")
+    return kept.groupBy(*GROUP).agg(listed).select(
+        *GROUP, F.col("rows.points").alias("recent"), *[F.element_at(f"rows.{name}", -1).alias(name) for name in order]
+    )
+
+
+def form_and_late(teams: DataFrame, delay: str, history: DataFrame | None = None) -> DataFrame:
     """Stream of team rows to stream of form: points of the team's five games before each one.
 
     ``teams`` has GROUP, match_id, side, points and ``match_time`` (timestamp). Rows may come up to
     ``delay`` out of order; they are emitted once the watermark has passed them, so the result
-    equals the batch window. Later rows are dropped by the watermark: send such a feed to
-    ``incremental`` too, which takes matches of any age.
+    equals the batch window. Rows that belong before an emitted row of their team are emitted at once
+    with ``late`` set and without form, so no row is lost: give them a sink of their own (``split_late``) and
+    send their matches to ``incremental``, which takes matches of any age.
+
+    ``history`` (from ``tails``) is where the first batch of a stream starts; its teams go on from there.
     """
     rows = teams.select(
-        *GROUP, "match_id", "side", "points", "match_time", F.unix_micros("match_time").alias("at")
+        *GROUP, "match_id", "side", F.col("points").cast("int").alias("points"),
+        F.unix_micros("match_time").alias("at"), F.expr(f"match_time + {AHEAD}").alias("clock"),
     )
+    start = history.groupBy(*GROUP) if history is not None else None
     return (
-        rows.withWatermark("match_time", delay)
+        rows.withWatermark("clock", f"{delay} {AHEAD.removeprefix('INTERVAL ').lower()}")
         .groupBy(*GROUP)
-        .transformWithState(LastFive(), OUTPUT, "Append", "EventTime")
+        .transformWithState(LastFive(), OUTPUT, "Append", "EventTime", start)
         .withColumn("match_time", F.timestamp_micros("at"))
         .drop("at")
     )
+
+
+def last_five(teams: DataFrame, delay: str, history: DataFrame | None = None) -> DataFrame:
+    """``form_and_late`` without the late rows."""
+    return form_and_late(teams, delay, history).where("not late").drop("late", "points")
+
+
+def split_late(form: Write, late: Write) -> Write:
+    """Writes rows in time and late rows of a batch of ``form_and_late`` apart."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        try:
+            form(batch.where("not late").drop("late", "points"), batch_id)
+            late(batch.where("late").drop("late", "form5"), batch_id)
+        finally:
+            batch.unpersist()
+
+    return write

@@ -10,7 +10,7 @@ from conftest import SMALL
 from matchday.operators.preceding import before
 from matchday.plans.strict import GROUP, team_rows
 from matchday.sources.fixture import matches
-from matchday.streaming.last_five import last_five
+from matchday.streaming.last_five import form_and_late, last_five, split_late, tails
 
 
 def _teams(spark):
@@ -19,10 +19,10 @@ def _teams(spark):
     return rows.select(*GROUP, "match_id", "side", "points", "match_time")
 
 
-def _deliver(spark, rows, folder, parts, shuffled):
+def _deliver(spark, rows, folder, parts, shuffled, order=None):
     """Files by time; ``shuffled`` swaps neighbours, so rows come up to a part out of order."""
     rows = rows.withColumn("part", F.ntile(parts).over(_all()) - 1).cache()
-    order = list(range(parts))
+    order = order or list(range(parts))
     if shuffled:
         order = [i + 1 if i % 2 == 0 and i + 1 < parts else i - 1 if i % 2 else i for i in order]
     for place, part in enumerate(order):
@@ -40,14 +40,14 @@ def _all():
     return Window.orderBy("match_time")
 
 
-def _run(spark, folder, tmp_path, delay):
+def _run(spark, folder, tmp_path, delay, history=None):
     stream = (
         spark.readStream.schema(spark.read.parquet(f"{folder}/000").schema)
         .option("maxFilesPerTrigger", 1)
         .parquet(f"{folder}/*")
     )
     query = (
-        last_five(stream, delay)
+        last_five(stream, delay, history)
         .writeStream.format("parquet")
         .option("path", str(tmp_path / "out"))
         .option("checkpointLocation", str(tmp_path / "checkpoint"))
@@ -75,3 +75,38 @@ def test_out_of_order_within_the_delay(spark, tmp_path, same):
     _deliver(spark, rows, str(tmp_path / "in"), 6, shuffled=True)
     out = _run(spark, str(tmp_path / "in"), tmp_path, "11 days")
     same(out.where("match_id >= 0"), _expected(rows))
+
+
+def test_starts_from_history(spark, tmp_path, same):
+    """A batch job hands the first half over; the stream goes on as if it had seen it."""
+    rows = _teams(spark).withColumn("half", F.ntile(2).over(_all()))
+    first, second = (rows.where(F.col("half") == half).drop("half") for half in (1, 2))
+    _deliver(spark, second, str(tmp_path / "in"), 3, shuffled=False)
+    out = _run(spark, str(tmp_path / "in"), tmp_path, "1 second", tails(first))
+    keys = second.select("match_id", "side")
+    same(out.where("match_id >= 0"), _expected(first.union(second)).join(keys, ["match_id", "side"], "left_semi"))
+
+
+def test_late_rows_are_passed_on(spark, tmp_path, same):
+    """The last part comes first; of the others, rows before an emitted row of their team are late, with all values."""
+    rows = _teams(spark)
+    _deliver(spark, rows, str(tmp_path / "in"), 4, shuffled=False, order=[1, 3, 0, 2])
+    stream = (
+        spark.readStream.schema(spark.read.parquet(str(tmp_path / "in" / "000")).schema)
+        .option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in" / "*"))
+    )
+    form, late = str(tmp_path / "form"), str(tmp_path / "late")
+    write = split_late(
+        lambda df, number: df.write.mode("append").parquet(form), lambda df, number: df.write.mode("append").parquet(late)
+    )
+    query = form_and_late(stream, "1 second").writeStream.foreachBatch(write).option(
+        "checkpointLocation", str(tmp_path / "c")
+    ).trigger(availableNow=True).start()
+    assert query.awaitTermination(300)
+    emitted, behind = spark.read.parquet(form).where("match_id >= 0"), spark.read.parquet(late)
+    assert emitted.count() and behind.count()
+    same(behind.select(*rows.columns), rows.join(behind.select("match_id", "side"), ["match_id", "side"], "left_semi").select(*rows.columns))
+    same(emitted.select("match_id", "side").union(behind.select("match_id", "side")), rows.select("match_id", "side"))
+    # what is in time has the form of all rows that are
+    in_time = rows.join(behind.select("match_id", "side"), ["match_id", "side"], "left_anti").select(*rows.columns)
+    same(emitted, _expected(in_time))
