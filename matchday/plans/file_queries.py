@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -16,6 +16,7 @@ from matchday import schema
 from matchday.functions import scalars
 from matchday.operators.preceding import before
 from matchday.plans import strict
+from matchday.plans.publish import publish
 from matchday.session import SETTINGS, scratch_folder
 from matchday.sources import files
 from matchday.sources.fixture import matches, records
@@ -78,12 +79,90 @@ def csv_union_by_name(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def bronze_raw(spark: SparkSession, folder: str) -> DataFrame:
-    """Lines kept per season and league, headers included once per file."""
+    """Lines kept per season and league. Headers, of which every file has one, are left out of the result."""
     source, kept = _csv_folder(spark, folder), scratch_folder(spark, "bronze")
     files.write_bronze(files.raw_lines(spark, source, 0, files.FOLDER_NAME), kept)
     lines = sinks.read_partitions(spark, kept, PAIR)
-    data = F.count(F.when(~F.col("line").contains("FTHG"), True))
-    return lines.groupBy("season", "league").agg(data.alias("rows"))
+    return lines.where(~F.col("line").contains("FTHG")).select("season", "league", "line")
+
+
+HEADER = "match_id,Date,HomeTeam,AwayTeam,FTR,FTHG,FTAG"
+
+
+def _line_folder(spark: SparkSession, folder: str, line: Column) -> str:
+    """One CSV file per league and season with HEADER and a line per match."""
+    path, rows = scratch_folder(spark, "lines"), records(spark, folder)
+    pair = {"league": F.col("League"), "season": F.col("Season")}
+    lines = rows.withColumns(pair).select(*PAIR, F.lit(1).alias("place"), line.alias("line"))
+    heads = lines.select(*PAIR).distinct().select(*PAIR, F.lit(0).alias("place"), F.lit(HEADER).alias("line"))
+    both = heads.union(lines).repartition(*PAIR).sortWithinPartitions(*PAIR, "place").drop("place")
+    # no line has this separator or quotes, so lines are written as they are
+    both.write.partitionBy(*PAIR).option("sep", "\u0001").option("escapeQuotes", False).csv(path)
+    return path
+
+
+def _whole_line() -> Column:
+    return F.concat_ws(",", *[F.coalesce(F.col(name), F.lit("")) for name in HEADER.split(",")])
+
+
+def csv_quarantine(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines with cells too many, with too few, of commas alone, and without a team are kept apart with the reason."""
+    line, match = _whole_line(), F.col("match_id")
+    damaged = (
+        F.when(match % 37 == 0, F.concat(line, F.lit(",x,y")))
+        .when(match % 41 == 0, F.substring_index(line, ",", 5))
+        .when(match % 43 == 0, F.lit(",,,,,,"))
+        .when(match % 47 == 0, F.concat_ws(",", "match_id", "Date", F.lit(""), "AwayTeam", F.lit("H,1,0")))
+        .otherwise(line)
+    )
+    rows = files.csv_flagged(spark, _line_folder(spark, folder, damaged), 0, files.FOLDER_NAME)
+    good = F.col("reason").isNull()
+    kept = [F.when(good, F.col(name)).alias(name.lower()) for name in HEADER.split(",")]
+    return rows.select("Season", "League", "reason", F.when(~good, F.col("raw")).alias("raw"), *kept).withColumnsRenamed(
+        {"Season": "season", "League": "league"}
+    )
+
+
+GATE_ROWS, GATE_WIDTH = 100, 60
+
+
+def file_gate(spark: SparkSession, folder: str) -> DataFrame:
+    """Files of lines of one length; those with fewer than GATE_ROWS matches are too small."""
+    path = _line_folder(spark, folder, F.rpad(_whole_line(), GATE_WIDTH, "#"))
+    # the header and the line feeds count as well
+    smallest = len(HEADER) + 1 + GATE_ROWS * (GATE_WIDTH + 1) - 1
+    listed = files.accepted(files.list_files(spark, path), smallest)
+    return files.provenance(listed, "path", files.FOLDER_NAME).select(
+        F.col("Season").alias("season"), F.col("League").alias("league"),
+        ((F.col("length") - len(HEADER) - 1) / (GATE_WIDTH + 1)).cast("bigint").alias("rows"),
+    )
+
+
+def publish_run(spark: SparkSession, folder: str) -> DataFrame:
+    """The report of a run in which one file cannot be read, and the messages that were sent by pair."""
+    path, sent = _line_folder(spark, folder, _whole_line()), scratch_folder(spark, "sent")
+    # a file that says that it is compressed and is not
+    broken = spark.range(1).select(F.lit("no file ").alias("line"), F.lit("E0").alias("league"), F.lit("9900").alias("season"))
+    broken.write.mode("append").partitionBy(*PAIR).option("compression", "none").csv(path)
+    _rename_parts(spark, f"{path}/league=E0/season=9900", ".csv", ".csv.gz")
+    report = publish(spark, path, "json", {"path": sent}, min_bytes=0, pattern=files.FOLDER_NAME)
+    message = F.from_json("value", schema.SHORT_MESSAGE)
+    counts = spark.read.schema("value string").json(sent).select(message.alias("m")).groupBy(
+        F.col("m.Season").alias("season"), F.col("m.League").alias("league")
+    ).agg(F.count("*").alias("sent"))
+    return report.join(counts, ["season", "league"], "left").select(
+        "season", "league", "rows", "status", F.coalesce("sent", F.lit(0)).alias("sent"),
+        F.col("reason").isNotNull().alias("explained"),
+    )
+
+
+def _rename_parts(spark: SparkSession, place: str, old: str, new: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    store = path(place).getFileSystem(spark._jsc.hadoopConfiguration())
+    for status in store.listStatus(path(place)):
+        name = status.getPath().getName()
+        if name.endswith(old):
+            store.rename(status.getPath(), path(place, name.removesuffix(old) + new))
 
 
 # --- streams -------------------------------------------------------------------------------------
@@ -140,6 +219,19 @@ def stream_docs(spark: SparkSession, folder: str) -> DataFrame:
     return _flat(spark.read.schema(schema.MESSAGE).json(out))
 
 
+def _cut_messages(spark: SparkSession, folder: str) -> DataFrame:
+    """The topic with every 37th text cut off behind its date."""
+    messages = _messages(spark, folder)
+    cut = F.when(F.col("offset") % 37 == 0, F.substring("value", 1, 20)).otherwise(F.col("value"))
+    return messages.withColumn("value", cut)
+
+
+def _good_and_bad(good: DataFrame, bad: DataFrame) -> DataFrame:
+    """Records as ``_flat`` has them, and texts that are none, in one table."""
+    rows = _flat(good).withColumn("raw", F.lit(None).cast("string"))
+    return rows.unionByName(bad.select("raw"), allowMissingColumns=True)
+
+
 def fanout(spark: SparkSession, folder: str) -> DataFrame:
     """One parse per batch for two sinks; every batch is written twice, as after a failure."""
     good, bad = scratch_folder(spark, "good"), scratch_folder(spark, "bad")
@@ -149,15 +241,18 @@ def fanout(spark: SparkSession, folder: str) -> DataFrame:
         write(batch, batch_id)
         write(batch, batch_id)
 
-    messages = _messages(spark, folder)
-    cut = F.when(F.col("offset") % 37 == 0, F.substring("value", 1, 20)).otherwise(F.col("value"))
     checkpoint = scratch_folder(spark, "checkpoint")
-    _finish(sinks.for_each_batch(messages.withColumn("value", cut), twice, checkpoint, once=True))
-    sizes = [
-        spark.read.parquet(path).agg(F.count(F.lit(1)).alias("rows")).withColumn("sink", F.lit(name))
-        for name, path in (("good", good), ("bad", bad))
-    ]
-    return sizes[0].unionByName(sizes[1])
+    _finish(sinks.for_each_batch(_cut_messages(spark, folder), twice, checkpoint, once=True))
+    return _good_and_bad(spark.read.parquet(good), spark.read.parquet(bad))
+
+
+def landing_quarantine(spark: SparkSession, folder: str) -> DataFrame:
+    """The landing job with a folder for texts that are no record."""
+    good, bad = scratch_folder(spark, "good"), scratch_folder(spark, "bad")
+    checkpoint = scratch_folder(spark, "checkpoint")
+    for query in jobs.landing_job(_cut_messages(spark, folder), good, checkpoint, once=True, quarantine=bad):
+        _finish(query)
+    return _good_and_bad(spark.read.schema(schema.MESSAGE).parquet(good), spark.read.schema("raw string").parquet(bad))
 
 
 def restart(spark: SparkSession, folder: str) -> DataFrame:
@@ -406,7 +501,8 @@ def stream_features_b(spark: SparkSession, folder: str) -> DataFrame:
 FILE_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in [
-        csv_scan, csv_union_by_name, bronze_raw, stream_parquet, stream_docs, fanout, restart,
+        csv_scan, csv_union_by_name, csv_quarantine, file_gate, publish_run, bronze_raw, stream_parquet, stream_docs,
+        fanout, landing_quarantine, restart,
         stream_dedup, incremental_features, incremental_new_run, incremental_replayed, incremental_moved,
         incremental_withdrawn, features_strict_null_key, stateful_last5, stateful_from_history, late_rows, carried_last5,
         carried_totals,

@@ -145,9 +145,20 @@ SEASON_CUM = _query(
     f"SELECT match_id, {_sum('hp + ap', 'season', SO_FAR, 0)} AS htp,"
     f" {_sum('hp + ap', 'season', SO_FAR, 0)} AS atp FROM scored"
 )
-# fields of a message: all columns but match_ts are text in JSON; nulls are left out
-OPTIONAL = ["fthg", "ftag", "ftr", "hf", "af", "hy", "ay", "hr", "ar", "league", "home_team", "away_team"]
-N_FIELDS = " + ".join(f"CAST({name} IS NOT NULL AS BIGINT)" for name in OPTIONAL)
+# a message: all columns but match_ts in order, numbers as numbers; nulls are left out
+NUMBERS = ["fthg", "ftag", "hf", "af", "hy", "ay", "hr", "ar"]
+FIELDS = ["match_id", "match_date", "season", "league", "home_team", "away_team", "fthg", "ftag", "ftr", *NUMBERS[2:]]
+JSON_FIELDS = ", ".join(
+    f"""'"{name}":' || {name}""" if name in ["match_id", *NUMBERS] else f"""'"{name}":"' || {name} || '"'""" for name in FIELDS
+)
+CSV_LINE = (
+    "concat_ws(',', match_id, strftime(match_date, '%d/%m/%Y'), home_team, away_team, coalesce(ftr, ''), fthg, ftag)"
+)
+GOOD_AND_BAD = """
+SELECT match_date, season, league, home_team, away_team, ftr, fthg, ftag, NULL AS raw FROM matches WHERE match_id % 37 <> 0
+UNION ALL
+SELECT NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, '{"Date":"' || strftime(match_date, '%d/%m/%Y') || '"'
+FROM matches WHERE match_id % 37 = 0"""
 
 LANDED = _query(
     "SELECT match_date, season, league, home_team, away_team, ftr, fthg, ftag FROM matches"
@@ -155,7 +166,7 @@ LANDED = _query(
 
 ORACLE: dict[str, str] = {
     "json_landing": _query("SELECT * EXCLUDE (match_ts) FROM matches"),
-    "to_json_messages": _query(f"SELECT match_id, CAST(4 + {N_FIELDS} AS INT) AS n_fields FROM matches"),
+    "to_json_messages": _query(f"SELECT match_id, '{{' || concat_ws(',', {JSON_FIELDS}) || '}}' AS value FROM matches"),
     "cast_stats": _query(
         "SELECT match_id, CASE WHEN match_id % 41 = 0 THEN NULL ELSE fthg END AS fthg FROM matches"
     ),
@@ -224,13 +235,33 @@ ORACLE: dict[str, str] = {
         " CASE WHEN match_id % 2 = 0 THEN hy END AS hy, CASE WHEN match_id % 2 = 0 THEN ay END AS ay"
         " FROM matches"
     ),
-    "bronze_raw": _query("SELECT season, league, count(*) AS rows FROM matches GROUP BY season, league"),
+    "bronze_raw": _query(f"""
+SELECT season, league, CASE WHEN match_id % 2 = 0 THEN {CSV_LINE} || ',' || hy || ',' || ay
+  ELSE concat_ws(',', strftime(match_date, '%d/%m/%Y'), match_id, ftag, fthg, coalesce(ftr, ''), home_team, away_team)
+  END AS line FROM matches"""),
+    "csv_quarantine": _query(f"""
+SELECT season, league, reason, CASE WHEN reason = 'blank' THEN ',,,,,,' WHEN reason IS NOT NULL THEN
+    CASE WHEN match_id % 37 = 0 THEN line || ',x,y' WHEN match_id % 41 = 0 THEN array_to_string(string_split(line, ',')[1:5], ',')
+    ELSE concat_ws(',', match_id, strftime(match_date, '%d/%m/%Y'), '', away_team, 'H,1,0') END END AS raw,
+  CASE WHEN reason IS NULL THEN match_id::VARCHAR END AS match_id,
+  CASE WHEN reason IS NULL THEN strftime(match_date, '%d/%m/%Y') END AS date,
+  CASE WHEN reason IS NULL THEN home_team END AS hometeam, CASE WHEN reason IS NULL THEN away_team END AS awayteam,
+  CASE WHEN reason IS NULL THEN ftr END AS ftr, CASE WHEN reason IS NULL THEN fthg::VARCHAR END AS fthg,
+  CASE WHEN reason IS NULL THEN ftag::VARCHAR END AS ftag
+FROM (SELECT *, {CSV_LINE} AS line, CASE WHEN match_id % 37 = 0 OR match_id % 41 = 0 THEN 'ragged'
+    WHEN match_id % 43 = 0 THEN 'blank' WHEN match_id % 47 = 0 THEN 'key' END AS reason FROM matches)"""),
+    "file_gate": _query(
+        "SELECT season, league, count(*) AS rows FROM matches GROUP BY season, league HAVING count(*) >= 100"
+    ),
+    "publish_run": _query("""
+SELECT e.season, e.league, count(match_id) AS rows, CASE WHEN count(match_id) = 0 THEN 'missing' ELSE 'published' END AS status,
+  count(match_id) AS sent, FALSE AS explained
+FROM expected e LEFT JOIN matches m ON m.season = e.season AND m.league = e.league GROUP BY e.season, e.league
+UNION ALL SELECT '9900', 'E0', 0, 'failed', 0, TRUE"""),
     "stream_parquet": LANDED,
     "stream_docs": LANDED,
-    "fanout": _query(
-        "SELECT CASE WHEN match_id % 37 = 0 THEN 'bad' ELSE 'good' END AS sink, count(*) AS rows"
-        " FROM matches GROUP BY 1"
-    ),
+    "fanout": _query(GOOD_AND_BAD),
+    "landing_quarantine": _query(GOOD_AND_BAD),
     "restart": _query("SELECT match_id, season, fthg FROM matches"),
     "stream_dedup": _query("SELECT match_id, season FROM matches"),
     "incremental_features": FEATURES_STRICT,

@@ -38,10 +38,8 @@ def json_landing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def to_json_messages(spark: SparkSession, folder: str) -> DataFrame:
-    sent = to_messages(matches(spark, folder).withColumn("id", F.col("match_id")), ["id"])
-    return sent.select(
-        F.col("id").alias("match_id"), F.size(F.json_object_keys("value")).alias("n_fields")
-    )
+    rows = matches(spark, folder).drop("match_ts").withColumn("id", F.col("match_id"))
+    return to_messages(rows, ["id"]).select(F.col("id").alias("match_id"), "value")
 
 
 def cast_stats(spark: SparkSession, folder: str) -> DataFrame:

@@ -135,3 +135,67 @@ def test_even_files(spark, tmp_path):
 
     replace_batch(str(tmp_path / "out"), even_files=True)(spark.range(0, 1_000, 1, 8), 0)
     assert len([n for n in os.listdir(tmp_path / "out" / "batch_id=0") if n.endswith(".parquet")]) == 1
+
+
+def test_headers_read_first_blocks_only(spark, tmp_path):
+    line = "1,a,b,2\n"
+    for year in range(10, 16):
+        (tmp_path / f"E0_{year}{year + 1}.csv").write_text("\n\nDate,HomeTeam,AwayTeam,x\n" + line * 200_000)
+    (tmp_path / "E0_2021.csv").write_text("Date,HomeTeam,AwayTeam," + ",".join(f"c{i}" for i in range(5_000)) + "\n" + line * 10)
+    found = files.headers(spark, str(tmp_path)).collect()
+    assert len(found) == 7 and all(row["error"] is None for row in found)
+    by_name = {row["path"][-8:-4]: row for row in found}
+    assert by_name["1011"]["header"] == "Date,HomeTeam,AwayTeam,x"
+    assert by_name["2021"]["header"].endswith(",c4999")
+    assert sum(row["bytes_read"] for row in found) <= 6 * files.FIRST_BLOCK + 2 * by_name["2021"]["length"]
+
+
+def test_headers_by_a_pass_over_the_text(spark, folder, monkeypatch):
+    """Where Python cannot open the store."""
+    fast = files.headers(spark, folder).select("path", "length", "header").collect()
+    monkeypatch.setattr(files, "RANGED", {})
+    slow = files.headers(spark, folder).select("path", "length", "header").collect()
+    assert sorted(map(tuple, fast)) == sorted(map(tuple, slow)) and len(fast) == 3
+
+
+def test_unreadable_and_rejected_files(spark, folder, tmp_path):
+    import gzip
+
+    (tmp_path / "I1_0809.csv.gz").write_bytes(b"no gzip at all" * 100)
+    (tmp_path / "F1_0809.csv.gz").write_bytes(gzip.compress(OLD.encode() + os.urandom(3_000).hex().encode(), 0))
+    (tmp_path / "D1_0910.csv").write_text("<html>,x\n" * 99)
+    (tmp_path / "odd.csv").write_text(OLD)
+    found = {row["path"].rsplit("/", 1)[1]: row["reason"] for row in files.rejected_files(spark, folder).collect()}
+    assert found.pop("I1_0809.csv.gz").startswith("error")
+    assert found == {"notes.txt": "name", "D1_2122.csv": "size", "D1_0910.csv": "header", "odd.csv": "no season and league"}
+    counts = {row["League"]: row["count"] for row in files.csv_union(spark, folder).groupBy("League").count().collect()}
+    assert counts["F1"] == 29 and "I1" not in counts
+
+
+def test_report_of_a_run_with_bad_files(spark, folder, tmp_path):
+    from matchday.plans.publish import publish
+
+    (tmp_path / "I1_0809.csv.gz").write_bytes(b"no gzip at all" * 100)
+    (tmp_path / "X9_0809.csv").write_text(OLD)
+    out = str(tmp_path / "sent")
+    report = {(r["season"], r["league"]): (r["rows"], r["status"]) for r in publish(spark, folder, "json", {"path": out}).collect()}
+    assert len(report) == 81
+    assert report["0809", "I1"] == (0, "failed") and report["0809", "X9"] == (28, "unexpected")
+    assert report["0809", "E0"] == (28, "published") and report["0809", "F1"] == (0, "missing")
+    assert spark.read.json(out).count() == 113
+
+
+def test_flagged_rows(spark, tmp_path):
+    head = "Date,HomeTeam,AwayTeam,FTHG,Note\n"
+    good = "".join(f'{i:02}/08/08,"T, {i}",B,1,\n' for i in range(1, 40))
+    bad = "01/08/08,A,B,1,x,7,8\n02/08/08,A,B\n,,,,\n03/08/08,,B,2,n\n" + head + "\n"
+    (tmp_path / "E0_0809.csv").write_text(head + good + bad)
+    (tmp_path / "E0_0910.csv").write_text("Date,AwayTeam,HomeTeam\n" + "01/08/09,B,A\n" * 40 + "01/08/09,B,A,3\n")
+    rows = files.csv_flagged(spark, str(tmp_path)).cache()
+    assert rows.where("reason IS NULL").count() == 79
+    assert sorted((row["reason"], row["raw"]) for row in rows.where("reason IS NOT NULL").collect()) == [
+        ("blank", ",,,,"), ("key", "03/08/08,,B,2,n"), ("ragged", "01/08/08,A,B,1,x,7,8"), ("ragged", "01/08/09,B,A,3"),
+        ("ragged", "02/08/08,A,B"),
+    ]
+    row = rows.where("reason IS NULL AND Date = '05/08/08'").first()
+    assert (row["HomeTeam"], row["AwayTeam"], row["FTHG"], row["Note"], row["Season"]) == ("T, 5", "B", "1", None, "0809")
