@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from matchday.llm.pieces import Words, byte_table, gathered
-from matchday.llm.shared import new_folder, stored
+from matchday.llm.shared import stored
 from matchday.llm.words import mix, word_hashes
 
 TOP = 10
@@ -36,7 +36,6 @@ STEP = 4096
 # Bytes of items that are searched in one go: their terms and weights are broadcast.
 ITEM_BYTES = 16_000_000
 CHUNK = 4_000_000
-ROW_GROUP = 16_000_000
 PLANES = 32
 TABLE = byte_table(bytes({*range(128)} - {*b"0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"} - {10}), b"")
 
@@ -183,29 +182,9 @@ class Cell:
     ``sum_values`` its summary (none for small blocks), ``most`` the largest impact of each term.
     """
 
-    PARTS = {
-        "ids": "<i8", "unnamed": "?", "terms": "<i4", "starts": "<i8", "places": "<i4", "values": "<i4", "most": "<i4",
-        "list_starts": "<i8", "block_starts": "<i8", "members": "<i4", "sum_starts": "<i8", "sum_places": None,
-        "sum_values": "u1",
-    }
-
     def __init__(self, **parts: np.ndarray) -> None:
         self.__dict__.update(parts)
 
-    @classmethod
-    def kind(cls, name: str, terms: int) -> str:
-        """Type of a part. The places in summaries, by far the most, are as short as the number of terms allows."""
-        return cls.PARTS[name] or ("<u2" if terms <= 1 << 16 else "<i4")
-
-    @classmethod
-    def opened(cls, batch: pa.RecordBatch, row: int) -> Cell:
-        """The cell of a row of the index."""
-        terms = len(batch["terms"][row].as_buffer()) // 4
-        return cls(**{name: np.frombuffer(batch[name][row].as_buffer(), cls.kind(name, terms)) for name in cls.PARTS})
-
-    def closed(self) -> list[bytes]:
-        return [np.asarray(getattr(self, name), self.kind(name, len(self.terms))).tobytes() for name in self.PARTS]
-
     @classmethod
     def built(cls, ids: np.ndarray, unnamed: np.ndarray, keys: np.ndarray, terms, values, starts) -> Iterator[Cell]:
         """Cells of documents in the order of their keys."""
@@ -327,63 +306,57 @@ def placed(found: DataFrame, facts: Broadcast) -> DataFrame:
     return found.mapInArrow(place, f"side long, {VECTOR_FIELDS}")
 
 
-def cells(found: DataFrame, facts: Broadcast) -> DataFrame:
-    """The index: one row per cell, a binary column for each of ``Cell.PARTS``."""
-    schema = pa.schema([(name, pa.binary()) for name in Cell.PARTS])
+def cells(batches: Iterator[pa.RecordBatch]) -> Iterator[Cell]:
+    """Consecutive vectors as cells."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        for start in range(0, batch.num_rows, 256):
+            held.append(batch.slice(start, 256))
+            if sum(map(len, held)) >= CELL:
+                yield from cells_of(pa.concat_batches(held))
+                held = []
+    if held:
+        yield from cells_of(pa.concat_batches(held))
 
-    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-        for batch in batches:
-            for start in range(0, batch.num_rows, 256):
-                held.append(batch.slice(start, 256))
-                if sum(map(len, held)) >= CELL:
-                    yield from made(pa.concat_batches(held))
-                    held = []
-        if held:
-            yield from made(pa.concat_batches(held))
-
-    def made(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        if not batch.num_rows:
-            return
-        terms, values, starts = flat(batch)
-        ids = batch["doc_id"].fill_null(0).to_numpy()
-        unnamed = batch["doc_id"].is_null().to_numpy(zero_copy_only=False)
-        for cell in Cell.built(ids, unnamed, batch["side"].to_numpy(), terms, values, starts):
-            yield pa.RecordBatch.from_arrays([pa.array([part], pa.binary()) for part in cell.closed()], schema=schema)
 
-    return (
-        placed(found, facts)
-        .repartitionByRange("side", "doc_id").sortWithinPartitions("side", "doc_id")
-        .mapInArrow(build, ", ".join(f"{name} binary" for name in Cell.PARTS))
-    )
+def cells_of(batch: pa.RecordBatch) -> Iterator[Cell]:
+    terms, values, starts = flat(batch)
+    ids = batch["doc_id"].fill_null(0).to_numpy()
+    unnamed = batch["doc_id"].is_null().to_numpy(zero_copy_only=False)
+    return Cell.built(ids, unnamed, batch["side"].to_numpy(), terms, values, starts)
 
 
-def best_of_cells(index: DataFrame, queries: Broadcast, top: int) -> DataFrame:
-    """(item_id, doc_id, score): the best documents of each task's cells for each item."""
+def best_of_cells(found: DataFrame, queries: Broadcast, top: int) -> DataFrame:
+    """(item_id, doc_id, score): the best documents of each task's cells for each item.
+
+    A task builds the cells of its range of documents one by one and searches them; what its items have found so
+    far raises the bar for its later cells.
+    """
     schema = pa.schema([("item_id", pa.int64()), ("doc_id", pa.int64()), ("score", pa.int64())])
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # (score, id, without id) of the best documents so far, and what a document must score
         best: dict[int | None, list[tuple]] = {}
         bars = {item: least for item, _, _, least in queries.value}
-        for batch in batches:
-            for row in range(batch.num_rows):
-                cell = Cell.opened(batch, row)
-                for item, terms, weights, _ in queries.value:
-                    places, scores = cell.search(terms, weights, bars[item], top)
-                    if not len(places):
-                        continue
-                    held = best.get(item, [])
-                    held += zip((-scores).tolist(), cell.unnamed[places].tolist(), cell.ids[places].tolist())
-                    best[item] = held = sorted(held)[:top]
-                    if len(held) == top:
-                        bars[item] = max(bars[item], -held[-1][0])
+        for cell in cells(batches):
+            for item, terms, weights, _ in queries.value:
+                places, scores = cell.search(terms, weights, bars[item], top)
+                if not len(places):
+                    continue
+                held = best.get(item, [])
+                held += zip((-scores).tolist(), cell.unnamed[places].tolist(), cell.ids[places].tolist())
+                best[item] = held = sorted(held)[:top]
+                if len(held) == top:
+                    bars[item] = max(bars[item], -held[-1][0])
         rows = [(item, None if unnamed else doc, -score) for item, held in best.items() for score, unnamed, doc in held]
         for start in range(0, len(rows), 10_000):
             part = list(zip(*rows[start : start + 10_000]))
             yield pa.RecordBatch.from_arrays([pa.array(values, pa.int64()) for values in part], schema=schema)
 
-    return index.mapInArrow(find, "item_id long, doc_id long, score long")
+    return (
+        found.repartitionByRange("side", "doc_id").sortWithinPartitions("side", "doc_id")
+        .mapInArrow(find, "item_id long, doc_id long, score long")
+    )
 
 
 def search(documents: DataFrame, items: DataFrame, top: int = TOP) -> DataFrame:
@@ -395,8 +368,8 @@ def search(documents: DataFrame, items: DataFrame, top: int = TOP) -> DataFrame:
     and scores weight * ((1000000000 * tf) div (1000 * tf + 8 * m)) for each term of the item,
     repeats included. Equal scores rank by doc_id.
 
-    Items are searched against all documents in groups of at most ITEM_BYTES of text (a larger
-    item is a group of its own); each group has an index of its terms. Null and empty texts have no
+    Items are searched against all documents in groups of about ITEM_BYTES of text; each group has
+    an index of its terms, which the tasks build for their ranges of documents and search at once. Null and empty texts have no
     terms: such documents count nowhere and such items find nothing. Every row of ``documents`` is a document of its own, also
     if it repeats; a null doc_id ranks behind others of the same score. Of items with the same item_id the smallest
     text counts; a null item_id is an item as well. Other columns are ignored. Empty tables give an empty result.
@@ -435,11 +408,7 @@ def searched(documents: DataFrame, items: list[tuple[int | None, bytes]], top: i
     # random planes by the terms' own hashes, so that an order does not depend on their numbers
     hashes = word_hashes(b" ".join(dictionary))
     bits = mix(hashes) >> np.arange(PLANES, dtype=np.uint64)[:, None] & np.uint64(1)
-    place = f"{new_folder(spark, 'cells')}.parquet"
-    # a cell is some MB, so a reader holds few at a time
-    made = cells(found, send((weights, 2 * bits.T.astype(np.int8) - 1)))
-    made.write.option("parquet.block.size", ROW_GROUP).option("compression", "zstd").parquet(place)
-    index = spark.read.parquet(place)
+    sided = stored(placed(found, send((weights, 2 * bits.T.astype(np.int8) - 1))), "sides")
     asked = []
     for number, (item, _) in enumerate(items):
         terms, times = np.unique(words.ids[words.text == number], return_counts=True)
@@ -447,4 +416,4 @@ def searched(documents: DataFrame, items: list[tuple[int | None, bytes]], top: i
             product = times * weights[terms]
             # ``top`` documents reach a term's share of the top-th largest impact
             asked.append((item, terms, product, max(1, int((product * least[terms]).max()))))
-    return best_of_cells(index, send(asked), top)
+    return best_of_cells(sided, send(asked), top)
