@@ -48,11 +48,13 @@ def _arguments() -> argparse.Namespace:
         job.add_argument("--out", required=True, help="Parquet folder of this job alone")
         job.add_argument("--documents-format")
         job.add_argument("--documents", action="append", metavar="NAME=VALUE")
+        job.add_argument("--documents-key", metavar="NAME,NAME", help="replace documents by these fields, with MongoDB's options")
         job.add_argument("--once", action="store_true", help="stop when all is read")
         if name == "land":
             job.add_argument("--console", action="store_true")
             job.add_argument("--quarantine", help="Parquet folder for texts that are no record")
         else:
+            job.add_argument("--documents-ledger", help="folder that says which batches a store without upsert has")
             job.add_argument("--tie", default="partition,offset", help="columns that order matches of a day")
     return parser.parse_args()
 
@@ -70,6 +72,9 @@ def main() -> None:
         return
     messages = stream(spark, args.format, _pairs(args.source), args.schema, args.max_per_trigger)
     documents = _pairs(args.documents)
+    if args.documents_key:
+        key = args.documents_key.split(",")
+        documents = {**sinks.upsert_options(documents.get("database", ""), documents.get("collection", ""), key), **documents}
     if args.job == "land":
         started = jobs.landing_job(
             messages, args.out, args.checkpoint, args.documents_format, documents, args.console, args.once,
@@ -78,7 +83,11 @@ def main() -> None:
     else:
         writes = [sinks.replace_batch(args.out)]
         if args.documents_format:
-            writes.append(sinks.append_documents(args.documents_format, documents))
+            writes.append(
+                sinks.append_once(args.documents_format, documents, args.documents_ledger)
+                if args.documents_ledger
+                else sinks.append_documents(args.documents_format, documents)
+            )
         start = jobs.feature_job_a if args.job == "features-a" else jobs.feature_job_b
         started = [start(messages, args.tie.split(","), args.checkpoint, *writes, once=args.once)]
     sinks.wait(spark, started)

@@ -232,6 +232,22 @@ def _good_and_bad(good: DataFrame, bad: DataFrame) -> DataFrame:
     return rows.unionByName(bad.select("raw"), allowMissingColumns=True)
 
 
+def documents_once(spark: SparkSession, folder: str) -> DataFrame:
+    """Every batch comes twice to a store without upsert, and two streams write to it; its documents, read back."""
+    out, ledger = scratch_folder(spark, "documents"), scratch_folder(spark, "ledger")
+    write = sinks.append_once("json", {"path": out}, ledger)
+
+    def twice(batch: DataFrame, batch_id: int) -> None:
+        for _ in range(2):
+            write(batch, batch_id)
+
+    landed = jobs.landed(_messages(spark, folder))
+    for home in (True, False):
+        part = landed.where((F.col("FTR") == "H") if home else (F.coalesce("FTR", F.lit("")) != "H"))
+        _finish(sinks.for_each_batch(part, twice, scratch_folder(spark, "checkpoint"), once=True))
+    return _flat(spark.read.schema(schema.MESSAGE).json(out))
+
+
 def fanout(spark: SparkSession, folder: str) -> DataFrame:
     """One parse per batch for two sinks; every batch is written twice, as after a failure."""
     good, bad = scratch_folder(spark, "good"), scratch_folder(spark, "bad")
@@ -486,7 +502,7 @@ def _feature_stream(spark: SparkSession, folder: str, start: Callable[..., Strea
     source = stream(spark, "parquet", {"path": topic}, "match_ts timestamp_ntz, match_id bigint, value string")
     writes = [sinks.replace_batch(out), sinks.append_documents("json", {"path": docs})]
     _finish(start(source, TIE, scratch_folder(spark, "checkpoint"), *writes, once=True))
-    rows = spark.read.parquet(out).drop("batch_id")
+    rows = spark.read.parquet(out).drop("run", "batch_id")
     return rows.withColumnsRenamed({name: "away_shots" if name == "AS" else name.lower() for name in rows.columns})
 
 
@@ -502,7 +518,7 @@ FILE_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in [
         csv_scan, csv_union_by_name, csv_quarantine, file_gate, publish_run, bronze_raw, stream_parquet, stream_docs,
-        fanout, landing_quarantine, restart,
+        documents_once, fanout, landing_quarantine, restart,
         stream_dedup, incremental_features, incremental_new_run, incremental_replayed, incremental_moved,
         incremental_withdrawn, features_strict_null_key, stateful_last5, stateful_from_history, late_rows, carried_last5,
         carried_totals,

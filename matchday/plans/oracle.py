@@ -260,6 +260,7 @@ FROM expected e LEFT JOIN matches m ON m.season = e.season AND m.league = e.leag
 UNION ALL SELECT '9900', 'E0', 0, 'failed', 0, TRUE"""),
     "stream_parquet": LANDED,
     "stream_docs": LANDED,
+    "documents_once": LANDED,
     "fanout": _query(GOOD_AND_BAD),
     "landing_quarantine": _query(GOOD_AND_BAD),
     "restart": _query("SELECT match_id, season, fthg FROM matches"),

@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.readwriter import DataStreamWriter
 from pyspark.sql.types import StringType, StructField, StructType
 
+from matchday.streaming import snapshots
+
 Write = Callable[[DataFrame, int], None]
 
 
@@ -53,6 +58,8 @@ def wait(spark: SparkSession, queries: list[StreamingQuery]) -> None:
     finally:
         for query in queries:
             query.stop()
+        # else the failure would be raised again to whoever waits next in this session
+        spark.streams.resetTerminated()
 
 
 def fan_out(*writes: Write) -> Write:
@@ -69,17 +76,20 @@ def fan_out(*writes: Write) -> Write:
     return write
 
 
-def replace_batch(path: str, even_files: bool = False, max_records: int = 5_000_000) -> Write:
-    """Parquet below ``path/batch_id=N``: a batch that comes again replaces its first attempt.
+def replace_batch(path: str, even_files: bool = False, max_records: int = 5_000_000, run: str | None = None) -> Write:
+    """Parquet below ``path/run=R/batch_id=N``: a batch that comes again replaces its first attempt.
 
+    A stream that starts anew is another run and replaces nothing. ``run`` is the identity of the streaming query
+    unless given; a call outside of a query without one writes below ``path/batch_id=N``.
     ``even_files`` rebalances before the write: a small batch becomes one file, a large one files
     of similar size. That is one more shuffle, so leave it out where tasks write enough each.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        name = run or snapshots.run_of(batch.sparkSession)
         rows = batch.hint("rebalance") if even_files else batch
         writer = rows.write.mode("overwrite").option("maxRecordsPerFile", max_records)
-        writer.parquet(f"{path}/batch_id={batch_id}")
+        writer.parquet(f"{path}/run={name}/batch_id={batch_id}" if name else f"{path}/batch_id={batch_id}")
 
     return write
 
@@ -114,7 +124,7 @@ def append_documents(fmt: str, options: dict[str, str]) -> Write:
     """Append each batch to a document store.
 
     A plain append repeats rows if a batch comes again; pass the connector's upsert options on the
-    natural key (``upsert_options``) to avoid that.
+    natural key (``upsert_options``), or use ``append_once``, to avoid that.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -123,6 +133,47 @@ def append_documents(fmt: str, options: dict[str, str]) -> Write:
     return write
 
 
+BEGUN, DONE = "begun", "done"
+Remove = Callable[[SparkSession, str, int], None]
+
+
+def append_once(
+    fmt: str, options: dict[str, str], ledger: str, remove: Remove | None = None, run: str | None = None
+) -> Write:
+    """Append each batch to a document store that has no upsert, once.
+
+    ``ledger`` is a folder that says which batches have begun and which are done (``snapshots``). A batch that is
+    done is not written again. One that has begun only may have left some of its rows: ``remove(spark, run,
+    batch_id)`` deletes them, by the columns ``_run`` and ``_batch`` that every document has; without it such a batch is
+    refused, since a second append would repeat rows.
+    """
+    own = uuid.uuid4().hex
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        name = run or snapshots.run_of(spark) or own
+        log = snapshots.read_log(spark, ledger)
+        states = {made.attempt for made in log if (made.run, made.batch) == (name, batch_id)}
+        if DONE in states:
+            return
+        if BEGUN in states:
+            if remove is None:
+                raise RuntimeError(f"batch {batch_id} of run {name} has begun before; its documents must be removed first")
+            remove(spark, name, batch_id)
+        else:
+            log = note(spark, log, name, batch_id, BEGUN)
+        marked = batch.withColumns({"_run": F.lit(name), "_batch": F.lit(batch_id).cast("long")})
+        marked.write.format(fmt).mode("append").options(**options).save()
+        note(spark, log, name, batch_id, DONE)
+
+    def note(spark: SparkSession, log: list, name: str, batch_id: int, state: str) -> list:
+        made = replace(snapshots.begin(log, name, batch_id), attempt=state)
+        snapshots.commit(spark, ledger, made)
+        return [*log, made]
+
+    return write
+
+
 def upsert_options(database: str, collection: str, key: list[str]) -> dict[str, str]:
     """Options of the MongoDB connector that replace the document with the same key."""
     return {

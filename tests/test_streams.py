@@ -78,10 +78,12 @@ def test_feature_jobs(spark, topic, tmp_path, same, start, features, fields):
     assert query.awaitTermination(120)
     messages = spark.read.schema(SCHEMA).json(topic)
     expected = features(land(messages, fields, ["id"]), ["id"]).drop("id")
-    written = spark.read.parquet(out).drop("batch_id")
+    written = spark.read.parquet(out).drop("run", "batch_id")
     assert written.columns == expected.columns
     same(written, expected)
-    assert spark.read.json(docs).count() == 8
+    # the documents hold the same values as text and numbers
+    kept = spark.read.schema(expected.schema).json(docs)
+    same(kept, expected)
 
 
 def test_feature_job_sees_one_batch_only(spark, topic, tmp_path):
@@ -104,6 +106,42 @@ def test_a_batch_that_comes_again_replaces_itself(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "out")).count() == 15
 
 
+def test_another_run_replaces_nothing(spark, topic, tmp_path):
+    out = str(tmp_path / "out")
+    for checkpoint in "ab":
+        query = sinks.for_each_batch(read(spark, topic), sinks.replace_batch(out), str(tmp_path / checkpoint), once=True)
+        assert query.awaitTermination(120)
+    assert spark.read.parquet(out).count() == 16
+    assert spark.read.parquet(out).select("run").distinct().count() == 2
+
+
+def test_documents_are_appended_once(spark, tmp_path, monkeypatch):
+    out, ledger = str(tmp_path / "docs"), str(tmp_path / "ledger")
+    write = sinks.append_once("json", {"path": out}, ledger, run="r")
+    for number in (0, 1, 0, 1):
+        write(spark.range(number * 10, number * 10 + 5), number)
+    other = sinks.append_once("json", {"path": out}, ledger)
+    other(spark.range(100, 103), 0)
+    assert sorted(row["id"] for row in spark.read.json(out).collect()) == [*range(5), *range(10, 15), *range(100, 103)]
+
+
+def test_documents_of_a_failed_append(spark, tmp_path):
+    out, ledger, removed = str(tmp_path / "docs"), str(tmp_path / "ledger"), []
+    bad = spark.range(3).select(F.raise_error(F.lit("lost")).cast("string").alias("id"))
+    write = sinks.append_once("json", {"path": out}, ledger, run="r")
+    with pytest.raises(Exception, match="lost"):
+        write(bad, 0)
+    # rows of the first attempt may be there
+    with pytest.raises(RuntimeError, match="removed first"):
+        write(spark.range(3), 0)
+    again = sinks.append_once("json", {"path": out}, ledger, lambda spark, run, batch: removed.append((run, batch)), run="r")
+    again(spark.range(3), 0)
+    again(spark.range(3), 0)
+    assert removed == [("r", 0)]
+    assert {tuple(row) for row in spark.read.json(out).select("_run", "_batch").collect()} == {("r", 0)}
+    assert spark.read.json(out).count() == 3
+
+
 def test_fan_out_computes_once(spark, tmp_path):
     seen = spark.sparkContext.accumulator(0)
 
