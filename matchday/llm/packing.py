@@ -16,8 +16,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from matchday.llm.pieces import gathered
 from matchday.llm.shared import stored
-from matchday.llm.tokens import TextEncoder
+from matchday.llm.tokens import CHUNK, encoder_of
 from matchday.llm.words import batches_of, rows
 
 CAPACITY = 4096
@@ -37,19 +38,22 @@ def pieces_of(documents: DataFrame, tokenizer: str, end_id: int = 1, capacity: i
     )
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = TextEncoder(tokenizer)
+        encoder = encoder_of(tokenizer)
 
         def made() -> Iterator[tuple]:
-            for row in rows(batches):
-                ids = np.append(encoder.ids(row["text"]), np.uint32(end_id)).astype("<u4")
-                for piece, start in enumerate(range(0, len(ids), capacity)):
-                    part = ids[start : start + capacity]
-                    yield row["doc_id"], piece, start, len(part), zlib.crc32(part.tobytes())
+            for batch in gathered(batches, CHUNK):
+                all_ids, begin = encoder.encode_all(batch["text"].to_pylist())
+                for doc_id, first, last in zip(batch["doc_id"].to_pylist(), begin.tolist(), begin[1:].tolist()):
+                    ids = np.append(all_ids[first:last], np.uint32(end_id)).astype("<u4")
+                    for piece, start in enumerate(range(0, len(ids), capacity)):
+                        part = ids[start : start + capacity]
+                        yield doc_id, piece, start, len(part), zlib.crc32(part.tobytes())
 
         yield from batches_of(made(), schema)
 
     return documents.select(
-        F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text")
+        F.col("doc_id").cast("long").alias("doc_id"),
+        F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary").alias("text"),
     ).mapInArrow(cut, "doc_id long, piece int, start long, length long, ids_crc32 long")
 
 

@@ -12,6 +12,8 @@ frame: where it starts. The manifest names the files that count, in order.
 
 from __future__ import annotations
 
+import io
+import itertools
 import struct
 import zlib
 from collections.abc import Iterator
@@ -22,8 +24,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from matchday.llm.pieces import gathered
 from matchday.llm.shared import attempt_name, open_folder
-from matchday.llm.tokens import TextEncoder
+from matchday.llm.tokens import CHUNK, encoder_of
 from matchday.llm.words import as_batch, batches_of, rows
 
 # Fixed value: what is added to a turned checksum.
@@ -86,10 +89,10 @@ def write_records(documents: DataFrame, folder: str, tokenizer: str, end_id: int
     """
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = TextEncoder(tokenizer)
+        encoder = encoder_of(tokenizer)
         end = np.array([end_id], f"<u{encoder.width}").tobytes()
         shard = TaskContext.get().partitionId()
-        filled = rows(batches)
+        filled = gathered(filter(len, batches), CHUNK)
         first = next(filled, None)
         if first is None:
             return
@@ -98,22 +101,23 @@ def write_records(documents: DataFrame, folder: str, tokenizer: str, end_id: int
         name = attempt_name(f"shard-{shard:06d}", ".records")
         offsets, at, n_ids = [], 0, 0
         with system.open_output_stream(f"{base}/{name}") as out:
-            row = first
-            while row is not None:
-                ids = encoder.encode(row["text"]) + end
-                framed = frame(payload_of(row["doc_id"], ids, encoder.width))
-                out.write(framed)
-                offsets.append(at)
-                at += len(framed)
-                n_ids += len(ids) // encoder.width
-                row = next(filled, None)
+            for batch in itertools.chain([first], filled):
+                ids, begin = encoder.encode_all(batch["text"].to_pylist())
+                n_ids += len(ids) + batch.num_rows
+                for doc_id, start, stop in zip(batch["doc_id"].to_pylist(), begin.tolist(), begin[1:].tolist()):
+                    framed = frame(payload_of(doc_id, ids[start:stop].tobytes() + end, encoder.width))
+                    out.write(framed)
+                    offsets.append(at)
+                    at += len(framed)
         with system.open_output_stream(f"{base}/{name}.offsets") as out:
             out.write(np.array(offsets, "<u8").tobytes())
         yield as_batch([(shard, name, f"{name}.offsets", len(offsets), n_ids)], MANIFEST)
 
     spark = documents.sparkSession
     ordered = (
-        documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
+        documents.select(
+            F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary").alias("text")
+        )
         .repartitionByRange("doc_id")
         .sortWithinPartitions("doc_id", "text")
     )
@@ -128,11 +132,12 @@ def read_manifest(spark: SparkSession, folder: str) -> DataFrame:
     ).parquet(f"{folder}/manifest.parquet")
 
 
-def read_records(manifest: DataFrame, folder: str) -> DataFrame:
+def read_records(manifest: DataFrame, folder: str, seed: int | None = None) -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32) of every record, from the files the manifest names.
 
     start counts the ids of all records before; ids_crc32 is over the ids as little-endian u32.
-    Each file is read by one task, frame by frame, and every checksum is checked.
+    Each file is read by one task and every checksum is checked: frame by frame, or with a ``seed`` in an order
+    shuffled by it, each record found by the offset index.
     """
     # one row per file: small however large the files are
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
@@ -144,16 +149,35 @@ def read_records(manifest: DataFrame, folder: str) -> DataFrame:
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def found() -> Iterator[tuple]:
             for row in rows(batches):
-                system, base = open_folder(folder)
-                start = row["start"]
-                with system.open_input_stream(f"{base}/{row['records']}", buffer_size=1 << 20) as stream:
-                    while (payload := read_frame(stream)) is not None:
-                        doc_id, ids = content(payload)
-                        yield doc_id, start, len(ids), zlib.crc32(ids.astype("<u4").tobytes())
-                        start += len(ids)
+                every = in_order(row) if seed is None else shuffled(row, seed)
+                for start, payload in every:
+                    doc_id, ids = content(payload)
+                    yield doc_id, start, len(ids), zlib.crc32(ids.astype("<u4").tobytes())
 
         yield from batches_of(found(), schema)
 
+    def in_order(row: dict) -> Iterator[tuple[int, bytes]]:
+        system, base = open_folder(folder)
+        start = row["start"]
+        with system.open_input_stream(f"{base}/{row['records']}", buffer_size=1 << 20) as stream:
+            while (payload := read_frame(stream)) is not None:
+                yield start, payload
+                start += len(content(payload)[1])
+
+    def shuffled(row: dict, seed: int) -> Iterator[tuple[int, bytes]]:
+        system, base = open_folder(folder)
+        with system.open_input_file(f"{base}/{row['records']}.offsets") as index:
+            offsets = np.frombuffer(index.read(), "<u8").astype(np.int64)
+        with system.open_input_file(f"{base}/{row['records']}") as file:
+            sizes = np.diff(np.append(offsets, file.size()))
+            # all records of a file have ids of one width
+            width = LEAD.unpack_from(file.read(HEAD.size + LEAD.size), HEAD.size)[2]
+            counts = (sizes - HEAD.size - LEAD.size - TAIL.size) // width
+            starts = row["start"] + np.cumsum(counts) - counts
+            for place in np.random.default_rng([seed, row["shard"]]).permutation(len(offsets)).tolist():
+                file.seek(int(offsets[place]))
+                yield int(starts[place]), read_frame(io.BytesIO(file.read(int(sizes[place]))))
+
     count = max(1, manifest.count())
     return shards.select("shard", "records", "start").repartitionByRange(count, "shard").mapInArrow(
         read, "doc_id long, start long, n_tokens long, ids_crc32 long"

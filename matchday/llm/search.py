@@ -21,7 +21,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from matchday.llm.pieces import Words, byte_table, gathered
+from matchday.llm.pieces import Words, byte_table, gathered, ranges
 from matchday.llm.shared import stored
 from matchday.llm.words import mix, word_hashes
 
@@ -46,12 +46,6 @@ def bodies(df: DataFrame, key: str) -> DataFrame:
     )
 
 
-def ranges(start: np.ndarray, size: np.ndarray) -> np.ndarray:
-    """Numbers start, start + 1, ... of each range, one after the other."""
-    ends = np.cumsum(size)
-    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(start - ends + size, size)
-
-
 def counted(texts: list[bytes], numbers: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Terms of each text, and for the terms in ``numbers``: text, number and count."""
     words = Words(texts, TABLE)

@@ -1,22 +1,30 @@
 """Token ids of whole texts with the tokenizers library, each distinct word encoded once.
 
 Both vocabularies cut a text at white space before they merge anything, so the ids of a text are
-those of its words in a row. A worker remembers the ids of words while there is room.
+those of its words in a row. Many texts are cut at once, and only their distinct words are looked up; a worker
+remembers the ids of words, also from task to task, while there is room.
 """
 
 from __future__ import annotations
 
+import functools
 import re
 from array import array
 
 import numpy as np
+import pyarrow as pa
 import regex
 from tokenizers import Tokenizer
 
+from matchday.llm.pieces import ranges
+
 REMEMBERED = 600_000
-# White space of Unicode; a unit is a word with the white space in front of it.
-SPACE = " \t\n\r\x0b\x0c\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-UNIT = re.compile(f"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+")
+# Bytes of text that callers hand over at once.
+CHUNK = 4_000_000
+# White space beyond ASCII, in UTF-8. A unit is a word with the white space in front of it.
+WIDE_SPACE = re.compile(
+    b"\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2(?:\x80[\x80-\x8a\xa8\xa9\xaf]|\x81\x9f)|\xe3\x80\x80"
+)
 # The patterns by which the two vocabularies cut words.
 BYTE_LEVEL = regex.compile(
     r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -34,7 +42,7 @@ def visible_bytes() -> dict[int, str]:
 
 
 class TextEncoder(dict):
-    """Text to ids, as little-endian integers of ``width`` bytes; the dict is word -> ids."""
+    """Texts to ids, as little-endian integers of ``width`` bytes; the dict is unit -> ids."""
 
     def __init__(self, path: str, width: int | None = None):
         super().__init__()
@@ -48,18 +56,37 @@ class TextEncoder(dict):
         special = self.tokenizer.get_added_tokens_decoder().values()
         assert all(token.content.startswith("<|") for token in special), "other special tokens"
 
-    def encode(self, text: str) -> bytes:
+    def encode_all(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts in a row, and where each text's begin, with the end of the last."""
+        data = b"".join(texts)
+        content = np.frombuffer(data, np.uint8)
         if self.by_word:
-            units = text.replace("\n", " ").split(" ")
+            space = (content == 32) | (content == 10)
         else:
-            units = UNIT.findall(text)
-        return b"".join(map(self.__getitem__, units))
+            space = (content == 32) | (content - np.uint8(9) <= 4)
+            for found in WIDE_SPACE.finditer(data):
+                space[found.start() : found.end()] = True
+        # a unit begins with a text, and where white space follows on none
+        begin = np.cumsum([0, *map(len, texts)])
+        first = np.zeros(len(data) + 1, bool)
+        first[1:-1] = space[1:] & ~space[:-1]
+        first[begin] = True
+        start = np.flatnonzero(first[:-1])
+        units = pa.Array.from_buffers(
+            pa.large_binary(), len(start), [None, pa.py_buffer(np.append(start, len(data))), pa.py_buffer(data)]
+        ).dictionary_encode()
+        made = [self[unit] for unit in units.dictionary.to_pylist()]
+        known = np.array([len(ids) // self.width for ids in made], np.int64)
+        code = units.indices.to_numpy()
+        size = known[code]
+        ids = np.frombuffer(b"".join(made), f"<u{self.width}")[ranges((np.cumsum(known) - known)[code], size)]
+        return ids, np.append(0, np.cumsum(size))[np.searchsorted(start, begin)]
 
     def ids(self, text: str) -> np.ndarray:
-        return np.frombuffer(self.encode(text), f"<u{self.width}")
+        return self.encode_all([text.encode()])[0]
 
-    def __missing__(self, unit: str) -> bytes:
-        ids = array(self.code, self.unit_ids(unit)).tobytes()
+    def __missing__(self, unit: bytes) -> bytes:
+        ids = array(self.code, self.unit_ids((unit.lstrip(b" \n") if self.by_word else unit).decode())).tobytes()
         if len(self) < REMEMBERED and len(unit) <= 100:
             self[unit] = ids
         return ids
@@ -83,3 +110,9 @@ class TextEncoder(dict):
             shown = piece.encode().decode("latin-1").translate(self.table)
             ids += [token.id for token in self.model.tokenize(shown)]
         return ids
+
+
+@functools.lru_cache(maxsize=2)
+def encoder_of(path: str) -> TextEncoder:
+    """The worker's encoder for a tokenizers file."""
+    return TextEncoder(path)

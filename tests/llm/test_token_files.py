@@ -32,6 +32,12 @@ def test_same_ids_as_the_library(path):
     encoder, library = TextEncoder(path), Tokenizer.from_file(path)
     for text in texts + texts[:100]:
         assert encoder.ids(text).tolist() == library.encode(text, add_special_tokens=False).ids, repr(text)
+    # many at once, which do not run into each other
+    ids, begin = encoder.encode_all([text.encode() for text in texts])
+    for text, first, last in zip(texts, begin.tolist(), begin[1:].tolist()):
+        assert ids[first:last].tolist() == library.encode(text, add_special_tokens=False).ids, repr(text)
+    assert [len(part) for part in encoder.encode_all([])] == [0, 1]
+    assert [len(part) for part in encoder.encode_all([b"", b""])] == [0, 3]
 
 
 def order(row):
@@ -49,6 +55,9 @@ def test_records_round_trip(spark, documents):
         expected.append((doc_id, start, len(ids), zlib.crc32(struct.pack(f"<{len(ids)}I", *ids))))
         start += len(ids)
     assert found == expected
+    for seed in (1, 2):
+        mixed = [tuple(r) for r in records.read_records(manifest, folder, seed).collect()]
+        assert mixed != expected and sorted(mixed, key=lambda r: r[1]) == expected
     # any record by its offset
     file = manifest.orderBy("shard").collect()[-1]
     last = records.read_at(folder, file.records, [file.n_documents - 1, 0])
