@@ -132,6 +132,32 @@ def read_manifest(spark: SparkSession, folder: str) -> DataFrame:
     ).parquet(f"{folder}/manifest.parquet")
 
 
+def in_order(folder: str, row: dict) -> Iterator[tuple[int, bytes]]:
+    """Start and payload of every record of a file."""
+    system, base = open_folder(folder)
+    start = row["start"]
+    with system.open_input_stream(f"{base}/{row['records']}", buffer_size=1 << 20) as stream:
+        while (payload := read_frame(stream)) is not None:
+            yield start, payload
+            start += len(content(payload)[1])
+
+
+def shuffled(folder: str, row: dict, seed: int) -> Iterator[tuple[int, bytes]]:
+    """The same in an order by ``seed``, each record found by the offset index."""
+    system, base = open_folder(folder)
+    with system.open_input_file(f"{base}/{row['records']}.offsets") as index:
+        offsets = np.frombuffer(index.read(), "<u8").astype(np.int64)
+    with system.open_input_file(f"{base}/{row['records']}") as file:
+        sizes = np.diff(np.append(offsets, file.size()))
+        # all records of a file have ids of one width
+        width = LEAD.unpack_from(file.read(HEAD.size + LEAD.size), HEAD.size)[2]
+        counts = (sizes - HEAD.size - LEAD.size - TAIL.size) // width
+        starts = row["start"] + np.cumsum(counts) - counts
+        for place in np.random.default_rng([seed, row["shard"]]).permutation(len(offsets)).tolist():
+            file.seek(int(offsets[place]))
+            yield int(starts[place]), read_frame(io.BytesIO(file.read(int(sizes[place]))))
+
+
 def read_records(manifest: DataFrame, folder: str, seed: int | None = None) -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32) of every record, from the files the manifest names.
 
@@ -149,35 +175,13 @@ def read_records(manifest: DataFrame, folder: str, seed: int | None = None) -> D
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def found() -> Iterator[tuple]:
             for row in rows(batches):
-                every = in_order(row) if seed is None else shuffled(row, seed)
+                every = in_order(folder, row) if seed is None else shuffled(folder, row, seed)
                 for start, payload in every:
                     doc_id, ids = content(payload)
                     yield doc_id, start, len(ids), zlib.crc32(ids.astype("<u4").tobytes())
 
         yield from batches_of(found(), schema)
 
-    def in_order(row: dict) -> Iterator[tuple[int, bytes]]:
-        system, base = open_folder(folder)
-        start = row["start"]
-        with system.open_input_stream(f"{base}/{row['records']}", buffer_size=1 << 20) as stream:
-            while (payload := read_frame(stream)) is not None:
-                yield start, payload
-                start += len(content(payload)[1])
-
-    def shuffled(row: dict, seed: int) -> Iterator[tuple[int, bytes]]:
-        system, base = open_folder(folder)
-        with system.open_input_file(f"{base}/{row['records']}.offsets") as index:
-            offsets = np.frombuffer(index.read(), "<u8").astype(np.int64)
-        with system.open_input_file(f"{base}/{row['records']}") as file:
-            sizes = np.diff(np.append(offsets, file.size()))
-            # all records of a file have ids of one width
-            width = LEAD.unpack_from(file.read(HEAD.size + LEAD.size), HEAD.size)[2]
-            counts = (sizes - HEAD.size - LEAD.size - TAIL.size) // width
-            starts = row["start"] + np.cumsum(counts) - counts
-            for place in np.random.default_rng([seed, row["shard"]]).permutation(len(offsets)).tolist():
-                file.seek(int(offsets[place]))
-                yield int(starts[place]), read_frame(io.BytesIO(file.read(int(sizes[place]))))
-
     count = max(1, manifest.count())
     return shards.select("shard", "records", "start").repartitionByRange(count, "shard").mapInArrow(
         read, "doc_id long, start long, n_tokens long, ids_crc32 long"
