@@ -19,7 +19,17 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """The rows written as Parquet to the shared folder and read again: lineage ends here."""
     path = f"{new_folder(df.sparkSession, name)}.parquet"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    kept = df.sparkSession.read.schema(df.schema).parquet(path)
+    kept.stored_at = path
+    return kept
+
+
+def forget(*tables: DataFrame) -> None:
+    """Delete what ``stored`` wrote, once all that is made of it is written."""
+    for table in tables:
+        spark = table.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(table.stored_at)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def open_folder(path: str) -> tuple[fs.FileSystem, str]:
