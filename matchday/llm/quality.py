@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from matchday.llm.shared import stored
+from matchday.operators.totals import BROADCAST_BYTES, size_of
 
 GAP = r"[\x20\x09-\x0D]+"
 SYMBOLS = r"[#*$%&|<>]"
@@ -17,17 +18,13 @@ SYMBOLS = r"[#*$%&|<>]"
 MIN_WORDS = 50
 MAX_REPEATED_PERCENT = 50
 WINDOW = 3
-# Words a reference holds, and their largest length in bytes: the frequent words of a language are short, and
-# long ones make up nearly all of a vocabulary. Languages with a reference of their own; others share one.
+# Words a reference holds.
 COMMON_WORDS = 16
-LANGUAGES = 64
-LONGEST_WORD = 4
 # A text is rejected beyond these distances. Few words scatter: the bound for common words is for texts of many
 # words, and shorter ones get an allowance of SLACK / sqrt(words).
 MAX_CHARACTERS = 0.27
 MAX_WORDS_APART = 0.36
 SLACK = 0.8
-OTHERS = "\u0000"
 
 
 def words_of(text: Column, pattern: str = GAP) -> Column:
@@ -119,44 +116,36 @@ def distance(left: Column, right: Column) -> Column:
 
 
 def references(documents: DataFrame) -> DataFrame:
-    """(language, common): the most frequent words of the languages with most text, and of all others
-    together. At most LANGUAGES + 1 rows of COMMON_WORDS words."""
+    """(language, common): the most frequent words of each language, COMMON_WORDS of them.
+
+    All words of all texts are counted, in each task before the shuffle; only the best of a task travel to
+    where a language is ranked.
+    """
+    # one character in place of all white space lets split work without a pattern
+    spaced = F.translate(F.col("text").cast("string"), "\t\n\x0b\x0c\r", " " * 5)
     spoken = documents.select(
-        F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("lang"),
-        # single spaces are enough to see what is frequent
-        F.explode(
-            F.filter(F.split("text", " "), lambda word: F.octet_length(word).between(1, LONGEST_WORD))
-        ).alias("word"),
-    )
-    counted = stored(spoken.groupBy("lang", "word").agg(F.count("*").alias("n")), "spoken")
-    largest = counted.groupBy("lang").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES).select(
-        F.col("lang").alias("own")
-    )
-    # one count per word in the shared reference
-    pooled = (
-        counted.join(F.broadcast(largest), F.col("lang") == F.col("own"), "left")
-        .groupBy(F.coalesce("own", F.lit(OTHERS)).alias("language"), "word")
-        .agg(F.sum("n").alias("n"))
-    )
+        F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("language"), F.explode(F.split(spaced, " ")).alias("word")
+    ).where("word <> ''")
+    counted = spoken.groupBy("language", "word").agg(F.count("*").alias("n"))
     place = F.row_number().over(Window.partitionBy("language").orderBy(F.desc("n"), "word"))
-    best = pooled.withColumn("place", place).where(F.col("place") <= COMMON_WORDS)
+    best = counted.withColumn("place", place).where(F.col("place") <= COMMON_WORDS)
     return best.groupBy("language").agg(
         F.transform(F.sort_array(F.collect_list(F.struct("place", "word"))), lambda spot: spot["word"]).alias("common")
     )
 
 
+def per_language(summary: DataFrame) -> DataFrame:
+    """A row per language: sent to all tasks if it is small, else joined as Spark sees fit."""
+    return F.broadcast(summary) if size_of(summary) <= BROADCAST_BYTES else summary
+
+
 def features(documents: DataFrame, common: DataFrame) -> DataFrame:
     """(doc_id, language, counts, c_ counts, heard): a narrow row per document."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     spoken = documents.select(
-        F.col("doc_id"), text.alias("text"), F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("lang")
-    )
-    own = F.broadcast(common)  # at most LANGUAGES + 1 rows of COMMON_WORDS short words
-    known = common.where(F.col("language") != OTHERS).select(F.col("language").alias("own"))
-    spoken = spoken.join(F.broadcast(known), F.col("lang") == F.col("own"), "left").withColumn(
-        "language", F.coalesce("own", F.lit(OTHERS))
+        F.col("doc_id"), text.alias("text"), F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("language")
     )
-    spoken = spoken.join(own, "language", "left")
+    spoken = spoken.join(per_language(common), "language", "left")
     counted = spoken.select(
         "doc_id", "language", "text", "common", words_of(F.col("text")).alias("words"),
         character_classes(F.col("text")).alias("classes"),
@@ -203,8 +192,8 @@ def judged(documents: DataFrame) -> DataFrame:
         F.array(*[F.sum(F.get(name, F.lit(k))) for k in range(size)]).alias(f"all_{name}")
         for name, size in (("classes", len(CLASSES)), ("spoken", COMMON_WORDS + 1))
     ]
-    totals = found.groupBy("language").agg(*sums)  # at most LANGUAGES + 1 rows
-    compared = found.join(F.broadcast(totals), "language")
+    totals = stored(found.groupBy("language").agg(*sums), "totals")
+    compared = found.join(per_language(totals), "language")
     characters = distance(F.col("classes"), F.col("all_classes"))
     words = distance(F.col("spoken"), F.col("all_spoken"))
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEATED_PERCENT * F.col("n_words"))

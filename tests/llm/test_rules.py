@@ -65,8 +65,7 @@ def classes(text):
 def judge(rows):
     common = {}
     for _, text, lang, *_ in rows:
-        short = [w for w in (text or "").split(" ") if 0 < len(w.encode()) <= 4]
-        common.setdefault(lang or "", Counter()).update(short)
+        common.setdefault(lang or "", Counter()).update(WORD.findall(text or ""))
     best = {lang: [w for w, _ in sorted(c.items(), key=lambda x: (-x[1], x[0].encode()))[:16]] for lang, c in common.items()}
 
     def heard(text, lang):
@@ -114,6 +113,29 @@ def test_quality_of_given_documents(spark):
     assert sorted(map(str, found)) == sorted(map(str, judge(rows)))
 
 
+def test_long_words_and_many_languages(spark):
+    """Common words may be of any length and script, and every language has a reference of its own."""
+    rng = random.Random(6)
+    frequent = ["который", "поскольку", "однако", "через", "между", "должен", "говорить", "сегодня"]
+
+    def text(own, other, words=150):
+        return " ".join(rng.choice(own) if rng.random() < 0.6 else rng.choice(other) for _ in range(words))
+
+    rows, odd = [], []
+    for number in range(90):
+        shift = [chr(0x0430 + (ord(c) - 0x0430 + number) % 32) for c in "".join(frequent)]
+        own = ["".join(shift[i * 6 : i * 6 + 6]) for i in range(8)]
+        rare = [f"слово{number}а{i}" for i in range(300)]
+        rows += [(number * 100 + i, text(own, rare), f"l{number}", "s", 1) for i in range(6)]
+        # in the same script, of words that the language does not have
+        odd.append(number * 100 + 50)
+        rows.append((odd[-1], text(rare, [f"чужое{i}" for i in range(300)]), f"l{number}", "s", 1))
+    result = quality.judged(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert {r.doc_id for r in result if not r.kept} == set(odd)
+    found = [(*tuple(r)[:8], round(r.characters_apart, 9), round(r.words_apart, 9)) for r in result]
+    assert sorted(map(str, found)) == sorted(map(str, judge(rows)))
+
+
 def test_quality_of_nothing(spark):
     assert quality.judged(spark.createDataFrame([], SCHEMA)).collect() == []
 
