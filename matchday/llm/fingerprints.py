@@ -2,7 +2,9 @@
 
 The hash of a prefix is the sum of c_i * B^i modulo a prime, over its code points. Two prefix hashes give
 the hash of any span, so spans can be compared in constant time and common extensions found by
-binary search. A fingerprint keeps the prefix hashes at every ``stride`` code points and at the end.
+binary search. A fingerprint cuts the text where the hash of the code points before is the largest of those
+around, and keeps the hash of each span: text that is inserted or taken out moves later cuts along, and
+spans behind it are found again at their new place.
 """
 
 from __future__ import annotations
@@ -18,13 +20,16 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from matchday.llm.shared import stored
-from matchday.llm.words import batches_of, rows
+from matchday.llm.words import batches_of, mix, rows
 
 # Two primes below 2^31 and a base for each; together 62 bits.
 PRIMES = (2147483647, 2147483629)
 BASES = (911382323, 972663749)
-# A fingerprint keeps from POINTS / 2 to POINTS prefix hashes, besides the last one.
-POINTS = 32
+# A fingerprint of a long text has about SPANS / 2 to SPANS spans.
+SPANS = 64
+# Code points whose hash decides on a cut, and radii, each twice the one before, that a cut can prevail in.
+BEFORE = 16
+LEVELS = 4
 
 
 class Powers:
@@ -32,6 +37,7 @@ class Powers:
 
     def __init__(self) -> None:
         self.known = [np.ones(1, np.uint64) for _ in PRIMES]
+        self.inverses = np.ones(1, np.uint64)
 
     def __call__(self, which: int, count: int) -> np.ndarray:
         table = self.known[which]
@@ -43,6 +49,16 @@ class Powers:
         self.known[which] = table
         return table[:count]
 
+    def inverse(self, places: np.ndarray) -> np.ndarray:
+        """B^-i modulo the first prime."""
+        prime = PRIMES[0]
+        back = pow(BASES[0], -1, prime)
+        count = int(places.max(initial=0)) + 1
+        while len(self.inverses) < count:
+            step = np.uint64(pow(back, len(self.inverses), prime))
+            self.inverses = np.concatenate([self.inverses, self.inverses * step % np.uint64(prime)])
+        return self.inverses[places]
+
 
 def code_points(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
@@ -94,57 +110,140 @@ def common_extension(one: Prefixes, i: int, other: Prefixes, j: int) -> int:
     return low
 
 
-def stride_of(size: int) -> int:
-    """Smallest power of two that gives at most POINTS prefixes."""
-    return 1 << max(0, (-(-size // POINTS) - 1).bit_length())
+def radius_of(size: int) -> int:
+    """Largest power of two of which SPANS fit into the text, at least 1."""
+    return 1 << max(0, (size // SPANS).bit_length() - 1)
 
 
-def fingerprint(prefixes: Prefixes) -> str:
-    """``size:`` and the kept prefix hashes, 8 bytes each, in base 64."""
-    stride = stride_of(prefixes.size)
-    places = np.append(np.arange(stride, prefixes.size + 1, stride), prefixes.size)
-    kept = (prefixes.sums[0, places] << np.uint64(31)) | prefixes.sums[1, places]
-    return f"{prefixes.size}:" + base64.b64encode(kept.astype(">u8").tobytes()).decode()
+def largest_before(values: np.ndarray, radius: int) -> np.ndarray:
+    """Largest of the ``radius`` values before each one; 0 if there is none."""
+    best, width = np.append(np.uint64(0), values)[:-1], 1
+    while width < radius:
+        best[width:] = np.maximum(best[width:], best[:-width].copy())
+        width *= 2
+    return best
 
 
-def points_of(mark: str) -> tuple[int, int, np.ndarray, np.ndarray]:
-    """(size, stride, prefix hashes at the strides from 0, hash of all) of a fingerprint."""
-    size, _, kept = mark.partition(":")
-    packed = np.frombuffer(base64.b64decode(kept), ">u8").astype(np.uint64)
-    sums = np.stack([packed >> np.uint64(31), packed & np.uint64(2**31 - 1)])
-    regular = np.concatenate([np.zeros((2, 1), np.uint64), sums[:, :-1]], axis=1)
-    return int(size), stride_of(int(size)), regular, sums[:, -1]
+def cuts_of(prefixes: Prefixes, radius: int) -> tuple[np.ndarray, np.ndarray]:
+    """(places, levels): cuts inside of a text, and how often ``radius`` can be doubled, up to LEVELS - 1 times, for them to remain.
 
+    A cut lies where the hash of the BEFORE code points in front (of all, near the start) is larger than the
+    ``radius`` ones before and no smaller than the ``radius`` ones after. So a cut for a radius is one for all smaller ones.
+    """
+    prime = np.uint64(PRIMES[0])
+    ends = np.arange(1, prefixes.size)
+    begin = np.maximum(ends - BEFORE, 0)
+    sums = prefixes.sums[0]
+    hashes = (sums[ends] + prime - sums[begin]) % prime * prefixes.powers.inverse(begin) % prime
+    # never zero, which stands for nothing
+    values = (mix(hashes) >> np.uint64(1)) | np.uint64(1)
+    level = np.zeros(len(ends), np.int64)
+    for step in range(LEVELS):
+        reach = radius << step
+        level += (values > largest_before(values, reach)) & (values >= largest_before(values[::-1], reach)[::-1])
+    inside = np.flatnonzero(level)
+    return ends[inside], level[inside] - 1
 
-def likeness(one: str, other: str) -> float:
-    """Share of the longer text in spans that both texts have at the same place.
 
-    Compares the spans between prefixes that both fingerprints keep: the longest common prefix by
-    binary search, then each later span. 1.0 for equal texts, also empty ones.
-    """
-    if one == other:
-        return 1.0
-    size_1, stride_1, sums_1, end_1 = points_of(one)
-    size_2, stride_2, sums_2, end_2 = points_of(other)
-    stride = max(stride_1, stride_2)
-    sums_1, sums_2 = sums_1[:, :: stride // stride_1], sums_2[:, :: stride // stride_2]
-    count = min(sums_1.shape[1], sums_2.shape[1])
-    low, high = 0, count - 1
+def fingerprint(prefixes: Prefixes) -> str:
+    """``size:`` and in base 64 the hash of the text (8 bytes) and, for each span, its length and level (4 bytes)
+    and its hash (4 bytes)."""
+    places, levels = cuts_of(prefixes, radius_of(prefixes.size))
+    edges = np.concatenate([[0], places, [prefixes.size]])
+    prime = np.uint64(PRIMES[0])
+    sums = prefixes.sums[0, edges]
+    hashes = (sums[1:] + prime - sums[:-1]) % prime * prefixes.powers.inverse(edges[:-1]) % prime
+    lengths = np.diff(edges) | (np.append(levels, LEVELS - 1) << 30)
+    whole = (prefixes.sums[0, -1] << np.uint64(31)) | prefixes.sums[1, -1]
+    packed = whole.astype(">u8").tobytes() + np.stack([lengths, hashes.astype(np.int64)], axis=1).astype(">u4").tobytes()
+    return f"{prefixes.size}:" + base64.b64encode(packed).decode()
+
+
+class Spans:
+    """The spans of a fingerprint, with the prefix hash at each cut."""
+
+    def __init__(self, mark: str):
+        size, _, kept = mark.partition(":")
+        packed = np.frombuffer(base64.b64decode(kept)[8:], ">u4").reshape(-1, 2).astype(np.int64)
+        self.size = int(size)
+        self.lengths, self.levels, self.hashes = packed[:, 0] & (2**30 - 1), packed[:, 0] >> 30, packed[:, 1]
+
+    def lined_up(self, level: int) -> Spans:
+        """Only cuts of ``level`` stay; spans between them become one."""
+        prime, base = PRIMES[0], BASES[0]
+        at, sum = 0, 0
+        self.places, self.sums, self.parts = [0], [0], []
+        for length, own, hash in zip(self.lengths.tolist(), self.levels.tolist(), self.hashes.tolist()):
+            sum = (sum + pow(base, at, prime) * hash) % prime
+            at += length
+            if own >= level or at == self.size:
+                # shifted to the start, so that equal spans have equal hashes wherever they stand
+                shift = pow(base, -self.places[-1], prime)
+                self.parts.append((at - self.places[-1], (sum - self.sums[-1]) * shift % prime))
+                self.places.append(at)
+                self.sums.append(sum)
+        return self
+
+    def run(self, start: int, count: int) -> tuple[int, int]:
+        """Length and hash, times B^place, of ``count`` spans from number ``start``."""
+        return self.places[start + count] - self.places[start], (self.sums[start + count] - self.sums[start]) % PRIMES[0]
+
+
+def runs_equal(one: Spans, i: int, other: Spans, j: int, count: int) -> bool:
+    """Whether ``count`` spans from number i and from number j have equal text, in constant time."""
+    (length, hash), (other_length, other_hash) = one.run(i, count), other.run(j, count)
+    prime, base = PRIMES[0], BASES[0]
+    return length == other_length and (
+        hash * pow(base, other.places[j], prime) - other_hash * pow(base, one.places[i], prime)
+    ) % prime == 0
+
+
+def spans_in_common(one: Spans, i: int, other: Spans, j: int) -> int:
+    """Number of spans in the longest common extension from number i and number j, by binary search."""
+    low, high = 0, min(len(one.parts) - i, len(other.parts) - j)
     while low < high:
         middle = (low + high + 1) // 2
-        if (sums_1[:, middle] == sums_2[:, middle]).all():
+        if runs_equal(one, i, other, j, middle):
             low = middle
         else:
             high = middle - 1
-    primes = np.array(PRIMES, np.int64)[:, None]
-    shift = (sums_1[:, low:count].astype(np.int64) - sums_2[:, low:count].astype(np.int64)) % primes
-    later = int((shift[:, 1:] == shift[:, :-1]).all(axis=0).sum())
-    held = (low + later) * stride
-    if size_1 == size_2:
-        last = (end_1.astype(np.int64) - end_2.astype(np.int64)) % primes[:, 0]
-        if (last == shift[:, -1]).all():
-            held += size_1 - (count - 1) * stride
-    return held / max(size_1, size_2)
+    return low
+
+
+def held(one: Spans, other: Spans) -> int:
+    """Code points of ``one`` in spans that ``other`` has as well, each anchored at an equal span and extended."""
+    anchors: dict[tuple, list[int]] = {}
+    for j, part in enumerate(other.parts):
+        anchors.setdefault(part, []).append(j)
+    total, i, expected = 0, 0, 0
+    while i < len(one.parts):
+        places = anchors.get(one.parts[i])
+        if not places:
+            i += 1
+            continue
+        # of equal spans the one that comes next in the other text, else the first one
+        j = next((place for place in places if place >= expected), places[0])
+        count = max(1, spans_in_common(one, i, other, j))
+        total += one.places[i + count] - one.places[i]
+        i, expected = i + count, j + count
+    return total
+
+
+def likeness(one: str, other: str) -> float:
+    """Share of a text in spans that the other one has as well, wherever they stand; the smaller share of the two.
+
+    1.0 for equal texts, also empty ones. Fingerprints of texts of different lengths meet at the cuts of the
+    larger radius.
+    """
+    if one == other:
+        return 1.0
+    left, right = Spans(one), Spans(other)
+    if not left.size or not right.size:
+        return 0.0
+    radius = max(radius_of(left.size), radius_of(right.size))
+    for spans in (left, right):
+        spans.lined_up((radius // radius_of(spans.size)).bit_length() - 1)
+    return min(held(left, right) / left.size, held(right, left) / right.size)
 
 
 FOUND = (
@@ -153,14 +252,16 @@ FOUND = (
 )
 
 
-def judge(doc_id: int | None, text: str, following: str, powers: Powers) -> tuple:
+def mark_of(text: str, powers: Powers) -> str:
+    return fingerprint(Prefixes(code_points(text), powers))
+
+
+def judge(doc_id: int | None, text: str, mark: str, following: str, next_mark: str, powers: Powers) -> tuple:
     """A result row of one document and the text that follows it."""
     size = len(text)
     half = size // 2
     edited = text[: size - half] + following[:half]
-    mark = fingerprint(Prefixes(code_points(text), powers))
-    edited_mark = fingerprint(Prefixes(code_points(edited), powers))
-    next_mark = fingerprint(Prefixes(code_points(following), powers))
+    edited_mark = mark_of(edited, powers)
     return (
         doc_id, size, hashlib.sha256(edited.encode("utf-8", "surrogatepass")).hexdigest(), mark, edited_mark,
         likeness(mark, edited_mark), likeness(mark, next_mark),
@@ -193,15 +294,16 @@ def fingerprints(documents: DataFrame) -> DataFrame:
         nothing = (None,) * 5
 
         def made() -> Iterator[tuple]:
-            held = None
+            before = None
             for row in rows(batches):
-                if held is None:
+                row["mark"] = mark_of(row["text"], powers)
+                if before is None:
                     yield row["doc_id"], 0, *nothing, part, "first", row["text"]
                 else:
-                    yield *judge(held["doc_id"], held["text"], row["text"], powers), part, None, None
-                held = row
-            if held is not None:
-                yield held["doc_id"], 0, *nothing, part, "last", held["text"]
+                    yield *judge(*before.values(), row["text"], row["mark"], powers), part, None, None
+                before = row
+            if before is not None:
+                yield before["doc_id"], 0, *nothing, part, "last", before["text"]
 
         yield from batches_of(made(), schema, 500)
 
@@ -230,9 +332,14 @@ def fingerprints(documents: DataFrame) -> DataFrame:
     def meet_edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers = Powers()
         short = pa.schema(list(schema)[:7])
-        yield from batches_of(
-            (judge(row["doc_id"], row["text"], row["following"], powers) for row in rows(batches)), short, 500
+        judged = (
+            judge(
+                row["doc_id"], row["text"], mark_of(row["text"], powers), row["following"],
+                mark_of(row["following"], powers), powers,
+            )
+            for row in rows(batches)
         )
+        yield from batches_of(judged, short, 500)
 
     names = [field.split()[0] for field in FOUND.split(", ")]
     return passed.where("edge is null").select(*names).union(meet.mapInArrow(meet_edges, FOUND))
