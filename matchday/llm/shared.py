@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyarrow import fs
@@ -32,13 +33,20 @@ def forget(*tables: DataFrame) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+# Stores that pyarrow can open, and their names there.
+STORES = {"file": "file", "s3a": "s3", "s3n": "s3", "s3": "s3", "gs": "gs", "hdfs": "hdfs", "viewfs": "viewfs"}
+
+
 def open_folder(path: str) -> tuple[fs.FileSystem, str]:
-    """File system and the folder's path in it."""
-    if "://" not in path and not path.startswith("file:"):
+    """File system and the folder's path in it. A store that pyarrow does not know is an error, not a local folder."""
+    found = re.match(r"([A-Za-z][A-Za-z0-9+.-]*):(.*)", path)
+    if not found:
         return fs.LocalFileSystem(), path
-    if path.startswith("file:") and not path.startswith("file://"):
-        path = "file://" + path[len("file:") :]
-    return fs.FileSystem.from_uri(path)
+    scheme, rest = found.group(1).lower(), found.group(2)
+    if scheme not in STORES:
+        raise ValueError(f"no access to files in {scheme}: use one of {sorted(STORES)}")
+    # file:/x is file:///x
+    return fs.FileSystem.from_uri(f"{STORES[scheme]}:{rest if rest.startswith('//') else '//' + rest}")
 
 
 def attempt_name(name: str, suffix: str) -> str:

@@ -1,8 +1,10 @@
 """WARC archives in shards sorted by page_id, with revisit records for repeated payloads.
 
-Every record is a gzip member of its own. Headers, digests and dates come from the row alone, so a rerun
-writes the same bytes. A task rolls to a new file when the compressed size passes a limit, writes under a temporary
-name and renames the file when it is whole; the manifest names the files that count.
+Every record is a gzip member of its own. Headers, digests and dates come from the row alone, and the bounds of
+the shards from exact sums over ranges of ids, so a rerun writes the same bytes whatever the cluster. A shard rolls to a new file
+when the compressed size passes a limit. Files are written under temporary names and renamed when they are whole; the name holds
+a digest of the bytes, so another attempt can only put the same file in its place, and nothing is ever deleted that
+a manifest may name. The manifest names the files that count.
 """
 
 from __future__ import annotations
@@ -15,15 +17,18 @@ from collections.abc import Iterator
 from urllib.parse import quote
 
 import pyarrow as pa
-from pyarrow import fs
-from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matchday.llm.shared import attempt_name, open_folder
+from matchday.llm.shared import attempt_name, open_folder, stored
 from matchday.llm.words import as_batch, batches_of, rows
 
 ROLL_BYTES = 256 * 2**20
+# Payload of a shard: a part of all of it within these bounds, so that small tables have some shards and large ones no more than they need.
+SHARDS = 1024
+SHARD_BYTES = (8 * 2**20, 2**30)
+# Ranges of ids that are summed up at once; those that hold more than a shard are cut again.
+RANGES = 4096
 # Dates are not in the rows, and the profile of a revisit by payload digest.
 DATE = "1970-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -78,42 +83,89 @@ def record(page_id: int | None, url: str | None, payload: bytes, response: int |
 
 
 class Archive:
-    """Files of one task, rolled by compressed size."""
+    """Files of one shard after the other, rolled by compressed size."""
 
-    def __init__(self, folder: str, shard: int, roll_bytes: int):
+    def __init__(self, folder: str, roll_bytes: int):
         self.system, self.base = open_folder(folder)
         self.system.create_dir(self.base, recursive=True)
-        self.shard, self.roll_bytes = shard, roll_bytes
-        self.number, self.out = 0, None
-
-    def add(self, page_id: int | None, data: bytes) -> tuple | None:
-        """Write one record; the manifest row of the file if that filled it."""
+        self.roll_bytes = roll_bytes
+        self.shard, self.number, self.out = None, 0, None
+
+    def add(self, shard: int, page_id: int | None, data: bytes) -> Iterator[tuple]:
+        """Write one record; manifest rows of the files that this ends."""
+        if shard != self.shard:
+            yield from self.close()
+            self.shard, self.number = shard, 0
         if self.out is None:
             self.temporary = f"{self.base}/{attempt_name(f'_{self.shard:06d}-{self.number:05d}', '.tmp')}"
             self.out = self.system.open_output_stream(self.temporary)
             self.size = self.records = 0
-            self.first = page_id
+            self.first, self.hash = page_id, hashlib.sha256()
         member = gzip.compress(data, 6, mtime=0)
         self.out.write(member)
+        self.hash.update(member)
         self.size += len(member)
         self.records += 1
         self.last = page_id
-        return self.close() if self.size >= self.roll_bytes else None
+        if self.size >= self.roll_bytes:
+            yield from self.close()
 
-    def close(self) -> tuple | None:
+    def close(self) -> Iterator[tuple]:
         if self.out is None:
-            return None
+            return
         self.out.close()
         self.out = None
-        # a second attempt writes the same bytes under the same name
-        name = f"pages-{self.shard:06d}-{self.number:05d}.warc.gz"
-        there = self.system.get_file_info(f"{self.base}/{name}")
-        if there.type != fs.FileType.NotFound:
-            self.system.delete_file(f"{self.base}/{name}")
+        # the name stands for the bytes: whatever is there under it already is this file
+        name = f"pages-{self.shard:06d}-{self.number:05d}-{self.hash.hexdigest()[:16]}.warc.gz"
         self.system.move(self.temporary, f"{self.base}/{name}")
-        row = (self.shard, self.number, name, self.records, self.first, self.last, self.size)
+        yield self.shard, self.number, name, self.records, self.first, self.last, self.size
         self.number += 1
-        return row
+
+
+def shard_bounds(body: DataFrame) -> list[int]:
+    """First ids of all shards but the first one, which also has the rows without id."""
+    own = stored(body.where("page_id is not null").select("page_id", F.length("payload").alias("size")), "sizes")
+    ends = own.agg(F.min("page_id"), F.max("page_id"), F.sum("size")).first()
+    if ends[0] is None:
+        return []
+    most = min(max(ends[2] // SHARDS, SHARD_BYTES[0]), SHARD_BYTES[1])
+    sums: dict[int, int] = {}
+    todo = [(ends[0], ends[1] + 1)]
+    while todo:
+        # at most RANGES sums come back for each range that is cut; those that go on hold more than a shard each
+        finer = []
+        for low, high in todo:
+            width = -(-(high - low) // RANGES)
+            found = (
+                own.where(F.col("page_id").between(low, high - 1))
+                .groupBy(F.expr(f"(cast(page_id as decimal(20, 0)) - ({low})) div {width}").alias("part")).agg(F.sum("size").alias("size")).collect()
+            )
+            for part, size in found:
+                begin = low + part * width
+                if size > most and width > 1:
+                    finer.append((begin, min(begin + width, high)))
+                else:
+                    sums[begin] = size
+        todo = finer
+    bounds, filled = [], 0
+    for begin in sorted(sums):
+        if filled and filled + sums[begin] > most:
+            bounds.append(begin)
+            filled = 0
+        filled += sums[begin]
+    return bounds
+
+
+def shard_of(page_id: Column, bounds: list[int]) -> Column:
+    """Number of the shard, by binary search in code that is generated."""
+
+    def search(low: int, high: int) -> Column:
+        if low == high:
+            return F.lit(low)
+        middle = (low + high) // 2
+        return F.when(page_id >= bounds[middle], search(middle + 1, high)).otherwise(search(low, middle))
+
+    return search(0, len(bounds))
 
 
 def repeated(pages: DataFrame, least_bytes: int) -> DataFrame:
@@ -160,10 +212,13 @@ def write_archives(
             "page_id", F.lit(0), F.lit(None).cast("string"), F.lit(None).cast("binary"), "sha", "refers_to"
         )
     )
-    ordered = both.repartitionByRange("page_id").sortWithinPartitions("page_id", "kind", "url", "payload")
+    bounds = shard_bounds(body)
+    both = both.withColumn("shard", shard_of(F.col("page_id"), bounds))
+    # a shard is written by one task, wherever it runs
+    ordered = both.repartitionByRange(len(bounds) + 1, "shard").sortWithinPartitions("shard", "page_id", "kind", "url", "payload")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        archive = Archive(folder, TaskContext.get().partitionId(), roll_bytes)
+        archive = Archive(folder, roll_bytes)
         page, responses, files = None, {}, []
         for row in rows(batches):
             if row["page_id"] != page:
@@ -173,11 +228,10 @@ def write_archives(
                 responses[row["sha"]] = row["refers_to"]
                 continue
             response = responses.get(hashlib.sha1(row["payload"]).digest()) if responses else None
-            files.append(archive.add(page, record(page, row["url"], row["payload"], response)))
-        files.append(archive.close())
-        held = [file for file in files if file]
-        if held:
-            yield as_batch(held, MANIFEST)
+            files += archive.add(row["shard"], page, record(page, row["url"], row["payload"], response))
+        files += archive.close()
+        if files:
+            yield as_batch(files, MANIFEST)
 
     ordered.mapInArrow(write, MANIFEST_DDL).write.parquet(f"{folder}/manifest.parquet")
     return read_manifest(pages.sparkSession, folder)

@@ -77,6 +77,62 @@ def test_payloads_and_reruns(spark):
     assert contents[0] == contents[1]
 
 
+def test_same_bytes_on_any_cluster(spark, monkeypatch):
+    """Shards depend on the rows alone, not on partitions or samples."""
+    monkeypatch.setattr(warc, "SHARD_BYTES", (3_000, 2**30))
+    monkeypatch.setattr(warc, "RANGES", 3)
+    rng = random.Random(4)
+    rows = [(rng.choice([i, i * 10**6, -(2**62) + i]), f"u{i}", "y" * rng.randrange(400)) for i in range(300)]
+    rows += [(7, "u", "z" * 9_000), (None, "n", "w"), (2**63 - 1, "m", "last")]
+    written = []
+    for partitions in ("3", "17"):
+        monkeypatch.setattr(warc, "SHARDS", 1024)
+        old = spark.conf.get("spark.sql.shuffle.partitions")
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+        try:
+            folder = shared.new_folder(spark, "archives")
+            manifest = warc.write_archives(pages(spark, rows).repartition(int(partitions)), folder)
+            system, base = shared.open_folder(folder)
+            written.append({
+                f.file: system.open_input_stream(f"{base}/{f.file}", compression=None).read() for f in manifest.collect()
+            })
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", old)
+    assert written[0] == written[1] and len(written[0]) > 8
+    found = [tuple(r) for r in warc.read_archives(manifest, folder).collect()]
+    assert sorted(map(str, found)) == sorted(map(str, brute(rows, 0)))
+
+
+def test_attempts_do_not_harm_each_other(spark):
+    """One attempt is lost before its rename, one wins, a late one puts the same file in its place."""
+    folder = shared.new_folder(spark, "archives")
+    system, base = shared.open_folder(folder)
+    data = [warc.record(i, None, b"x" * i, None) for i in range(5)]
+
+    def attempt() -> warc.Archive:
+        archive = warc.Archive(folder, 10**6)
+        assert not [row for i, one in enumerate(data) for row in archive.add(3, i, one)]
+        return archive
+
+    lost, late = attempt(), attempt()
+    (row,) = attempt().close()
+    content = system.open_input_stream(f"{base}/{row[2]}", compression=None).read()
+    assert [tuple(again) for again in late.close()] == [row]
+    assert system.open_input_stream(f"{base}/{row[2]}", compression=None).read() == content
+    assert lost.out is not None
+    assert gzip.decompress(content) == b"".join(data)
+
+
+def test_stores():
+    assert shared.open_folder("/a/b")[1] == "/a/b"
+    assert shared.open_folder("file:/a/b")[1] == shared.open_folder("file:///a/b")[1] == "/a/b"
+    for path in ("dbfs:/x", "abfss://c@a/x"):
+        with pytest.raises(ValueError, match="no access"):
+            shared.open_folder(path)
+    system, base = shared.open_folder("s3a://bucket/some/folder?region=eu-west-1")
+    assert (system.type_name, base) == ("s3", "bucket/some/folder")
+
+
 def test_empty_and_damaged(spark):
     folder = shared.new_folder(spark, "archives")
     manifest = warc.write_archives(pages(spark, []), folder)
