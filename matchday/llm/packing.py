@@ -1,9 +1,10 @@
 """Sequences of a fixed number of tokens, filled by bin completion.
 
-The largest piece left opens a sequence. The rest is filled with up to three pieces at a time,
-searched largest first: an exact fill ends the search; otherwise the fill with the least waste,
-starting from what best fit gives, is kept. A fill of one piece dominates those of two with the
-same sum, and so on, since it leaves the small pieces, which fit anywhere, for later.
+The largest piece left opens a sequence. Fillings of the rest are enumerated largest piece first, starting with
+what best fit gives, which is the first incumbent. A filling of fewer and larger pieces dominates one of more pieces with the
+same sum, since it leaves the small pieces, which fit anywhere, for later; by the order of the search it comes first. Branches
+that cannot waste less than the incumbent are pruned. If a search gets long, the least possible waste is computed
+over all sums that the pieces can make, and a filling with that waste ends it: no filling is left out.
 """
 
 from __future__ import annotations
@@ -24,8 +25,8 @@ from matchday.llm.words import batches_of, rows
 CAPACITY = 4096
 # Pieces packed together; each group ends with at most one sequence that lacks pieces to fill it.
 PIECES_PER_GROUP = 20_000
-# Branches tried for the first of three pieces.
-BRANCHES = 24
+# Steps of a search after which the least possible waste is computed.
+STEPS = 2_000
 
 
 def pieces_of(documents: DataFrame, tokenizer: str, end_id: int = 1, capacity: int = CAPACITY) -> DataFrame:
@@ -69,64 +70,69 @@ class Stock:
         at = np.arange(self.capacity + 1)
         # largest length left that is not above each number; 0 if there is none
         self.below = np.maximum.accumulate(np.where(self.count > 0, at, 0))
+        # sum of all lengths left that are not above each number
+        self.smaller = np.cumsum(self.count * at)
 
     def take(self, length: int) -> None:
         self.count[length] -= 1
+        self.smaller[length:] -= length
         if not self.count[length]:
             stop = length
             while stop <= self.capacity and self.below[stop] == length:
                 stop += 1
             self.below[length:stop] = self.below[length - 1]
 
-    def one(self, room: int) -> list[int]:
-        return [int(self.below[room])] if self.below[room] else []
-
-    def two(self, room: int) -> list[int]:
-        """The pair of lengths with the largest sum within ``room``, with the largest first piece."""
-        first = np.flatnonzero(self.count[: room + 1])[::-1]
-        first = first[first * 2 >= self.below[room]]
-        second = np.minimum(self.below[room - first], first)
-        second = self.below[second]
-        # the second piece may not be the same one
-        twice = (second == first) & (self.count[first] < 2)
-        second[twice] = self.below[np.maximum(first[twice] - 1, 0)]
-        total = np.where(second > 0, first + second, 0)
-        if not len(total) or not total.max():
-            return []
-        best = int(np.argmax(total))
-        return [int(first[best]), int(second[best])]
-
     def fill(self, room: int) -> list[int]:
-        """Up to three lengths for ``room`` with the least waste found."""
-        best = self.one(room)
-        if not best or best[0] == room:
-            return best
-        # best fit goes on with what is left; it is the fill to beat
-        rest = room - best[0]
-        self.count[best[0]] -= 1
-        follow = self.below[rest] if self.below[rest] != best[0] or self.count[best[0]] else 0
-        self.count[best[0]] += 1
-        if follow:
-            best = [*best, int(follow)]
-        pair = self.two(room)
-        if sum(pair) > sum(best):
-            best = pair
-        if sum(best) == room:
-            return best
-        first = int(self.below[room])
-        for _ in range(BRANCHES):
-            if not first or first * 3 < sum(best):
-                break  # three pieces no larger than this one waste more than the best fill
-            left = self.count[first]
-            self.count[first] = 0
-            pair = self.two(room - first)
-            self.count[first] = left
-            if pair and first + sum(pair) > sum(best) and first not in pair:
-                best = [first, *pair]
-                if sum(best) == room:
+        """Lengths for ``room`` with the least possible waste, of those the largest first."""
+        used: dict[int, int] = {}
+        held: list[int] = []
+        best: list[int] = []
+        least, rest, limit = room, room, room
+        for _ in range(STEPS):
+            length = int(self.below[min(rest, limit)])
+            while length and self.count[length] <= used.get(length, 0):
+                length = int(self.below[length - 1])
+            if length:
+                held.append(length)
+                used[length] = used.get(length, 0) + 1
+                rest, limit = rest - length, length
+                if rest < least:
+                    least, best = rest, held.copy()
+                if not rest:
+                    return best
+                continue
+            # nothing more fits: take back the last piece that smaller ones may replace with less waste
+            while held:
+                length = held.pop()
+                used[length] -= 1
+                rest, limit = rest + length, length - 1
+                if limit and self.below[limit] and rest - self.smaller[limit] < least:
                     break
-            first = int(self.below[first - 1])
-        return best
+            else:
+                return best
+        return self.exact(room, best)
+
+    def exact(self, room: int, best: list[int]) -> list[int]:
+        """The same by the sums that the lengths can make, a bit each; ``best`` if none is larger than its own."""
+        sums, items = 1, []
+        whole = (1 << room + 1) - 1
+        for length in np.flatnonzero(self.count[: room + 1])[::-1].tolist():
+            left, times = min(int(self.count[length]), room // length), 1
+            while left and not sums >> room:
+                times = min(times, left)
+                items.append((length, times, sums))
+                sums |= sums << length * times & whole
+                left -= times
+                times *= 2
+        total = sums.bit_length() - 1
+        if total <= sum(best):
+            return best
+        found = []
+        for length, times, before in reversed(items):
+            if not before >> total & 1:
+                found += [length] * times
+                total -= length * times
+        return sorted(found, reverse=True)
 
 
 def pack(lengths: np.ndarray, capacity: int = CAPACITY) -> list[list[int]]:
@@ -134,17 +140,10 @@ def pack(lengths: np.ndarray, capacity: int = CAPACITY) -> list[list[int]]:
     stock = Stock(np.asarray(lengths, np.int64), capacity)
     sequences = []
     while largest := int(stock.below[capacity]):
-        filled = [largest]
         stock.take(largest)
-        room = capacity - largest
-        while room and stock.below[room]:
-            top = int(stock.below[room])
-            # far from full any large piece will do; search only for the last pieces
-            part = [top] if room > 4 * top else stock.fill(room)
-            for length in part:
-                stock.take(length)
-            filled += part
-            room -= sum(part)
+        filled = [largest, *stock.fill(capacity - largest)]
+        for length in filled[1:]:
+            stock.take(length)
         sequences.append(filled)
     return sequences
 

@@ -115,6 +115,33 @@ def test_packing_near_the_best():
     assert extra <= 2
 
 
+@pytest.mark.parametrize("steps", [1, 7, 2_000])
+def test_fillings_waste_least(monkeypatch, steps):
+    """Of all subsets of the pieces none fills a room better, also where the search is cut short by the sums."""
+    monkeypatch.setattr(packing, "STEPS", steps)
+    rng = np.random.default_rng(steps)
+    for _ in range(150):
+        lengths = rng.integers(1, 30, rng.integers(1, 11))
+        room = int(rng.integers(1, 80))
+        stock = packing.Stock(lengths, 80)
+        found = stock.fill(room)
+        assert sum(found) <= room and not set(found) - set(lengths.tolist())
+        assert all(found.count(x) <= lengths.tolist().count(x) for x in found)
+        sums = {0}
+        for x in lengths.tolist():
+            sums |= {x + y for y in sums if x + y <= room}
+        assert sum(found) == max(sums)
+
+
+def test_full_sequences_are_found_again():
+    rng = np.random.default_rng(2)
+    lengths = []
+    for _ in range(300):
+        cuts = np.sort(rng.choice(np.arange(1, 4096), rng.integers(1, 6), replace=False))
+        lengths += np.diff(np.concatenate([[0], cuts, [4096]])).tolist()
+    assert len(packing.pack(np.array(lengths))) == 300
+
+
 def test_packing_fills_sequences():
     rng = np.random.default_rng(1)
     lengths = np.minimum(4096, rng.lognormal(6.5, 1.0, 8_000).astype(int) + 1)
