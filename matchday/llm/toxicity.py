@@ -1,14 +1,16 @@
 """Toxicity by a weighted finite-state grammar over clauses.
 
-Words are read into classes: insult, threat, target, negation, reported speech. Small machines run over a
-clause together: an insult scores its weight, more so near a target; a threat scores if a target
-follows; negation in front weakens what it governs, and reported speech what comes after. A
-document's score is that of its clauses taken together, not of single words. Insults are learned from
+Words are read into classes: insult, threat, target, negation, reported speech. Four small transducers read a
+clause side by side, composed into one: how far a negation governs, whether speech is reported, how far a target in front
+reaches, and the pattern, which pays for an insult or threat in full only if a target stands in front or
+follows, and little for a lone insult. The weight of an arc is that of the word times what all four say of it; a
+clause's score is the heaviest accepted path, a document's the sum over its clauses. Insults are learned from
 labelled documents, with a small list to start from.
 """
 
 from __future__ import annotations
 
+import functools
 import math
 import re
 from collections import Counter
@@ -30,9 +32,8 @@ NEGATIONS = "not no never isn't aren't don't wasn't nicht kein keine nie ne pas
 REPORTS = "said says say wrote quoted claimed called reported sagte sagt schrieb dit écrit dijo escribió".split()
 BUILT_IN_WEIGHT = 3.0
 
-# At most so many labelled documents are learned from, chosen by a hash of the id; and so many forms are kept.
+# At most so many labelled documents are learned from, chosen by a hash of the id.
 SAMPLE = 200_000
-MAX_FORMS = 5_000
 # A form is an insult if it is exp(LEAST_LIFT) times likelier in toxic documents; the log-likelihood ratio
 # must also outweigh that many forms were looked at. Strength counts up to MAX_STRENGTH.
 LEAST_LIFT = 4.0
@@ -41,9 +42,9 @@ LEAST_TOXIC = 3
 PREFIXES = (4, 5, 6)
 HELD_FORMS = 300_000
 REMEMBERED = 300_000
-# Reach of a target or negation, in words, and what they do to a weight.
+# Reach of a target or negation, in words, and what they do to a weight; a threat's own weight.
 REACH = 4
-NEAR_TARGET, NEGATED, REPORTED, THREAT = 1.25, 0.5, 0.7, 2.0
+TARGETED, LONE, NEGATED, REPORTED, THREAT = 1.25, 0.5, 0.3, 0.5, 3.0
 DECIDE = 0.3
 EDGE = re.compile(r"^[^\w]+|[^\w]+$", re.UNICODE)
 CLAUSE_END = re.compile(r"[.!?;:,]")
@@ -156,9 +157,8 @@ def learned(examples: DataFrame) -> dict[str, float]:
     best = (
         counts.select("form", lift.alias("lift"), ratio.alias("ratio"))
         .where((F.col("lift") >= LEAST_LIFT) & (F.col("ratio") >= 10 + 2 * math.log(tried)))
-        .orderBy(F.desc("ratio"), "form")
-        .limit(MAX_FORMS)
     )
+    # forms that pass both tests on a sample of bounded size are few
     return {row["form"]: round(row["lift"], 6) for row in best.collect()}
 
 
@@ -183,35 +183,89 @@ class Reader(dict):
         return read
 
 
+# A transducer: start, accepting states, and state -> class of a word -> [(next state, factor)]. Without an arc a path ends.
+Arcs = dict[int, dict[int, list[tuple[int, float]]]]
+Transducer = tuple[int, set[int], Arcs]
+CLASSES = (PLAIN, INSULT, THREATEN, TARGET, NEGATE, REPORT)
+PAID = (INSULT, THREATEN)
+
+
+def scope(opened_by: int, reach: int | None, inside: float, outside: float = 1.0) -> Transducer:
+    """Counts down from ``reach`` after a word of a class (never, if None); paid words get a factor by whether it still reaches."""
+    most = reach or 1
+    arcs: Arcs = {}
+    for state in range(most + 1):
+        after = state if reach is None else max(state - 1, 0)
+        arcs[state] = {
+            kind: [(most if kind == opened_by else after, (inside if state else outside) if kind in PAID else 1.0)]
+            for kind in CLASSES
+        }
+    return 0, set(arcs), arcs
+
+
+def pattern() -> Transducer:
+    """What a paid word needs: state 0 waits for nothing, state k for a target within k words, and in state -k a target
+    in front reaches k words on. An insult is paid in full beside a target on either side, a threat only before one.
+    Waiting paths that meet no target are not accepted."""
+    arcs: Arcs = {state: {} for state in range(-REACH, REACH + 1)}
+    for state in arcs:
+        # one word on, without a target
+        on = state - 1 if state > 1 else min(state + 1, 0) if state <= 0 else None
+        for kind in CLASSES:
+            found: list[tuple[int, float]] = []
+            if kind == TARGET:
+                found.append((-REACH, 1.0))
+            elif kind in PAID:
+                if state > 1:
+                    found.append((on, TARGETED))
+                elif state <= 0:
+                    found.append((REACH, TARGETED))
+                    beside = TARGETED if state < 0 else LONE
+                    found.append((on, beside if kind == INSULT else 0.0))
+            elif on is not None:
+                found.append((on, 1.0))
+            arcs[state][kind] = found
+    return 0, {state for state in arcs if state <= 0}, arcs
+
+
+def composed(one: Transducer, other: Transducer) -> Transducer:
+    """Both read every word; factors multiply. Only states that can be reached are made."""
+    numbers = {(one[0], other[0]): 0}
+    todo, arcs = [(one[0], other[0])], {}
+    while todo:
+        pair = todo.pop()
+        made: dict[int, list[tuple[int, float]]] = {}
+        for kind in CLASSES:
+            made[kind] = []
+            for left, factor in one[2][pair[0]].get(kind, []):
+                for right, more in other[2][pair[1]].get(kind, []):
+                    if (left, right) not in numbers:
+                        numbers[left, right] = len(numbers)
+                        todo.append((left, right))
+                    made[kind].append((numbers[left, right], factor * more))
+        arcs[numbers[pair]] = made
+    accepted = {number for (left, right), number in numbers.items() if left in one[1] and right in other[1]}
+    return 0, accepted, arcs
+
+
+TRANSDUCERS = (pattern(), scope(NEGATE, REACH, NEGATED), scope(REPORT, None, REPORTED))
+GRAMMAR = functools.reduce(composed, TRANSDUCERS)
+
+
 def clause_score(clause: list[tuple[int, float, bool]]) -> float:
-    """Run the machines over one clause; all states are distances to the last word of a class."""
-    score = 0.0
-    target = negation = threat = -(10**9)
-    open_insults: list[tuple[int, float]] = []
-    reported = False
-    threat_factor = 1.0
-    for place, (kind, weight, _) in enumerate(clause):
-        factor = (NEGATED if place - negation <= REACH else 1.0) * (REPORTED if reported else 1.0)
-        if kind == INSULT:
-            near = place - target <= REACH
-            score += weight * factor * (NEAR_TARGET if near else 1.0)
-            if not near:
-                open_insults.append((place, weight * factor))
-        elif kind == THREATEN:
-            threat, threat_factor = place, factor
-        elif kind == TARGET:
-            if place - threat <= REACH:
-                score += THREAT * threat_factor
-                threat = -(10**9)
-            # a target that follows counts for insults within reach, once each
-            score += sum(w * (NEAR_TARGET - 1) for at, w in open_insults if place - at <= REACH)
-            open_insults.clear()
-            target = place
-        elif kind == NEGATE:
-            negation = place
-        elif kind == REPORT:
-            reported = True
-    return score
+    """Weight of the heaviest accepted path of the grammar over one clause, never below 0."""
+    start, accepted, arcs = GRAMMAR
+    paths = {start: 0.0}
+    for kind, weight, _ in clause:
+        paid = weight if kind == INSULT else THREAT if kind == THREATEN else 0.0
+        reached: dict[int, float] = {}
+        for state, score in paths.items():
+            for after, factor in arcs[state][kind]:
+                made = score + paid * factor
+                if made > reached.get(after, -1.0):
+                    reached[after] = made
+        paths = reached
+    return max((score for state, score in paths.items() if state in accepted), default=0.0)
 
 
 def text_score(text: str | None, reader: Reader) -> float:

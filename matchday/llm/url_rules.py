@@ -77,35 +77,67 @@ def listed(host: Column, path: Column, rules: tuple[tuple[str, str, str], ...] =
 
 
 def mined(tokens: DataFrame, labels: DataFrame, key: str = "page_id") -> DataFrame:
-    """(rarest, antecedent, confidence): token combinations that mean ``block``.
+    """(rarest, antecedent, confidence): the smallest token combinations that mean ``block``.
 
-    ``labels`` is (key, block boolean). All labelled URLs are mined with all of their tokens; FP-growth leaves out
-    tokens below the support first, which loses no rule.
+    ``labels`` is (key, block boolean). All labelled URLs are mined with all of their tokens. Three things keep the
+    combinations few and lose no rule that is smallest: tokens that stand in the same labelled URLs count as
+    one, the first of them; tokens that mean ``block`` by themselves, and those in too few blocked URLs, take no part in others;
+    a rule that contains a smaller one goes.
     """
     spark = tokens.sparkSession
+    nothing = spark.createDataFrame([], "rarest string, antecedent array<string>, confidence double")
     known = stored(
         tokens.select(key, "tokens")
         .join(labels.where("block is not null").select(F.col(key).alias("_key"), "block").dropDuplicates(["_key"]), F.col(key) == F.col("_key"))
-        .select("tokens", F.when(F.col("block"), F.concat("tokens", F.array(F.lit(BLOCK)))).otherwise(F.col("tokens")).alias("items"))
-        .where(F.size("tokens") > 0),
+        .where(F.size("tokens") > 0)
+        .select(F.monotonically_increasing_id().alias("row"), "tokens", "block"),
         "labelled",
     )
     count = known.count()
-    if not count:
-        return spark.createDataFrame([], "rarest string, antecedent array<string>, confidence double")
+    if not count or LEAST_URLS > count:
+        return nothing
     support = max(SUPPORT, LEAST_URLS / count)
-    if support > 1:
-        return spark.createDataFrame([], "rarest string, antecedent array<string>, confidence double")
-    model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=CONFIDENCE).fit(known.select("items"))
-    rules = model.associationRules.where(F.col("consequent")[0] == BLOCK).select(
+    single = known.select("row", "block", F.explode("tokens").alias("token"))
+    # tokens of the same URLs have the same checksums
+    seen = single.groupBy("token").agg(
+        F.count("*").alias("n"), F.count_if("block").alias("blocked"),
+        *[F.bit_xor(F.xxhash64("row", F.lit(seed))).alias(f"mark{seed}") for seed in range(2)],
+    ).where(F.col("blocked") >= F.ceil(F.lit(support * count)))
+    seen = stored(
+        seen.groupBy("n", "blocked", "mark0", "mark1").agg(F.min("token").alias("token")).select(
+            "token", "n", (F.col("blocked") / F.col("n")).alias("confidence")
+        ),
+        "tokens",
+    )
+    alone = seen.where(F.col("confidence") >= CONFIDENCE).select(F.array("token").alias("antecedent"), "confidence")
+    others = seen.where(F.col("confidence") < CONFIDENCE).select("token")
+    listed_tokens = single.join(others, "token").groupBy("row").agg(F.collect_list("token").alias("tokens"))
+    block = F.when(F.col("block"), F.array(F.lit(BLOCK))).otherwise(F.array().cast("array<string>"))
+    items = stored(
+        known.select("row", "block").join(listed_tokens, "row", "left").select(
+            F.concat(F.coalesce("tokens", F.array().cast("array<string>")), block).alias("items")
+        ),
+        "items",
+    )
+    model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=CONFIDENCE).fit(items)
+    together = model.associationRules.where(F.col("consequent")[0] == BLOCK).select(
         F.array_sort("antecedent").alias("antecedent"), "confidence"
     )
-    # a rule adds nothing to a smaller one that it contains; the index is by the rarest token
-    seen = known.select(F.explode("tokens").alias("token")).groupBy("token").agg(F.count("*").alias("n"))
-    spread = rules.select("antecedent", "confidence", F.explode("antecedent").alias("token")).join(seen, "token")
-    return spread.groupBy("antecedent").agg(
-        F.min(F.struct("n", "token"))["token"].alias("rarest"), F.first("confidence").alias("confidence")
-    ).select("rarest", "antecedent", "confidence")
+    # the index is by the rarest token
+    spread = alone.union(together).withColumn("token", F.explode("antecedent")).join(seen.select("token", "n"), "token")
+    rules = stored(
+        spread.groupBy("antecedent").agg(
+            F.min(F.struct("n", "token"))["token"].alias("rarest"), F.first("confidence").alias("confidence")
+        ).select("rarest", "antecedent", "confidence"),
+        "rules",
+    )
+    smaller = rules.select(F.col("rarest").alias("token"), F.col("antecedent").alias("part"))
+    larger = (
+        rules.select("antecedent", F.explode("antecedent").alias("token")).join(smaller, "token")
+        .where((F.size("part") < F.size("antecedent")) & (F.size(F.array_except("part", "antecedent")) == 0))
+        .select("antecedent")
+    )
+    return rules.join(larger, "antecedent", "left_anti").select("rarest", "antecedent", "confidence")
 
 
 def judge_urls(pages: DataFrame, labels: DataFrame, rules: tuple[tuple[str, str, str], ...] = LIST) -> DataFrame:

@@ -7,7 +7,7 @@ import random
 import re
 import zlib
 from collections import Counter
-from itertools import combinations
+from itertools import combinations, product
 
 import pytest
 
@@ -193,6 +193,19 @@ def test_late_and_long_tokens_are_mined(spark):
     assert judged == {i: "block" if i % 3 < 2 else "allow" for i, _ in rows}
 
 
+def test_urls_that_share_many_tokens(spark):
+    """Thirty words in all blocked URLs are one rule and not two to the power of thirty."""
+    words = "/".join(f"w{chr(97 + i)}x" for i in range(26)) + "/wab/wac/wad/wae"
+    rows = [(i, f"http://a{i}.org/{words}/{i}") for i in range(60)]
+    rows += [(100 + i, f"http://b{i}.org/other/{'wax' if i % 2 else 'way'}") for i in range(60)]
+    pages = spark.createDataFrame(rows, "page_id long, url string")
+    labels = spark.createDataFrame([(i, i < 100) for i, _ in rows], "page_id long, block boolean")
+    mined = url_rules.mined(url_rules.parsed(pages), labels).collect()
+    assert [list(r.antecedent) for r in mined] == [["p=#"]]
+    judged = url_rules.judge_urls(pages, labels)
+    assert {r.page_id: r.verdict for r in judged.collect()} == {i: "block" if i < 100 else "allow" for i, _ in rows}
+
+
 def test_mined_rules_against_all_combinations(spark):
     rng = random.Random(4)
     rows, labels = [], []
@@ -216,8 +229,18 @@ def test_mined_rules_against_all_combinations(spark):
         items: bad[items] / seen[items] for items in seen
         if bad[items] >= support - 1e-9 and bad[items] / seen[items] >= url_rules.CONFIDENCE
     }
+    # tokens of the same URLs count as one, and only the smallest combinations stay
+    members = {}
+    for page_id, _ in labels:
+        for token in tokens[page_id]:
+            members.setdefault(token, set()).add(page_id)
+    first = {token: min(t for t in members if members[t] == own) for token, own in members.items()}
+    expected = {items: share for items, share in expected.items() if all(first[t] == t for t in items)}
+    expected = {
+        items: share for items, share in expected.items() if not any(set(other) < set(items) for other in expected)
+    }
     mined = url_rules.mined(parsed, table).collect()
-    assert {tuple(r.antecedent): r.confidence for r in mined} == pytest.approx(expected)
+    assert expected and {tuple(r.antecedent): r.confidence for r in mined} == pytest.approx(expected)
     singles = Counter(t for page_id, _ in labels for t in tokens[page_id])
     assert all(singles[r.rarest] == min(singles[t] for t in r.antecedent) for r in mined)
     blocked = {r.page_id for r in url_rules.judge_urls(pages, table).where("verdict = 'block'").collect()}
@@ -233,18 +256,67 @@ def strength(text):
 
 
 def test_grammar():
-    weight, near = toxicity.BUILT_IN_WEIGHT, toxicity.NEAR_TARGET
+    weight, lone, full = toxicity.BUILT_IN_WEIGHT, toxicity.LONE, toxicity.TARGETED
     assert strength(None) == strength("") == strength("the clowned morons") == 0
-    assert strength("what an idiot") == weight
-    assert strength("What an IDIOT!!!") == weight
-    assert strength("you idiot") == strength("idiot, you") * near == strength("idiot that you are") == weight * near
-    assert strength("not an idiot") == weight * toxicity.NEGATED
-    assert strength("he said: idiot") == weight and strength("it said idiot") == weight * toxicity.REPORTED
-    assert strength("I will kill") == 0
-    assert strength("I will kill you") == toxicity.THREAT
-    assert strength("I will not kill you") == toxicity.THREAT * toxicity.NEGATED
-    assert strength("kill. you") == 0
-    assert strength("an idiot, a moron") == 2 * weight
+    assert strength("what an idiot") == strength("What an IDIOT!!!") == weight * lone
+    assert strength("you idiot") == strength("idiot that you are") == weight * full
+    # a target in another clause is none
+    assert strength("idiot, you") == weight * lone
+    assert strength("not an idiot") == weight * lone * toxicity.NEGATED
+    assert strength("you are not an idiot") == pytest.approx(weight * full * toxicity.NEGATED)
+    assert strength("he said: idiot") == weight * lone and strength("it said idiot") == weight * lone * toxicity.REPORTED
+    assert strength("I will kill") == strength("you kill") == strength("kill. you") == 0
+    assert strength("I will kill you") == toxicity.THREAT * full
+    assert strength("I will not kill you") == pytest.approx(toxicity.THREAT * full * toxicity.NEGATED)
+    assert strength("an idiot, a moron") == 2 * weight * lone
+    # the words alone are the same, the clauses are not
+    assert strength("it wrote you are not an idiot") < strength("an idiot") < strength("you are an idiot")
+
+
+def clauses(seed):
+    rng = random.Random(seed)
+    for _ in range(400):
+        kinds = rng.choices(toxicity.CLASSES, [6, 2, 1, 1, 1, 1], k=rng.randrange(1, 12))
+        yield [(kind, rng.choice([1.0, 2.5, 4.0]) if kind == toxicity.INSULT else 0.0, False) for kind in kinds]
+
+
+def test_clauses_by_definition():
+    """Each paid word by what stands within reach of it."""
+    reach = toxicity.REACH
+    for clause in clauses(1):
+        kinds, total = [kind for kind, *_ in clause], 0.0
+        for i, (kind, weight, _) in enumerate(clause):
+            if kind not in toxicity.PAID:
+                continue
+            before, after = kinds[max(0, i - reach) : i], kinds[i + 1 : i + 1 + reach]
+            factor = toxicity.NEGATED if toxicity.NEGATE in before else 1.0
+            factor *= toxicity.REPORTED if toxicity.REPORT in kinds[:i] else 1.0
+            if kind == toxicity.INSULT:
+                targeted = toxicity.TARGET in before or toxicity.TARGET in after
+                total += weight * factor * (toxicity.TARGETED if targeted else toxicity.LONE)
+            elif toxicity.TARGET in after:
+                total += toxicity.THREAT * factor * toxicity.TARGETED
+        assert toxicity.clause_score(clause) == pytest.approx(total)
+
+
+def test_composition_against_all_paths():
+    """Every path of the transducers side by side, without composing them."""
+
+    def paths(states, clause):
+        if not clause:
+            ended = all(state in accepted for state, (_, accepted, _) in zip(states, toxicity.TRANSDUCERS))
+            return [0.0] if ended else []
+        (kind, weight, _), rest = clause[0], clause[1:]
+        paid = weight if kind == toxicity.INSULT else toxicity.THREAT if kind == toxicity.THREATEN else 0.0
+        found = []
+        for choice in product(*[arcs[state][kind] for state, (_, _, arcs) in zip(states, toxicity.TRANSDUCERS)]):
+            factor = math.prod(factor for _, factor in choice)
+            found += [paid * factor + score for score in paths([state for state, _ in choice], rest)]
+        return found
+
+    for clause in clauses(2):
+        every = paths([start for start, *_ in toxicity.TRANSDUCERS], clause)
+        assert toxicity.clause_score(clause) == pytest.approx(max(every, default=0.0))
 
 
 def test_learned_words_and_held_out_labels(spark):
