@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import re
 import uuid
 
@@ -26,11 +27,17 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 
 def forget(*tables: DataFrame) -> None:
-    """Delete what ``stored`` wrote, once all that is made of it is written."""
+    """Delete what ``stored`` wrote, once all that is made of it is written, and what was shuffled for it.
+
+    Spark drops the shuffle files of plans that nothing refers to when the driver collects garbage, which it
+    may not do for long while the disks fill.
+    """
+    spark = SparkSession.active()
     for table in tables:
-        spark = table.sparkSession
         path = spark._jvm.org.apache.hadoop.fs.Path(table.stored_at)
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    gc.collect()
+    spark._jvm.System.gc()
 
 
 # Stores that pyarrow can open, and their names there.
