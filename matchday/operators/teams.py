@@ -28,3 +28,19 @@ def by_match(long: DataFrame, key: list[str], values: dict[str, tuple[str, str]]
             for name, (side, column) in values.items()
         ]
     )
+
+
+def attach_by_date(
+    matches: DataFrame, long: DataFrame, on: list[str], team: str, values: dict[str, str], own: str = "team"
+) -> DataFrame:
+    """Bring columns of (match, side) rows back by the columns ``on`` (season and date) and the team, compat form.
+
+    ``values`` maps new names to columns of ``long``, ``own`` is its team. Where a team has several rows of a date, each match
+    of that date gets them all, as the join by date has it; ``by_match`` makes no such products. A null
+    in a key finds nothing. The match stays if nothing is found.
+    """
+    right = long.select(
+        *[F.col(name).alias(f"_of_{name}") for name in [*on, own]], *[F.col(name).alias(new) for new, name in values.items()]
+    )
+    equal = [F.col(name) == F.col(f"_of_{name}") for name in on] + [F.col(team) == F.col(f"_of_{own}")]
+    return matches.join(right, equal, "left").drop(*[f"_of_{name}" for name in [*on, own]])

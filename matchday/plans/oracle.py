@@ -171,6 +171,13 @@ ORACLE: dict[str, str] = {
         "SELECT match_id, CASE WHEN match_id % 41 = 0 THEN NULL ELSE fthg END AS fthg FROM matches"
     ),
     "parse_match_date": _query("SELECT match_id, match_date FROM matches"),
+    "parse_match_date_fallback": _query(
+        "SELECT match_id, CASE WHEN match_id % 5 <> 1 THEN match_date END AS match_date FROM matches"
+    ),
+    "form_by_date": _query(f"""
+SELECT m.match_id, f.any5 AS htfl5 FROM matches m LEFT JOIN (
+  SELECT season, match_date, team, {_sum('points', 'season, team', FIVE)} AS any5 FROM team_rows
+) f ON f.season = m.season AND f.match_date = m.match_date AND f.team = m.home_team"""),
     "season_filter_compat": _query(
         "SELECT match_id, season FROM matches WHERE CAST(season AS INT) >= 2008"
     ),

@@ -12,7 +12,7 @@ from matchday.functions import scalars
 from matchday.operators import records as whole
 from matchday.operators.preceding import before, look_back, running_total
 from matchday.operators.split import ROWS_PER_CHUNK, find_cuts
-from matchday.operators.teams import SIDE, by_match, by_side
+from matchday.operators.teams import SIDE, attach_by_date, by_match, by_side
 from matchday.operators.totals import attach, totals, totals_before_day
 from matchday.plans import job_a, job_b, strict
 from matchday.sources.fixture import matches, records
@@ -60,6 +60,20 @@ def parse_match_date(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select("match_id", scalars.match_date(F.col("text")).alias("match_date"))
 
 
+def parse_match_date_fallback(spark: SparkSession, folder: str) -> DataFrame:
+    """Compat dates: the year as written, and with the year in front where day, month, year does not fit."""
+    match, date = F.col("match_id"), F.col("match_date")
+    text = (
+        F.when(match % 5 == 0, F.date_format(date, "yyyy/M/d"))
+        .when(match % 5 == 1, F.lit("31/02/2020"))
+        .when(match % 5 == 2, F.date_format(date, "d/M/yyyy"))
+        .otherwise(F.date_format(date, "dd/MM/yyyy"))
+    )
+    return matches(spark, folder).select(
+        "match_id", scalars.match_date(text, scalars.COMPAT, fallback=True).alias("match_date")
+    )
+
+
 def season_filter_compat(spark: SparkSession, folder: str) -> DataFrame:
     rows = matches(spark, folder).where(scalars.season_from(F.col("season"), 2008, scalars.COMPAT))
     return rows.select("match_id", "season")
@@ -158,8 +172,8 @@ def team_long(spark: SparkSession, folder: str) -> DataFrame:
     return _team_points(spark, folder).select("match_id", SIDE, "season", "match_date", "team", "points")
 
 
-def _form(spark: SparkSession, folder: str, **split) -> DataFrame:
-    rows = _team_points(spark, folder).select(*ORDER, SIDE, "season", "team", "points")
+def _team_form(spark: SparkSession, folder: str, **split) -> DataFrame:
+    rows = _team_points(spark, folder).select(*ORDER, SIDE, "season", "match_date", "team", "points")
     entity, order = ["season", "team"], [*ORDER, SIDE]
 
     def add(df: DataFrame, group: list[str]) -> DataFrame:
@@ -169,10 +183,22 @@ def _form(spark: SparkSession, folder: str, **split) -> DataFrame:
     teams = {side: {"team": F.col(team)} for side, team in (("H", "home_team"), ("A", "away_team"))}
     keys = by_side(all_matches, [*ORDER, "season"], teams)
     cuts = find_cuts(keys, entity, order, total=2 * all_matches.count(), **split)
-    rows = look_back(rows, entity, order, 5, add, ["points"], cuts=cuts)
+    return look_back(rows, entity, order, 5, add, ["points"], cuts=cuts)
+
+
+def _form(spark: SparkSession, folder: str, **split) -> DataFrame:
+    rows = _team_form(spark, folder, **split).drop("match_date")
     return by_match(rows, ["match_id"], {"htfl5": ("H", "any5"), "atfl5": ("A", "any5")})
 
 
+def form_by_date(spark: SparkSession, folder: str) -> DataFrame:
+    """Compat: form of the home team by season, date and team, once for each of its rows of that date."""
+    rows = matches(spark, folder).select("match_id", "season", "match_date", "home_team")
+    form = _team_form(spark, folder)
+    joined = attach_by_date(rows, form, ["season", "match_date"], "home_team", {"htfl5": "any5"})
+    return joined.select("match_id", "htfl5")
+
+
 def form_any_venue(spark: SparkSession, folder: str) -> DataFrame:
     return _form(spark, folder)
 
@@ -308,11 +334,11 @@ def features_strict_split(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in [
-        json_landing, to_json_messages, cast_stats, parse_match_date,
+        json_landing, to_json_messages, cast_stats, parse_match_date, parse_match_date_fallback,
         season_filter_compat, season_filter_strict, match_points, goal_diff,
         discipline_fouls, discipline_cards, select_available,
         rolling_home_a, rolling_away_a, rolling_home_b, rolling_away_b, rolling_home_b_split,
-        team_long, form_any_venue, form_any_venue_split,
+        team_long, form_any_venue, form_any_venue_split, form_by_date,
         season_cum_compat, season_cum_compat_split, season_cum_strict,
         season_points_compat, season_points_strict, season_goal_diff,
         season_league_manifest, missing_files, publish_report,
