@@ -26,7 +26,7 @@ from matchday.llm.words import batches_of, mix, rows
 PRIMES = (2147483647, 2147483629)
 BASES = (911382323, 972663749)
 # A fingerprint of a long text has about SPANS / 2 to SPANS spans.
-SPANS = 64
+SPANS = 48
 # Code points whose hash decides on a cut, and radii, each twice the one before, that a cut can prevail in.
 BEFORE = 16
 LEVELS = 4
@@ -115,13 +115,15 @@ def radius_of(size: int) -> int:
     return 1 << max(0, (size // SPANS).bit_length() - 1)
 
 
-def largest_before(values: np.ndarray, radius: int) -> np.ndarray:
-    """Largest of the ``radius`` values before each one; 0 if there is none."""
+def largest_before(values: np.ndarray, radius: int, levels: int) -> Iterator[np.ndarray]:
+    """Largest of the ``radius`` values before each one, 0 if there is none; then of twice as many, ``levels`` times in all."""
     best, width = np.append(np.uint64(0), values)[:-1], 1
-    while width < radius:
-        best[width:] = np.maximum(best[width:], best[:-width].copy())
-        width *= 2
-    return best
+    for step in range(levels):
+        while width < radius << step:
+            wider = best.copy()
+            np.maximum(best[width:], best[:-width], out=wider[width:])
+            best, width = wider, 2 * width
+        yield best
 
 
 def cuts_of(prefixes: Prefixes, radius: int) -> tuple[np.ndarray, np.ndarray]:
@@ -138,9 +140,8 @@ def cuts_of(prefixes: Prefixes, radius: int) -> tuple[np.ndarray, np.ndarray]:
     # never zero, which stands for nothing
     values = (mix(hashes) >> np.uint64(1)) | np.uint64(1)
     level = np.zeros(len(ends), np.int64)
-    for step in range(LEVELS):
-        reach = radius << step
-        level += (values > largest_before(values, reach)) & (values >= largest_before(values[::-1], reach)[::-1])
+    for before, after in zip(largest_before(values, radius, LEVELS), largest_before(values[::-1], radius, LEVELS)):
+        level += (values > before) & (values >= after[::-1])
     inside = np.flatnonzero(level)
     return ends[inside], level[inside] - 1
 
