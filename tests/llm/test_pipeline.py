@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import random
 import re
 
 import duckdb
@@ -69,3 +70,18 @@ def test_stages_on_odd_rows(spark):
 
 def test_run(spark):
     assert corpus_pipeline.run(spark, SMALL).count() > 100
+
+
+def test_near_copies_in_large_groups_are_cut(spark, documents):
+    """A near copy goes although twelve smaller documents have each shingle that it shares."""
+    rng = random.Random(24)
+    def rare(count):
+        return [f"w{rng.randrange(10**6)}" for _ in range(count)]
+
+    passage = rare(52)
+    parts = [passage[:26]] * 12 + [passage[26:]] * 12 + [passage, [*passage[:25], "other", *passage[26:]]]
+    texts = [(rare(60), words, rare(60)) for words in parts]
+    docs = documents([(i, " ".join(sum(text, []))) for i, text in enumerate(texts)])
+    left = {row.doc_id: row.text for row in corpus_pipeline.without_repeated_passages(spark, docs, "").collect()}
+    whole = {i: " ".join(sum(text, [])) for i, text in enumerate(texts)}
+    assert left == {**whole, 25: " ".join(texts[25][0] + texts[25][2])}
