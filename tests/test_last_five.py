@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import datetime
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from conftest import SMALL
 from matchday.operators.preceding import before
 from matchday.plans.strict import GROUP, team_rows
 from matchday.sources.fixture import matches
-from matchday.streaming.last_five import form_and_late, last_five, split_late, tails
+from matchday.streaming.last_five import PACKED, PLACE, form_and_late, last_five, packed, split_late, tails
 
 
 def _teams(spark):
@@ -110,3 +111,20 @@ def test_late_rows_are_passed_on(spark, tmp_path, same):
     # what is in time has the form of all rows that are
     in_time = rows.join(behind.select("match_id", "side"), ["match_id", "side"], "left_anti").select(*rows.columns)
     same(emitted, _expected(in_time))
+
+
+def test_rows_of_a_team_travel_together(spark):
+    """The processor is handed few rows, whatever is sent; nulls and rows that repeat stay."""
+    sent = spark.range(6_000, numPartitions=1).select(
+        F.lit("0809").alias("season"), F.when(F.col("id") % 2 == 0, "E0").alias("league"), F.lit("a").alias("team"),
+        F.when(F.col("id") % 7 > 0, F.col("id") % 500).alias("match_id"), F.when(F.col("id") % 5 > 0, "H").alias("side"),
+        F.when(F.col("id") % 3 > 0, (F.col("id") % 4).cast("int")).alias("points"), (F.col("id") % 1000).alias("at"),
+    )
+    rows = sent.mapInArrow(packed, PACKED).collect()
+    assert len(rows) == 6
+    found = []
+    for row in rows:
+        for at, named, match, side, given, points in np.frombuffer(row.rows, PLACE).tolist():
+            place = (match if named else None, row.sides[side], points if given else None, at)
+            found.append((row.season, row.league, row.team, *place))
+    assert sorted(found, key=repr) == sorted(map(tuple, sent.collect()), key=repr)
