@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime
+import random
 
 import numpy as np
 from pyspark.sql import functions as F
@@ -11,7 +12,7 @@ from conftest import SMALL
 from matchday.operators.preceding import before
 from matchday.plans.strict import GROUP, team_rows
 from matchday.sources.fixture import matches
-from matchday.streaming.last_five import PACKED, PLACE, form_and_late, last_five, packed, split_late, tails
+from matchday.streaming.last_five import PACKED, PLACE, form_and_late, last_five, packed, split_late, tails, united, up_to
 
 
 def _teams(spark):
@@ -128,3 +129,37 @@ def test_rows_of_a_team_travel_together(spark):
             place = (match if named else None, row.sides[side], points if given else None, at)
             found.append((row.season, row.league, row.team, *place))
     assert sorted(found, key=repr) == sorted(map(tuple, sent.collect()), key=repr)
+
+
+def test_places_of_rows_with_nulls():
+    """Rows before or at the last emitted one are late; a place that comes twice counts once, with what came last."""
+    draw = random.Random(5)
+    sides = [None, "A", "H"]
+
+    def order(place):
+        at, match, side = place
+        return at, match is not None, match or 0, side is not None, side or ""
+
+    def some(count, names):
+        rows = np.zeros(count, PLACE)
+        for i in range(count):
+            match, points = draw.choice([None, 1, 2, 3]), draw.choice([None, 0, 3])
+            rows[i] = (
+                draw.randrange(3), match is not None, match or 0, draw.randrange(len(names)), points is not None, points or 0
+            )
+        return rows
+
+    def listed(rows, names):
+        return {
+            (at, match if named else None, names[side]): points if given else None
+            for at, named, match, side, given, points in rows.tolist()
+        }
+
+    first, second = some(30, sides), some(20, ["A", "B"])
+    rows, names = united([(first, sides), (second, ["A", "B"])])
+    expected = {**listed(first, sides), **listed(second, ["A", "B"])}
+    assert listed(rows, names) == expected and len(rows) == len(expected)
+    places = list(listed(rows, names))
+    assert places == sorted(expected, key=order)
+    for last in places:
+        assert up_to(rows, names, last).tolist() == [order(place) <= order(last) for place in places]
