@@ -4,12 +4,14 @@ import re
 from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from conftest import SMALL
 from llm.conftest import corpus, prose
 from matchday.llm.components import components
 from matchday.llm.minhash import distinct_shingles, near_duplicates, signatures, without_copies
+from matchday.llm.shared import BATCH_ROWS, stored
 from matchday.llm.words import word_hashes
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -142,3 +144,17 @@ def test_word_hashes():
         assert len(words) == len(hashes)
         assert all(known.setdefault(word, value) == value for word, value in zip(words, hashes))
     assert len(set(known.values())) == len(known)
+
+
+def test_rows_that_hold_much_come_in_small_batches(spark):
+    """Batches have as many rows as asked for at most, and the session's own setting holds again afterwards."""
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows], pa.int64())], names=["n"])
+
+    before = spark.conf.get(BATCH_ROWS)
+    made = [stored(spark.range(5_000).mapInArrow(sizes, "n long"), "sizes", at_once) for at_once in (1_000, None)]
+    few, all_rows = ([row.n for row in table.collect()] for table in made)
+    assert max(few) <= 1_000 and sum(few) == sum(all_rows) == 5_000
+    assert spark.conf.get(BATCH_ROWS) == before
